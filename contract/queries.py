@@ -89,12 +89,16 @@ def _rollup(spark, folder, *keys: str) -> DataFrame:
     return sales.sales_rollup(star.ventas_enriquecidas(spark, folder), keys or sales.ROLLUP_KEYS)
 
 
+def _customers(spark, folder) -> DataFrame:
+    return sales.by_customer(_rollup(spark, folder, "id_cliente"))
+
+
 def kpi_monthly(spark, folder):
     return sales.monthly(_rollup(spark, folder, "anio_mes", "id_cliente"))
 
 
 def kpi_customer(spark, folder):
-    return sales.customer_averages(_rollup(spark, folder, "id_cliente"))
+    return sales.customer_averages(_customers(spark, folder))
 
 
 def kpi_category_channel(spark, folder):
@@ -106,7 +110,7 @@ def kpi_web(spark, folder):
 
 
 def top_customer(spark, folder):
-    return sales.top_customer(_rollup(spark, folder, "id_cliente"))
+    return sales.top_customer(_customers(spark, folder))
 
 
 def top10_sales(spark, folder):
@@ -114,7 +118,7 @@ def top10_sales(spark, folder):
 
 
 def pareto_customers(spark, folder):
-    return pareto.pareto(sales.by_customer(_rollup(spark, folder, "id_cliente")))
+    return pareto.pareto(_customers(spark, folder))
 
 
 def pareto_summary(spark, folder):

@@ -66,11 +66,11 @@ class ExactSum:
     def total(self) -> Column:
         """Sum, as a decimal, over rows that hold partial results."""
         units, rest, _ = self.columns
-        return self._join(F.sum(F.col(units).cast("decimal(28,0)")), F.sum(rest))
+        return self._join(F.sum(units), F.sum(rest))
 
     def mean(self, factor: int = 1) -> Column:
         """Mean times ``factor``, as a decimal, over rows that hold partial results."""
-        return ratio(self.total() * F.lit(Decimal(factor)), F.sum(self.columns[2]))
+        return ratio((self.total() * F.lit(Decimal(factor))).cast(WIDE), F.sum(self.columns[2]))
 
     def total_of_rows(self) -> Column:
         """Sum, as a decimal, straight from the column."""

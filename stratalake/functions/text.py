@@ -33,8 +33,3 @@ def lenient_int(c: Column) -> Column:
     whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
     return F.coalesce(c.try_cast("int"), whole.try_cast("int"))
 
-
-def finite_double(c: Column) -> Column:
-    """NaN and infinities are bad cells, like text."""
-    number = c.try_cast("double")
-    return F.when(F.abs(number) < float("inf"), number)

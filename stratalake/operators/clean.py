@@ -78,8 +78,11 @@ class Cleaning:
         return latest(kept, self.keys, newest).withColumns(self.calendar())
 
 
-LONG, INT, DATE, TIMESTAMP = cast_to("bigint"), cast_to("int"), cast_to("date"), cast_to("timestamp")
-DOUBLE = text.finite_double
+# Text such as "NaN" or "Infinity" reads as a double, but is no amount.
+FINITE = "{} < double('infinity')"
+
+LONG, INT, DOUBLE = cast_to("bigint"), cast_to("int"), cast_to("double")
+DATE, TIMESTAMP = cast_to("date"), cast_to("timestamp")
 
 SALES = Cleaning(
     keys=["id_venta"],
@@ -99,7 +102,7 @@ SALES = Cleaning(
         "id_venta presente": "id_venta is not null",
         "id_cliente presente": "id_cliente is not null",
         "id_producto presente": "id_producto is not null",
-        "monto positivo": "monto > 0",
+        "monto positivo": f"monto > 0 and {FINITE.format('monto')}",
         "cantidad positiva": "cantidad > 0",
         "fecha_venta presente": "fecha_venta is not null",
     },
@@ -138,6 +141,6 @@ PRODUCTS = Cleaning(
     },
     rules={
         "id_producto presente": "id_producto is not null",
-        "precio_base positivo": "precio_base > 0",
+        "precio_base positivo": f"precio_base > 0 and {FINITE.format('precio_base')}",
     },
 )

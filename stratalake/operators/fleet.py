@@ -54,8 +54,9 @@ def delay_risk(base: Column, jitter: Column) -> Column:
     """Score in [0, 1]; conditions on unknown speed, status or wait add nothing."""
     slow = (F.col("velocidad") < SLOW_SPEED) & (F.col("estado_entrega") == ON_THE_ROAD)
     waiting = F.col("tiempo_espera_min") > LONG_WAIT_MIN
-    raw = base + F.when(slow, SLOW_RISK).otherwise(0.0) + F.when(waiting, LONG_WAIT_RISK).otherwise(0.0) + jitter
-    return F.when(raw > 1.0, 1.0).otherwise(raw)
+    raised = base + F.when(slow, SLOW_RISK).otherwise(0.0) + F.when(waiting, LONG_WAIT_RISK).otherwise(0.0) + jitter
+    # least() passes over NULL, but an unknown zone or jitter leaves the score unknown.
+    return F.when(base.isNotNull() & jitter.isNotNull(), F.least(F.lit(1.0), raised))
 
 
 def scored(events: DataFrame, jitter: str = "jitter") -> DataFrame:

@@ -88,18 +88,15 @@ def by_customer(rollup: DataFrame) -> DataFrame:
     )
 
 
-def customer_averages(rollup: DataFrame) -> DataFrame:
-    return (
-        by_customer(rollup)
-        .orderBy(F.desc("total"), "id_cliente")
-        .select(
-            "id_cliente",
-            F.col("ventas").alias("cantidad_ventas"),
-            F.col("total").cast("double").alias("total_comprado"),
-            F.col("promedio").alias("monto_promedio_venta"),
-            F.col("mayor").alias("mayor_compra"),
-            F.col("menor").alias("menor_compra"),
-        )
+def customer_averages(customers: DataFrame) -> DataFrame:
+    """``customers`` as from ``by_customer``."""
+    return customers.orderBy(F.desc("total"), "id_cliente").select(
+        "id_cliente",
+        F.col("ventas").alias("cantidad_ventas"),
+        F.col("total").cast("double").alias("total_comprado"),
+        F.col("promedio").alias("monto_promedio_venta"),
+        F.col("mayor").alias("mayor_compra"),
+        F.col("menor").alias("menor_compra"),
     )
 
 
@@ -108,8 +105,8 @@ def ranked_top(df: DataFrame, order: list[Column], k: int, rank: str) -> DataFra
     return df.orderBy(*order).limit(k).withColumn(rank, F.row_number().over(W.orderBy(*order)))
 
 
-def top_customer(rollup: DataFrame, k: int = 1) -> DataFrame:
-    best = ranked_top(by_customer(rollup), [F.desc("total"), F.asc("id_cliente")], k, "ranking_cliente")
+def top_customer(customers: DataFrame, k: int = 1) -> DataFrame:
+    best = ranked_top(customers, [F.desc("total"), F.asc("id_cliente")], k, "ranking_cliente")
     return best.select(
         "id_cliente",
         F.col("ventas").alias("cantidad_compras"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.config import FLEET_CATALOG, GOLD_CATALOG, MAY_BE_EMPTY, STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet, pareto, quality, sales
 from stratalake.operators.lineage import clocked
-from stratalake.sinks.tables import store, write_extract
+from stratalake.sinks.tables import side_by_side, store, write_extract
 from stratalake.sources.files import read_table
 from stratalake.streaming.runs import fleet_tables
 
@@ -19,30 +21,33 @@ def publishable(df: DataFrame, cfg: LakeConfig, name: str) -> DataFrame:
     return table
 
 
+def publish_all(outputs: dict[str, DataFrame], cfg: LakeConfig) -> dict[str, DataFrame]:
+    written = side_by_side(partial(publishable, df, cfg, name) for name, df in outputs.items())
+    return dict(zip(outputs, written))
+
+
 def run_gold(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     """All batch KPI tables. The sales are read for the rollup, the overall row and the top sales."""
-    enriched = read_table(
-        spark, cfg.silver("ventas_enriquecidas"), "silver_ventas_enriquecidas", cfg.fmt
-    )
+    enriched = read_table(spark, cfg.silver("ventas_enriquecidas"), "silver_ventas_enriquecidas", cfg.fmt)
     web = read_table(spark, cfg.silver("web_events"), "silver_web_events", cfg.fmt)
     rollup = store(sales.sales_rollup(enriched), cfg.path("rollup", "ventas"), "sales_rollup")
-
-    tables = {}
-
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = publishable(df, cfg, name)
-        return tables[name]
-
-    publish("kpis_generales", sales.overall(enriched))
-    publish("ventas_mensuales", sales.monthly(rollup))
-    publish("cliente_mayor_volumen", sales.top_customer(rollup))
-    publish("top10_ventas", sales.top_sales(enriched))
-    publish("promedio_venta_cliente", sales.customer_averages(rollup))
-    ranked = publish("pareto_80_clientes", pareto.pareto(sales.by_customer(rollup)))
-    publish("resumen_pareto", pareto.pareto_summary(ranked))
-    publish("ventas_categoria_canal", sales.by_category_channel(rollup))
-    publish("web_kpis", sales.web_activity(web))
-    publish(GOLD_CATALOG, quality.gold_catalog(spark).coalesce(1))
+    customers = store(sales.by_customer(rollup), cfg.path("rollup", "clientes"), "customer_rollup")
+    tables = publish_all(
+        {
+            "kpis_generales": sales.overall(enriched),
+            "ventas_mensuales": sales.monthly(rollup),
+            "cliente_mayor_volumen": sales.top_customer(customers),
+            "top10_ventas": sales.top_sales(enriched),
+            "promedio_venta_cliente": sales.customer_averages(customers),
+            "pareto_80_clientes": pareto.pareto(customers),
+            "ventas_categoria_canal": sales.by_category_channel(rollup),
+            "web_kpis": sales.web_activity(web),
+            GOLD_CATALOG: quality.gold_catalog(spark).coalesce(1),
+        },
+        cfg,
+    )
+    # The summary reads the written Pareto table instead of ranking the customers again.
+    tables |= publish_all({"resumen_pareto": pareto.pareto_summary(tables["pareto_80_clientes"])}, cfg)
     quality.require_rows(tables)
     return tables
 
@@ -57,6 +62,6 @@ def run_fleet(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
         "rt_alertas_operativas": fleet.sorted_alerts(prepared),
         FLEET_CATALOG: quality.fleet_catalog(spark).coalesce(1),
     }
-    tables = {name: publishable(df, cfg, name) for name, df in outputs.items()}
+    tables = publish_all(outputs, cfg)
     quality.require_rows(tables, MAY_BE_EMPTY)
     return tables

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 from stratalake.sources.files import read_table
@@ -69,3 +72,9 @@ def store(df: DataFrame, path: str, name: str, fmt: str = "parquet", **options)
     """Write once and hand back the written table, so that nothing downstream recomputes it."""
     write_table(df, path, fmt, **options)
     return read_table(df.sparkSession, path, name, fmt)
+
+
+def side_by_side(writes: Iterable[Callable[[], object]], at_once: int = 4) -> list:
+    """Run independent writes a few at a time, so that small jobs do not leave the cluster idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [done.result() for done in [pool.submit(write) for write in writes]]

@@ -66,7 +66,8 @@ def with_context(spark: SparkSession, folder: str, lines: DataFrame) -> DataFram
     )
     nations = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("pais"))
     context = orders.join(customers.join(nations, "n_nationkey"), "id_cliente")
-    return lines.join(context, "l_orderkey").select(
+    # Lines and orders both grow with the data, so neither is a side to broadcast.
+    return lines.join(context.hint("merge"), "l_orderkey").select(
         "id_venta",
         "id_cliente",
         "id_producto",

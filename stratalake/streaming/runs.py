@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators import fleet
 from stratalake.operators.lineage import clocked
-from stratalake.sinks.tables import store, write_table
+from stratalake.sinks.tables import side_by_side, store, write_table
 from stratalake.sources.files import read_table
 
 
@@ -69,8 +70,8 @@ def start_fleet_refresh(
             before = read_table(batch.sparkSession, f"{rollup_path}/{(batch_id - 1) % 2}", "fleet_rollup")
             rollup = merge_rollups(before.unionByName(rollup))
         rollup = store(rollup, f"{rollup_path}/{batch_id % 2}", "fleet_rollup")
-        for name, table in fleet_tables(rollup).items():
-            write_table(clocked(table), table_path(name), fmt)
+        tables = fleet_tables(rollup).items()
+        side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables)
 
     writer = bronze_rows.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

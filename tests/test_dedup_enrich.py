@@ -1,0 +1,81 @@
+from conftest import rows
+from pyspark.sql import functions as F
+
+from stratalake.operators.dedup import latest
+from stratalake.operators.enrich import bounded_dimension, enrich
+
+
+def test_latest_by_time_then_by_the_other_columns(spark):
+    data = [(1, 5, "a", 1.0), (1, 6, "a", 1.0), (1, 6, "b", 0.5), (1, 6, "b", None), (None, 1, "x", 1.0)]
+    df = spark.createDataFrame(data, "id int, at int, text string, x double")
+    assert sorted(rows(latest(df, ["id"], ["at"])), key=str) == [(1, 6, "b", 0.5), (None, 1, "x", 1.0)]
+    assert latest(df, ["id"], ["at"]).columns == df.columns
+
+
+def test_missing_time_loses(spark):
+    df = spark.createDataFrame([(1, None, "z"), (1, 1, "a")], "id int, at int, text string")
+    assert rows(latest(df, ["id"], ["at"])) == [(1, 1, "a")]
+
+
+def test_a_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(0, 120_000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"), F.col("id").alias("at")
+    )
+    result = latest(df, ["key"], ["at"])
+    assert result.count() == 80_001
+    assert rows(result.filter("key = 0")) == [(0, 119_997)]
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    shuffle = plan.index("Exchange")
+    assert "partial_max" in plan[shuffle:], "copies of a key must be combined on the map side"
+
+
+PRODUCTS = "id_producto bigint, nombre_producto string, categoria string, proveedor string, precio_base double, activo boolean"
+SALES = "id_venta bigint, id_producto bigint, cantidad int, monto double, categoria string"
+
+
+def test_unknown_product_keeps_the_sale(spark):
+    sales = spark.createDataFrame([(1, 5, 2, 10.0, "hogar"), (2, 9, 1, 3.0, "moda")], SALES)
+    products = spark.createDataFrame([(5, "Silla", "muebles", "P", 3.333, True)], PRODUCTS)
+    known, unknown = enrich(sales, products).orderBy("id_venta").collect()
+    assert known.categoria_final == "muebles" and known.margen_estimado == 3.33
+    assert known.categoria == "hogar" and known.producto_activo
+    assert unknown.categoria_final == "moda" and unknown.margen_estimado is None
+
+
+def test_only_a_counted_small_dimension_is_broadcast(spark, plan_of):
+    sales = spark.range(100).selectExpr("id as id_venta", "id % 7 as id_producto", "1 as cantidad", "2D as monto", "'c' as categoria")
+    products = spark.range(7).selectExpr(
+        "id as id_producto", "'n' as nombre_producto", "'c' as categoria", "'p' as proveedor", "1D as precio_base", "true as activo"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_of(enrich(sales, bounded_dimension(products, 7)))
+        assert "SortMergeJoin" in plan_of(enrich(sales, bounded_dimension(products, 6)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_product_is_split_in_the_shuffle_join(spark, plan_of):
+    """With a third of all sales on one product, adaptive execution cuts its partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        sales = spark.range(0, 60_000, 1, 8).selectExpr(
+            "id as id_venta", "if(id % 3 = 0, 1, id % 500) as id_producto", "1 as cantidad", "2D as monto", "'c' as categoria"
+        )
+        products = spark.range(500).selectExpr(
+            "id as id_producto", "'n' as nombre_producto", "'k' as categoria", "'p' as proveedor", "1D as precio_base", "true as activo"
+        )
+        joined = enrich(sales, products).select("id_venta", "margen_estimado")
+        got = joined.collect()
+        assert len(got) == 60_000 and {r.margen_estimado for r in got} == {1.0}
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

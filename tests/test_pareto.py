@@ -1,0 +1,89 @@
+"""The sliced ranking against a plain ordered window and against hand-made boundaries."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from stratalake.operators import pareto
+
+SCHEMA = "id_cliente bigint, ventas bigint, total decimal(28,2)"
+
+
+def customers(spark, totals):
+    return spark.createDataFrame([(i, 1, Decimal(str(t))) for i, t in enumerate(totals)], SCHEMA)
+
+
+def by_window(df):
+    """All rows in one task: fine for a fixture, and nothing else."""
+    order = W.orderBy(F.desc("total"))
+    return {
+        r.id_cliente: (r.rank, r.running_total, r.grand_total)
+        for r in df.select(
+            "id_cliente",
+            F.row_number().over(W.orderBy(F.desc("total"), "id_cliente")).alias("rank"),
+            F.sum("total").over(order).alias("running_total"),
+            F.sum("total").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("grand_total"),
+        ).collect()
+    }
+
+
+SHAPES = {
+    "distinct": [i * 1.37 for i in range(500)],
+    "one value": [9.99] * 400,
+    "a third equal": [50 if i % 3 == 0 else i for i in range(900)],
+    "two hot values": [7 if i % 2 else 8 for i in range(600)] + [1, 100],
+    "hot lowest": [1] * 500 + [5, 6],
+    "negative": [-5, -5, 3, 0, 0, 12],
+    "single": [3],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("slices", [None, 7])
+def test_equals_the_plain_window(spark, shape, slices):
+    df = customers(spark, SHAPES[shape])
+    got = pareto.cumulative(df, "id_cliente", "total", slices).collect()
+    assert {r.id_cliente: (r["rank"], r.running_total, r.grand_total) for r in got} == by_window(df)
+
+
+def test_text_ids(spark):
+    df = customers(spark, SHAPES["a third equal"]).withColumn("id_cliente", F.col("id_cliente").cast("string"))
+    got = pareto.cumulative(df, "id_cliente", "total", 5).collect()
+    assert {r.id_cliente: (r["rank"], r.running_total, r.grand_total) for r in got} == by_window(df)
+
+
+def test_equal_totals_share_the_running_total_but_not_the_rank(spark):
+    got = {r.id_cliente: r for r in pareto.pareto(customers(spark, [40, 20, 20, 20]), slices=3).collect()}
+    assert [got[i].ranking_cliente for i in range(4)] == [1, 2, 3, 4]
+    assert [got[i].ingreso_acumulado for i in range(4)] == [40.0, 100.0, 100.0, 100.0]
+    assert got[0].porcentaje_acumulado_label == "40.0%"
+
+
+def test_the_share_is_rounded_before_the_threshold(spark):
+    """0.80 and 0.80004 count as 80 %, 0.8001 does not."""
+    for first, inside in ((8000, True), (8000.4, True), (8001, False)):
+        top = pareto.pareto(customers(spark, [first, 10000 - first])).filter("ranking_cliente = 1").first()
+        assert (top.segmento_pareto == pareto.CONCENTRATED) is inside, first
+
+
+def test_segments_add_up(spark):
+    table = pareto.pareto(customers(spark, SHAPES["distinct"]), slices=4)
+    summary = pareto.pareto_summary(table).collect()
+    assert sum(r.cantidad_clientes for r in summary) == 500
+    total = round(sum(Decimal(str(t)).quantize(Decimal("0.01")) for t in SHAPES["distinct"]), 2)
+    assert round(Decimal(str(sum(r.ingreso_segmento for r in summary))), 2) == total
+    assert max(r.porcentaje_acumulado_maximo for r in summary) == 100.0
+
+
+def test_no_customers(spark):
+    assert pareto.pareto(customers(spark, [1]).limit(0)).count() == 0
+
+
+def test_no_window_over_all_customers(spark, plan_of):
+    """Every window over customers is partitioned by slice; unpartitioned ones see one row per slice."""
+    ranked = pareto.cumulative(customers(spark, SHAPES["distinct"]), "id_cliente", "total", 4)
+    plan = plan_of(ranked)
+    top = plan[: plan.index("BroadcastExchange")]
+    assert "hashpartitioning(_slice" in top and "SinglePartition" not in top
