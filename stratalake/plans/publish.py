@@ -30,7 +30,7 @@ def run_publish(spark: SparkSession, cfg: LakeConfig, datasets: list[str] | None
         except MissingDataset:
             outcome = ("SKIPPED", source, target, NOT_FOUND)
         except Exception as error:  # noqa: BLE001 - the manifest reports it
-            outcome = ("ERROR", source, target, str(error))
+            outcome = ("ERROR", source, target, " ".join(str(error).split()))
         results.append((name, *outcome, datetime.now(timezone.utc).isoformat()))
     manifest = spark.createDataFrame(results, MANIFEST_SCHEMA).coalesce(1)
     write_extract(manifest, cfg.extract(f"final/{MANIFEST}"), cfg.single_file_rows)

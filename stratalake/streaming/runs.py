@@ -48,15 +48,10 @@ def fleet_tables(rollup: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def start_fleet_refresh(
-    bronze_rows: DataFrame,
-    rollup_path: str,
-    table_path: Callable[[str], str],
-    checkpoint: str,
-    fmt: str = "parquet",
-    every: str | None = None,
-) -> StreamingQuery:
-    """Keep the fleet KPI tables up to date from a stream.
+def fleet_refresh(
+    rollup_path: str, table_path: Callable[[str], str], fmt: str
+) -> Callable[[DataFrame, int], None]:
+    """What to do with a micro-batch of Bronze rows to bring the fleet KPI tables up to date.
 
     A micro-batch aggregates its own events only and adds them to the rollup so far; the KPI tables,
     exact truck counts included, are read off that rollup, whose size depends on trucks and hours and
@@ -73,6 +68,19 @@ def start_fleet_refresh(
         tables = fleet_tables(rollup).items()
         side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables)
 
+    return refresh
+
+
+def start_fleet_refresh(
+    bronze_rows: DataFrame,
+    rollup_path: str,
+    table_path: Callable[[str], str],
+    checkpoint: str,
+    fmt: str = "parquet",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep the fleet KPI tables up to date from a stream."""
+    refresh = fleet_refresh(rollup_path, table_path, fmt)
     writer = bronze_rows.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
