@@ -50,9 +50,10 @@ select *, cast(year(fecha_venta) as int) as anio, cast(month(fecha_venta) as int
 from (select * from sold)
 """
 PRODUCTOS = """
-select p_partkey as id_producto, p_name as nombre_producto, lower(p_type) as categoria_producto,
-       p_brand as proveedor, p_retailprice as precio_base, p_size % 2 = 0 as producto_activo
-from part where p_partkey % 10 <> 0
+select case when p_partkey % 10 = 0 then -p_partkey else p_partkey end as id_producto, p_name as nombre_producto,
+       lower(p_type) as categoria_producto, p_brand as proveedor, p_retailprice as precio_base,
+       p_size % 2 = 0 as producto_activo
+from part
 """
 ENRICHED = f"""
 select v.*, p.nombre_producto, p.categoria_producto, p.proveedor, p.precio_base, p.producto_activo,
@@ -333,6 +334,18 @@ SALES_MEASURES = f"""count(distinct id_venta) as total_ventas, count(distinct id
        {r("sum(monto)")} as ingreso_total, {r("avg(monto)")} as ticket_promedio,
        cast(sum(cantidad) as bigint) as unidades_vendidas"""
 
+OVERALL = on_sales(f"""
+select count(distinct id_venta) as total_ventas, count(distinct id_cliente) as clientes_unicos,
+       count(distinct id_producto) as productos_vendidos, {r("sum(monto)")} as ingreso_total,
+       {r("avg(monto)")} as ticket_promedio, {r("max(monto)")} as venta_maxima, {r("min(monto)")} as venta_minima,
+       cast(sum(cantidad) as bigint) as unidades_vendidas, {r("avg(margen_estimado)")} as margen_promedio_estimado
+from enriched""")
+TOP10 = on_sales("""
+select id_venta, id_cliente, id_producto, nombre_producto, categoria_final, canal, pais,
+       cast(fecha_venta as varchar) as fecha_venta, cantidad, precio_unitario, monto, cast(rn as int) as ranking_venta
+from (select *, row_number() over (order by monto desc, id_venta) as rn from enriched) where rn <= 10
+order by rn""")
+
 ORACLE: dict[str, str] = {
     "dedup_sales": with_ctes(
         {"lines": LINES, "newest": NEWEST},
@@ -351,12 +364,7 @@ ORACLE: dict[str, str] = {
     "clean_web": with_ctes(RAW_WEB, f"select {WEB_SILVER_COLUMNS} from typed where {WEB_OK}"),
     "clean_products": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
     "enrich_sales": on_sales("select * replace (cast(fecha_venta as varchar) as fecha_venta) from enriched"),
-    "kpi_overall": on_sales(f"""
-select count(distinct id_venta) as total_ventas, count(distinct id_cliente) as clientes_unicos,
-       count(distinct id_producto) as productos_vendidos, {r("sum(monto)")} as ingreso_total,
-       {r("avg(monto)")} as ticket_promedio, {r("max(monto)")} as venta_maxima, {r("min(monto)")} as venta_minima,
-       cast(sum(cantidad) as bigint) as unidades_vendidas, {r("avg(margen_estimado)")} as margen_promedio_estimado
-from enriched"""),
+    "kpi_overall": OVERALL,
     "kpi_monthly": on_sales(f"""
 select anio_mes, {SALES_MEASURES}, {r("sum(margen_estimado)")} as margen_estimado_total
 from enriched group by anio_mes order by anio_mes"""),
@@ -379,11 +387,7 @@ select *, cast(1 as int) as ranking_cliente from (
   select id_cliente, count(distinct id_venta) as cantidad_compras, {CUSTOMER_SUMS} as ticket_promedio_cliente,
          cast(sum(cantidad) as bigint) as unidades_compradas
   from enriched group by id_cliente order by total_comprado desc, id_cliente limit 1)"""),
-    "top10_sales": on_sales("""
-select id_venta, id_cliente, id_producto, nombre_producto, categoria_final, canal, pais,
-       cast(fecha_venta as varchar) as fecha_venta, cantidad, precio_unitario, monto, cast(rn as int) as ranking_venta
-from (select *, row_number() over (order by monto desc, id_venta) as rn from enriched) where rn <= 10
-order by rn"""),
+    "top10_sales": TOP10,
     "pareto_customers": on_sales("select * from pareto order by ranking_cliente", **PARETO),
     "pareto_summary": on_sales(
         f"""
@@ -428,9 +432,11 @@ from lineitem join orders on l_orderkey = o_orderkey""",
     "layer_roundtrip_csv": with_ctes(raw_sales(), f"select {CSV_SALE_COLUMNS} from typed where {SALES_OK}"),
     "layer_roundtrip_json": with_ctes({"web": WEB}, "select * exclude (event_timestamp) from web"),
     "layer_roundtrip_xml": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
-    "month_partitions": on_sales("""
-select id_venta, monto, cast(fecha_venta as varchar) as fecha_venta, anio_mes from ventas
-where anio_mes between '1996-03' and '1997-02'"""),
+    "month_partitions": on_sales(f"""
+select anio_mes, count(*) as ventas, {r("sum(monto)")} as ingreso_total, cast(max(fecha_venta) as varchar) as hasta
+from ventas group by anio_mes"""),
+    "top10_sales_of_table": TOP10,
+    "kpi_overall_of_table": OVERALL,
     "quality_report": " union all ".join(
         [
             quality_row(

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.config import LakeConfig
+from stratalake.config import GOLD_TABLES, LakeConfig
+from stratalake.functions.numbers import round_half_up
 from stratalake.operators import clean, fleet, pareto, quality, sales
 from stratalake.operators.lineage import stamp
 from stratalake.plans.gold import run_gold
@@ -276,11 +277,28 @@ def layer_roundtrip_xml(spark, folder):
 
 
 def month_partitions(spark, folder):
-    """A month-partitioned table written with balanced tasks; read back for a range of months."""
-    place = run_dir(spark, "months")
+    """A month-partitioned table written with balanced tasks and read back."""
     rows = sinks.clustered_for(star.ventas(spark, folder), "anio_mes")
-    table = sinks.store(rows, place, "ventas", partition_by=("anio_mes",))
-    return files.between_months(table, "1996-03", "1997-02").select("id_venta", "monto", "fecha_venta", "anio_mes")
+    table = sinks.store(rows, run_dir(spark, "months"), "ventas", partition_by=("anio_mes",))
+    return table.groupBy("anio_mes").agg(
+        F.count("id_venta").alias("ventas"),
+        round_half_up(sales.AMOUNT.total_of_rows(), 2).alias("ingreso_total"),
+        F.max("fecha_venta").alias("hasta"),
+    )
+
+
+def _enriched_table(spark, folder) -> DataFrame:
+    return sinks.store(star.ventas_enriquecidas(spark, folder), run_dir(spark, "enriched"), "ventas_enriquecidas")
+
+
+def kpi_overall_of_table(spark, folder):
+    """As the Gold run does it: from the rollup and the product column of the written table."""
+    table = _enriched_table(spark, folder)
+    return sales.overall_of_table(sales.sales_rollup(table), table)
+
+
+def top10_sales_of_table(spark, folder):
+    return sales.top_sales_of_table(_enriched_table(spark, folder))
 
 
 def quality_report(spark, folder):
@@ -304,16 +322,15 @@ def quality_rule_hits(spark, folder):
 
 
 def publish_gold(spark, folder):
-    """Gold run over written Silver tables, then the published manifest."""
+    """Gold run over written Silver tables, then the rows of each published extract."""
     cfg = LakeConfig(root=run_dir(spark, "gold"))
     sinks.write_table(star.ventas_enriquecidas(spark, folder), cfg.silver("ventas_enriquecidas"))
     sinks.write_table(star.web_silver(spark, folder), cfg.silver("web_events"))
     run_gold(spark, cfg)
-    manifest = run_publish(spark, cfg)
+    run_publish(spark, cfg)
     rows = [
         quality.counted(files.read_csv(spark, cfg.extract(f"final/{name}"), name), dataset=name)
-        for name in manifest.filter("status = 'EXPORTED'").toPandas()["dataset"]
-        if name != "catalogo_gold"
+        for name in GOLD_TABLES
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -324,7 +341,7 @@ REGISTERED: list[Query] = [
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
     fleet_alerts, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
     stream_dedup, stream_fleet_overall, stream_fleet_zone, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
-    layer_roundtrip_xml, month_partitions, quality_report, quality_rule_hits, publish_gold,
+    layer_roundtrip_xml, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
 ]
 
 

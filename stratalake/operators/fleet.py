@@ -91,18 +91,18 @@ def _stands_still() -> Column:
 
 
 def needs_attention() -> Column:
-    reasons = [F.col("riesgo_retraso") >= ALERT_RISK, _waits_long(), _stands_still()]
-    return F.coalesce(*[F.when(reason, True) for reason in reasons], F.lit(False))
+    """Plain comparisons, so that the scan of a table can use them; NULL stands for no."""
+    return (F.col("riesgo_retraso") >= ALERT_RISK) | _waits_long() | _stands_still()
 
 
 def prepare(gps: DataFrame) -> DataFrame:
     """Usable events with calendar columns, risk level and alert flag; works on streams as well."""
-    usable = gps.dropna(subset=["event_id", "camion", "timestamp_evento"])
+    usable = gps.filter("event_id is not null and camion is not null and timestamp_evento is not null")
     return usable.withColumns(
         {
             **event_calendar("timestamp_evento", hour=True),
             "nivel_riesgo": risk_level(),
-            "alerta_operativa": needs_attention(),
+            "alerta_operativa": F.coalesce(needs_attention(), F.lit(False)),
         }
     )
 
@@ -137,7 +137,7 @@ def alerts(prepared: DataFrame) -> DataFrame:
         .otherwise(ALERT_OTHER_TYPE)
     )
     return (
-        prepared.filter("alerta_operativa")
+        prepared.filter(needs_attention())
         .select(
             *ALERT_EVENT_COLUMNS,
             percent.alias("riesgo_retraso_pct"),

@@ -53,6 +53,35 @@ def overall(sales: DataFrame) -> DataFrame:
     )
 
 
+def overall_of_table(rollup: DataFrame, sales: DataFrame) -> DataFrame:
+    """The same row when the rollup exists and ``sales`` is a written table.
+
+    Only the product ids are read from the table: a column of its own for the one distinct count the
+    rollup can not answer, instead of three copies of every row.
+    """
+    products = sales.select(F.count_distinct("id_producto")).scalar()
+    return rollup.agg(
+        F.coalesce(F.sum("ventas"), F.lit(0)).cast("bigint").alias("total_ventas"),
+        _customers(),
+        round_half_up(AMOUNT.total(), 2).alias("ingreso_total"),
+        round_half_up(AMOUNT.mean(), 2).alias("ticket_promedio"),
+        round_half_up(F.max("monto_max"), 2).alias("venta_maxima"),
+        round_half_up(F.min("monto_min"), 2).alias("venta_minima"),
+        _sum("unidades", "unidades_vendidas"),
+        round_half_up(MARGIN.mean(), 2).alias("margen_promedio_estimado"),
+    ).select(
+        "total_ventas",
+        "clientes_unicos",
+        products.alias("productos_vendidos"),
+        "ingreso_total",
+        "ticket_promedio",
+        "venta_maxima",
+        "venta_minima",
+        "unidades_vendidas",
+        "margen_promedio_estimado",
+    )
+
+
 def monthly(rollup: DataFrame) -> DataFrame:
     table = rollup.groupBy("anio_mes").agg(
         _sum("ventas", "total_ventas"),
@@ -137,6 +166,13 @@ def top_sales(sales: DataFrame, k: int = 10) -> DataFrame:
     return ranked_top(sales.select(*TOP_SALES_COLUMNS), [F.desc("monto"), F.asc("id_venta")], k, "ranking_venta")
 
 
+def top_sales_of_table(sales: DataFrame, k: int = 10) -> DataFrame:
+    """The same rows from a written table: the amounts alone give the k-th one, and only row groups that
+    reach it are read in full."""
+    kth = sales.select("monto").orderBy(F.desc("monto")).limit(k).agg(F.min("monto")).scalar()
+    return top_sales(sales.filter(F.col("monto") >= kth), k)
+
+
 def web_activity(events: DataFrame) -> DataFrame:
     """Events, customers and sessions per month, event type and device."""
     keys = ["anio_mes", "event_type", "device"]

@@ -87,10 +87,10 @@ def ventas(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def productos(spark: SparkSession, folder: str) -> DataFrame:
-    """The catalogue; every tenth part is left out, so some sales have no product."""
-    parts = table(spark, folder, "part").filter(F.col("p_partkey") % 10 != 0)
-    return parts.select(
-        F.col("p_partkey").alias("id_producto"),
+    """The catalogue. Every tenth part has been renumbered in it, so some sales find no product."""
+    renumbered = F.when(F.col("p_partkey") % 10 == 0, -F.col("p_partkey")).otherwise(F.col("p_partkey"))
+    return table(spark, folder, "part").select(
+        renumbered.alias("id_producto"),
         F.col("p_name").alias("nombre_producto"),
         F.lower("p_type").alias("categoria"),
         F.col("p_brand").alias("proveedor"),

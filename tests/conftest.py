@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     yield session

@@ -111,3 +111,9 @@ def test_scores(spark):
     got = [(r.riesgo_retraso, r.entrega_a_tiempo, r.ocupacion_pct) for r in fleet.scored(df).collect()]
     # 0.45 + 0.10 is 0.55 and so not below the limit.
     assert got == [(0.6, False, 62.5), (1.0, False, 62.5), (0.55, False, 62.5), (0.28, True, 62.5), (None, None, 62.5)]
+
+
+def test_alert_conditions_reach_the_scan(spark, tmp_path, plan_of):
+    events(spark, {}).write.parquet(str(tmp_path / "t"))
+    plan = plan_of(fleet.alerts(fleet.prepare(spark.read.parquet(str(tmp_path / "t")))))
+    assert "Or(Or(GreaterThanOrEqual(riesgo_retraso,0.75)" in plan and "IsNotNull(camion)" in plan

@@ -28,6 +28,13 @@ def test_overall_of_nothing_is_one_row(df):
     assert tuple(sales.overall(df.limit(0)).first()) == (0, 0, 0, None, None, None, None, None, None)
 
 
+def test_overall_from_rollup_and_table(df):
+    for rows in (df, df.limit(0)):
+        table = sales.overall_of_table(sales.sales_rollup(rows), rows)
+        assert table.schema.names == sales.overall(rows).schema.names
+        assert tuple(table.first()) == tuple(sales.overall(rows).first())
+
+
 def test_a_full_rollup_gives_the_same_tables_as_a_narrow_one(df):
     full = sales.sales_rollup(df)
     narrow = sales.sales_rollup(df, ("anio_mes", "id_cliente"))
@@ -77,3 +84,13 @@ def test_web_activity(spark):
         "*", "'2026-01' as anio_mes", "'login' as event_type", "'mobile' as device"
     )
     assert tuple(sales.web_activity(events).first())[3:] == (3, 2, 2)
+
+
+def test_top_sales_of_a_table_push_the_kth_amount_into_the_scan(spark, df, tmp_path, plan_of):
+    wide = df.withColumns({c: F.lit("x") for c in ("nombre_producto", "pais", "fecha_venta", "precio_unitario")})
+    wide.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    for k in (1, 2, 10):
+        assert sales.top_sales_of_table(table, k).collect() == sales.top_sales(table, k).collect()
+    plan = plan_of(sales.top_sales_of_table(table))
+    assert "ReadSchema: struct<monto:double>" in plan and "DataFilters: [isnotnull(monto" in plan
