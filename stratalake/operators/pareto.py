@@ -23,12 +23,14 @@ THRESHOLD = 0.80
 
 def _slice_table(ranged: DataFrame, entity: str, total: str) -> DataFrame:
     """Per slice: rows and sum before it, its lowest total, and the equals of that in later slices."""
-    bounds = ranged.groupBy("_slice").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(total).alias("amount"),
-        F.max(total).alias("high"),
-        F.min(total).alias("low"),
-        F.min(entity).alias("first"),
+    bounds = settle(
+        ranged.groupBy("_slice").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(total).alias("amount"),
+            F.max(total).alias("high"),
+            F.min(total).alias("low"),
+            F.min(entity).alias("first"),
+        )
     )
     heads = (
         ranged.join(F.broadcast(bounds.select("_slice", "high")), "_slice")
@@ -36,12 +38,14 @@ def _slice_table(ranged: DataFrame, entity: str, total: str) -> DataFrame:
         .groupBy("_slice")
         .agg(F.sum(total).alias("head"))
     )
-    # From here on there is one row per slice, at most as many as shuffle partitions.
+    # From here on there is one row per slice, at most as many as shuffle partitions. Both tables are
+    # used more than once below; settled, each costs one pass over the customers.
+    bounds = settle(bounds.join(heads, "_slice"))
     position = [F.desc("high"), F.desc("low"), F.asc("first")]
     before = W.orderBy(*position).rowsBetween(W.unboundedPreceding, -1)
     everything = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     equals_later = W.partitionBy("high").orderBy(*position).rowsBetween(1, W.unboundedFollowing)
-    placed = bounds.join(heads, "_slice").select(
+    placed = bounds.select(
         "_slice",
         "high",
         "low",
@@ -64,7 +68,7 @@ def _slice_table(ranged: DataFrame, entity: str, total: str) -> DataFrame:
 def cumulative(df: DataFrame, entity: str, total: str, slices: int | None = None) -> DataFrame:
     """Add rank, running total (equals share it) and grand total to one row per ``entity``.
 
-    ``total`` must be a decimal, so that sums do not depend on the order of addition. The layout is
+    ``total`` must be a decimal or whole number, so that sums do not depend on the order of addition. The layout is
     computed once into reliable storage: the two passes over it must see identical slices.
     """
     order = [F.desc(total), F.asc(entity)]
@@ -88,16 +92,17 @@ def pareto(customers: DataFrame, threshold: float = THRESHOLD, slices: int | Non
     ``customers`` has id_cliente, ventas and total (decimal). The share is rounded before it is
     compared with the threshold.
     """
-    ranked = cumulative(customers.select("id_cliente", "ventas", "total"), "id_cliente", "total", slices)
-    share = F.try_divide(F.col("running_total").cast("double"), F.col("grand_total").cast("double"))
+    cents = (F.col("total") * 100).cast("bigint").alias("cents")
+    ranked = cumulative(customers.select("id_cliente", "ventas", cents), "id_cliente", "cents", slices)
+    share = F.try_divide(F.col("running_total"), F.col("grand_total"))
     percent = round_half_up(F.col("porcentaje_acumulado") * 100, 2)
     return ranked.select(
         "id_cliente",
         F.col("ventas").alias("cantidad_ventas"),
-        F.col("total").cast("double").alias("total_comprado"),
-        F.col("grand_total").cast("double").alias("ingreso_global"),
+        (F.col("cents") / 100).alias("total_comprado"),
+        (F.col("grand_total") / 100).alias("ingreso_global"),
         F.col("rank").cast("bigint").alias("ranking_cliente"),
-        F.col("running_total").cast("double").alias("ingreso_acumulado"),
+        (F.col("running_total") / 100).alias("ingreso_acumulado"),
         round_half_up(share, 4).alias("porcentaje_acumulado"),
     ).withColumns(
         {
