@@ -75,7 +75,10 @@ def cumulative(df: DataFrame, entity: str, total: str, slices: int | None = None
     ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
     ranged = settle(ranged.withColumn("_slice", F.spark_partition_id()))
     placed = ranged.join(F.broadcast(_slice_table(ranged, entity, total)), "_slice")
-    within = W.partitionBy("_slice")
+    # rows_before tells slices apart and orders them: one shuffle both gathers the slices for the
+    # windows and leaves the result sorted by rank.
+    placed = placed.repartitionByRange("rows_before")
+    within = W.partitionBy("rows_before")
     reached = F.sum(total).over(within.orderBy(F.desc(total)))
     unseen = F.when(F.col(total) == F.col("low"), F.col("low_later")).otherwise(F.lit(0))
     return placed.select(

@@ -28,12 +28,12 @@ def all_strings(columns: list[str]) -> str:
 def read_csv(spark: SparkSession, path: str, name: str = "csv", columns: list[str] | None = None) -> DataFrame:
     """CSV with header, every column a string.
 
-    Without ``columns`` the header decides. With them, a file whose header differs is an error
-    instead of being read by position.
+    Without ``columns`` the header decides. A file whose header differs, from ``columns`` or from the
+    other files, is an error instead of being read by position.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if columns:
-        reader = reader.schema(all_strings(columns)).option("enforceSchema", False)
+        reader = reader.schema(all_strings(columns))
     return _guarded(lambda: reader.csv(path), name, path)
 
 

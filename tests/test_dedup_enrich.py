@@ -1,4 +1,6 @@
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import latest
@@ -17,6 +19,21 @@ def test_missing_time_loses(spark):
     assert rows(latest(df, ["id"], ["at"])) == [(1, 1, "a")]
 
 
+ROW = st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)), st.sampled_from(["a", "b", None]))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ROW, min_size=1, max_size=30))
+def test_same_survivors_as_a_plain_loop(spark, data):
+    best = {}
+    for key, at, text in data:
+        rank = (at is not None, at or 0, text is not None, text or "")
+        if key not in best or rank > best[key][0]:
+            best[key] = (rank, (key, at, text))
+    df = spark.createDataFrame(data, "key int, at int, text string").repartition(3)
+    assert sorted(rows(latest(df, ["key"], ["at"]))) == sorted(r for _, r in best.values())
+
+
 def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     df = spark.range(0, 120_000, 1, 12).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"), F.col("id").alias("at")

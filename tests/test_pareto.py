@@ -86,4 +86,9 @@ def test_no_window_over_all_customers(spark, plan_of):
     ranked = pareto.cumulative(customers(spark, SHAPES["distinct"]), "id_cliente", "total", 4)
     plan = plan_of(ranked)
     top = plan[: plan.index("BroadcastExchange")]
-    assert "hashpartitioning(_slice" in top and "SinglePartition" not in top
+    assert top.count("Exchange") == 1 and "rangepartitioning(rows_before" in top
+
+
+def test_the_result_comes_in_order_of_rank(spark):
+    table = pareto.pareto(customers(spark, SHAPES["a third equal"]), slices=9)
+    assert [r.ranking_cliente for r in table.collect()] == list(range(1, 901))

@@ -25,6 +25,13 @@ def test_csv_with_another_header_is_an_error(spark, tmp_path):
         files.read_csv(spark, str(tmp_path), columns=["a", "b"]).collect()
 
 
+def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "b.csv").write_text("b,a\nx,1\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(tmp_path)).collect()
+
+
 def test_json_with_schema_does_not_infer(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"event_id": 1, "page": "/x"}\n{"event_id": "?", "page": "/y"}\n')
     got = files.read_json(spark, str(tmp_path), schema=schemas.WEB_RAW)
