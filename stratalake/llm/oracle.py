@@ -110,7 +110,106 @@ from timed
 """
 
 
+_SHINGLES = r"""
+tokens as (
+  select doc_id, regexp_extract_all(LOWERED, '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when coalesce(len(w), 0) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) end as s
+  from tokens)""".replace("LOWERED", _LOWER.format("text"))
+
+MINHASH = f"""
+with recursive {_SHINGLES},
+classes as (select min(doc_id) as c, list_sort(s) as s, len(s) as n from sets where len(s) > 0 group by list_sort(s), len(s)),
+cells as (select c, n, unnest(s) as g from classes),
+-- two alike sets share one of the rarest shingles of each: the first 15 in a hundred and one, by frequency
+ranked as (
+  select c, n, cells.g, row_number() over (partition by c order by k, cells.g) as r
+  from cells join (select g, count(*) as k from cells group by g) using (g)),
+rare as (select c, n, g from ranked where r <= n - (85 * n + 99) // 100 + 1),
+pairs as (
+  select distinct a.c as x, b.c as y from rare a join rare b
+    on a.g = b.g and a.c < b.c and 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)),
+links as (
+  select x, y from (
+    select x, y, a.n as nx, b.n as ny, len(list_intersect(a.s, b.s)) as common
+    from pairs join classes a on a.c = x join classes b on b.c = y)
+  where 100 * common >= 85 * (nx + ny - common)),
+reach(c, to_c) as (
+  select c, c from classes
+  union select r.c, l.y from reach r join (select x, y from links union all select y, x from links) l on r.to_c = l.x),
+named as (select c, min(to_c) as component from reach group by c)
+select doc_id, len(sets.s)::bigint as n_shingles, coalesce(component, doc_id)::bigint as component_id,
+  doc_id = coalesce(component, doc_id) as kept
+from sets left join classes on list_sort(sets.s) = classes.s left join named using (c)
+"""
+
+DECONTAMINATION = r"""
+with d as (
+  select doc_id, coalesce(regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from documents),
+b as (
+  select item_id, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select item_id, w[i:i + 9] as g from (select item_id, w, unnest(range(1, len(w) - 8)) as i from b where len(w) >= 10)
+  union select item_id, w from b where len(w) between 1 and 9),
+sizes as (select distinct len(g) as m from windows),
+spots as (
+  select doc_id, m, i, w[i:i + m - 1] as g
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i from d, sizes where len(w) >= m)),
+found as (select distinct doc_id, m, i, item_id from spots join windows using (g)),
+hits as (
+  select doc_id, count(distinct h) as n_hit
+  from (select doc_id, unnest(range(i, i + m)) as h from (select distinct doc_id, m, i from found)) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+  from (select distinct doc_id, item_id::varchar as item from found) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hits using (doc_id) left join items using (doc_id)
+""".replace("LOWERED", _LOWER.format("text"))
+
+QUALITY_RULES = r"""
+with t as (
+  select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w, string_split(coalesce(text, ''), chr(10)) as l
+  from documents),
+trigrams as (
+  select doc_id, i, [w[i], w[i + 1], w[i + 2]] as g
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from t where len(w) >= 3)),
+repeats as (
+  select doc_id, unnest([i, i + 1, i + 2]) as i
+  from (select doc_id, i, count(*) over (partition by doc_id, g) as k from trigrams) where k > 1),
+repeated as (select doc_id, count(distinct i) as n from repeats group by doc_id),
+lines as (select doc_id, unnest(l) as line from t),
+lined as (
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+  from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+m as (
+  select doc_id, len(w)::bigint as n_words, coalesce(length(array_to_string(w, '')), 0)::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
+    coalesce(n_dup_lines, 0)::bigint as n_dup_lines, coalesce(repeated.n, 0)::bigint as n_repeat_words,
+    coalesce(n_lines, 0)::bigint as n_lines,
+    length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]+', '', 'g'))::bigint as n_letters,
+    length(regexp_replace(text, '[^A-Z]+', '', 'g'))::bigint as n_upper
+  from t left join lined using (doc_id) left join repeated using (doc_id)),
+f as (
+  select *, (case when n_words < 50 then 1 else 0 end | case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end
+    | case when 10 * n_symbols > 10 * n_words then 4 else 0 end | case when 10 * n_symbols > 3 * n_words then 8 else 0 end
+    | case when n_lines >= 4 and 2 * n_dup_lines > n_lines then 16 else 0 end
+    | case when word_chars > 30 * n_words then 32 else 0 end | case when 2 * word_chars < 3 * n_words then 64 else 0 end
+    | case when 10 * n_upper > 8 * n_letters then 128 else 0 end
+    | case when 2 * n_letters < word_chars then 256 else 0 end)::bigint as failed
+  from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, (failed & 3) <> 0 as base_failed,
+  (failed & 375) = 0 as kept
+from f
+"""
+
+
 ORACLE = {
+    "op4_minhash": MINHASH,
+    "op7_decontamination": DECONTAMINATION,
+    "op8_quality_rules": QUALITY_RULES,
     "op3_mixing": _mixing(),
     "op5_url_filter": URL_FILTER,
     "op6_line_dedup": LINE_DEDUP,

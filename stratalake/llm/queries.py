@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import line_dedup, mixing, url_filter
+from stratalake.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, url_filter
 from stratalake.llm.common import table
 from stratalake.llm.oracle import ORACLE
 
@@ -25,6 +25,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -37,7 +41,32 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
+    hit = F.aggregate("__hits", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    items = F.array_sort(F.transform("__items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        F.col("__n_words").alias("n_words"),
+        hit.alias("n_hit"),
+        F.size("__items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    entries = quality_rules.ledger(table(spark, folder, "documents"))
+    return quality_rules.apply_policy(entries, "v1").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", "base_failed", "kept"
+    )
+
+
 QUERIES = {
+    "op4_minhash": op4_minhash,
+    "op7_decontamination": op7_decontamination,
+    "op8_quality_rules": op8_quality_rules,
     "op3_mixing": op3_mixing,
     "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
