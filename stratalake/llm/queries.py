@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, url_filter
+from stratalake.llm import decontaminate, language_id, line_dedup, minhash, mixing, quality_rules, url_filter
 from stratalake.llm.common import table
 from stratalake.llm.oracle import ORACLE
 
@@ -63,7 +63,19 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    return language_id.identify_documents(docs).select(
+        "doc_id",
+        F.col("lang").alias("declared"),
+        F.col("__language").alias("language"),
+        F.round("__probability", 6).alias("probability"),
+        F.col("__kept").alias("kept"),
+    )
+
+
 QUERIES = {
+    "op10_language_id": op10_language_id,
     "op4_minhash": op4_minhash,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
