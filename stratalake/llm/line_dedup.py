@@ -43,10 +43,13 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     of which nothing is left is empty.
     """
     key = {"__id": order_id(), "__text": F.xxhash64("text")}
-    lines = F.split("text", "\n", -1)
-    found = docs.select(
-        *[v.alias(k) for k, v in key.items()], F.explode(windows(lines)).alias("w")
-    ).select("__id", "__text", "w.at", "w.a", "w.b")
+    split = F.split("text", "\n", -1)  # a column of its own: inside a lambda it would be split again for every line
+    lines = F.col("__split")
+    found = (
+        docs.select(*[v.alias(k) for k, v in key.items()], split.alias("__split"))
+        .select("__id", "__text", F.explode(windows(lines)).alias("w"))
+        .select("__id", "__text", "w.at", "w.a", "w.b")
+    )
     place = F.struct("__id", "at", "__text")
     repeated = (
         found.groupBy("a", "b")
@@ -59,6 +62,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     joined = docs.withColumns(key).join(covered, ["__id", "__text"], "left")
     hit = F.flatten(F.transform("__starts", lambda s: F.array(*[s + k for k in range(WIDTH)])))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), hit)
+    joined = joined.withColumn("__split", split)
     joined = joined.withColumn("__left", F.when(F.col("__starts").isNotNull(), left))
     text = F.when(
         F.col("__left").isNotNull(), F.array_join(F.transform("__left", lambda i: F.get(lines, i)), "\n")
@@ -67,7 +71,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     removed = F.when(F.col("__left").isNotNull(), count - F.size("__left")).otherwise(0).cast("bigint")
     return (
         joined.withColumns({"__lines": count, "__removed": removed, "__new": text})
-        .drop("__id", "__text", "__starts", "__left", "text")
+        .drop("__id", "__text", "__starts", "__left", "__split", "text")
         .withColumnRenamed("__new", "text")
         .select(*docs.columns, "__lines", "__removed")
     )
