@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, language_id, line_dedup, minhash, mixing, quality_rules, url_filter
+from stratalake.llm import decontaminate, html_text, language_id, line_dedup, minhash, mixing, quality_rules, url_filter
 from stratalake.llm.common import table
 from stratalake.llm.oracle import ORACLE
 
@@ -63,6 +63,14 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.train(pages))
+    return found.select(
+        "page_id", "url", F.col("__text").alias("text"), F.length("__text").cast("bigint").alias("n_chars")
+    )
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
     return language_id.identify_documents(docs).select(
@@ -75,6 +83,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
     "op4_minhash": op4_minhash,
     "op7_decontamination": op7_decontamination,
