@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, html_text, language_id, line_dedup, minhash, mixing, quality_rules, url_filter
+from stratalake.llm import decontaminate, html_text, language_id, line_dedup, minhash, mixing, quality_rules, toxicity, url_filter
 from stratalake.llm.common import table
 from stratalake.llm.oracle import ORACLE
 
@@ -21,6 +21,18 @@ URL_RULES = [
 ]
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.round("__severity", 6).alias("expected_severity"),
+        F.col("__grade").alias("grade"),
+        F.round("__p_toxic", 6).alias("p_toxic"),
+        F.col("__toxic").alias("toxic"),
+    )
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -83,6 +95,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
     "op4_minhash": op4_minhash,
