@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, html_text, language_id, line_dedup, minhash, mixing, quality_rules, toxicity, url_filter
+from stratalake.llm import decontaminate, html_text, language_id, line_dedup, minhash, mixing, quality_rules, suffix_dedup, toxicity, url_filter
 from stratalake.llm.common import table
 from stratalake.llm.oracle import ORACLE
 
@@ -33,6 +33,17 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -95,6 +106,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op1_toxicity": op1_toxicity,
     "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
