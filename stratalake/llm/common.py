@@ -41,7 +41,9 @@ def order_id(name: str = "doc_id") -> Column:
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose ``column`` (binary) holds about ``limit`` bytes, or one long row."""
     for batch in batches:
-        size, start = 0, 0
+        if not batch.num_rows:
+            continue
+        start = 0
         lengths = batch.column(column).cast(pa.large_binary())
         ends = memoryview(lengths.buffers()[1]).cast("q")[lengths.offset : lengths.offset + len(lengths) + 1]
         for i in range(batch.num_rows):

@@ -99,7 +99,7 @@ def mix(
     most: int = 2,
     weights: tuple[int, ...] = WEIGHTS,
     schedules: dict[int, list[tuple[float, float]]] | None = None,
-    group_rows: int = 4096,
+    group_rows: int = 1024,
 ) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, source, text), sorted by training position.
 
