@@ -1,0 +1,96 @@
+"""The pipeline's stages, one after another, against brute force and on odd rows."""
+
+import pytest
+
+import corpus_pipeline
+from stratalake.llm.common import written
+
+
+def staged(spark, docs, folder):
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, folder), name)
+        out[name] = docs
+    return out
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return {"documents": docs, **staged(spark, docs, folder)}
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_names_and_columns(stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "minhash", "decontamination", "mixing"]
+    columns = stages["documents"].columns
+    assert all(stages[n].columns == columns for n in ("language_id", "line_dedup", "minhash", "decontamination"))
+
+
+def test_language_stage_keeps_clean_documents(stages):
+    before, after = texts(stages["documents"]), texts(stages["language_id"])
+    assert after.items() <= before.items()
+    assert len(after) > 0.95 * len(before)
+
+
+def test_line_stage(stages):
+    from test_flat_operators import without_repeats
+
+    before = texts(stages["language_id"])
+    expected = without_repeats(list(before.items()))
+    left = {i: e[2] for (i, _), e in expected.items() if e[1] == 0 or e[1] < e[0]}
+    assert texts(stages["line_dedup"]) == left
+    assert all(r.n_chars == len(r.text) for r in stages["line_dedup"].collect())
+
+
+def test_near_duplicate_stage(stages):
+    from test_minhash import shingles
+
+    before, after = texts(stages["line_dedup"]), texts(stages["minhash"])
+    sets = {i: shingles(t, 5) for i, t in before.items()}
+    ids = sorted(before)
+    top = {i: i for i in ids}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                x, y = sorted((root(a), root(b)))
+                top[y] = x
+    assert after == {i: before[i] for i in ids if root(i) == i}
+
+
+def test_benchmark_stage(spark, folder, stages):
+    from test_flat_operators import hits
+
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    before, after = texts(stages["minhash"]), texts(stages["decontamination"])
+    for i, text in before.items():
+        n, hit, _ = hits(text, items, 10)
+        if not hit:
+            assert after[i] == text
+        elif 2 * len(hit) > n:
+            assert i not in after
+        else:
+            assert hits(after[i], items, 10)[0] == n - len(hit)
+
+
+def test_mix_stage(stages):
+    rows = stages["mixing"].collect()
+    assert {r.doc_id for r in rows} == set(texts(stages["decontamination"]))
+    assert sum(r.taken for r in rows) > 1.4 * sum(r.size for r in rows)
+
+
+def test_odd_rows_and_no_rows(spark, folder, odd_docs, no_docs):
+    out = staged(spark, odd_docs, folder)
+    assert out["decontamination"].columns == odd_docs.columns
+    assert 0 < out["mixing"].count() <= odd_docs.count()
+    assert all(df.count() == 0 for df in staged(spark, no_docs, folder).values())
