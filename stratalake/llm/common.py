@@ -19,13 +19,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back; the folder goes when the application ends."""
-    spark = df.sparkSession
-    path = run_dir(spark, name)
+    """Write once to the shared folder and read back; the table goes when the application ends."""
+    path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -1,12 +1,12 @@
 """Removal of long repeated strings with run-length Burrows-Wheeler indexes.
 
-Every ``length``-byte string of a text is kept under an anchor, the smallest hash of the 16-byte strings inside it.
+Every ``length``-byte string of a text is kept under an anchor, the smallest hash of the 24-byte strings inside it.
 Equal strings have equal anchors, so repeats are found within an anchor, wherever the documents are:
 
-1. Documents are dealt out to blocks of a few megabytes. A block lists the anchors of its texts once each; anchors of
-   one document only are dropped.
-2. For the others a block cuts out the stretch of text around each occurrence that holds the strings under the anchor,
-   about 85 bytes, and lists equal stretches once. Stretches are dealt out by anchor to shards.
+1. Documents are dealt out to blocks of a few megabytes. A block lists the anchors of its texts once each, five bytes
+   for each, dealt out to buckets of anchors, and gets back a bit for each: whether several documents have it.
+2. For those a block cuts out the stretch of text around each occurrence that holds the strings under the anchor,
+   about 65 bytes, and lists equal stretches once. Stretches are dealt out by anchor to shards, compressed.
 3. A stretch that a smaller document has, too, is repeated from end to end. What remains, the first holder of each
    distinct stretch, may share strings with other stretches of the anchor: a shard builds a run-length index over
    its distinct stretches and streams them through it. Matching statistics of ``length`` or more tell the smallest
@@ -20,22 +20,24 @@ size (or one long document), and an anchor's rows in its shard are at most one f
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import order_id
 from stratalake.llm.run_length_index import RunLengthIndex
 from stratalake.llm.words import mix
 
-ANCHOR = 16
+ANCHOR = 24
+#: Anchors that a bucket looks at together.
+BUCKET = 1 << 18
 #: A run of strings with the same anchor is cut into parts of so many strings.
 LONGEST_RUN = 64
 _CHUNK = 1 << 20
-_PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i8")])
-_MARK = np.dtype([("row", "<i4"), ("start", "<i8"), ("end", "<i8")])
+_FACTORS = np.random.default_rng(13).integers(1, 2**63, 3, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 
 
 def _rows(frame: pa.Table) -> tuple[np.ndarray, list[bytes], list[int]]:
@@ -55,8 +57,9 @@ def _runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
     for begin in range(0, total, _CHUNK):
         stop = min(total, begin + _CHUNK)
         n = min(total, stop + reach - 1) - begin  # hashes needed for the strings that start in this chunk
-        eight = np.ndarray((n + 8,), "<u8", buffer, begin, (1,))
-        least = mix(eight[:n] * np.uint64(0x9E3779B97F4A7C15) + eight[8:] * np.uint64(0xC2B2AE3D27D4EB4F))
+        eight = np.ndarray((n + 16,), "<u8", buffer, begin, (1,))
+        least = eight[:n] * _FACTORS[0] + eight[8 : n + 8] * _FACTORS[1] + eight[16:] * _FACTORS[2]
+        least = mix(least ^ least >> np.uint64(32))
         done = 1
         while done < reach:
             by = min(done, reach - done)
@@ -81,57 +84,130 @@ def _runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
         counts.append(np.minimum(np.repeat(number, parts) - part * LONGEST_RUN, LONGEST_RUN))
         anchors.append(anchor[head])
     if not rows:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.int64),)
+        return (np.zeros(0, np.int64),) * 4
     return np.concatenate(rows), np.concatenate(starts), np.concatenate(counts), np.concatenate(anchors).view(np.int64)
 
 
-def _anchors_of(length: int):
+def _keys(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """(bucket, low 40 bits) of an anchor as one sortable value; what two anchors share by chance is told apart later."""
+    a = anchor.view(np.uint64)
+    return (((a >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(40) | a & np.uint64((1 << 40) - 1)
+
+
+def _anchors_of(length: int, buckets: int):
     def run(frame: pa.Table) -> pa.Table:
-        """(block, anchor, several): every anchor of a block, and whether several documents of it have it."""
+        """(bucket, block, keys): the block's anchors, each once, five bytes each, and a bit for each that tells
+        whether several documents of the block have it."""
         ids, texts, _ = _rows(frame)
         row, _, _, anchor = _runs(texts, length)
-        order = np.argsort(anchor, kind="stable")
-        anchor, doc = anchor[order], ids[row[order]]
-        first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(anchor) else np.zeros(0, np.int64)
+        key, doc = _keys(anchor, buckets), ids[row]
+        order = np.argsort(key, kind="stable")
+        key, doc = key[order], doc[order]
+        first = _heads(key)
         several = np.maximum.reduceat(doc, first) > np.minimum.reduceat(doc, first) if len(first) else np.zeros(0, bool)
+        key = key[first]
+        bucket = (key >> np.uint64(40)).astype(np.int64)
+        cut = np.append(_heads(bucket), len(bucket))
         block = frame.column("block")[0].as_py()
+        five = np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, :5]
+        parts = [five[s:e].tobytes() + np.packbits(several[s:e]).tobytes() for s, e in zip(cut, cut[1:], strict=False)]
         return pa.table(
-            {"block": pa.array(np.full(len(first), block)), "anchor": pa.array(anchor[first]), "several": pa.array(several)}
-        )
+            {"bucket": pa.array(bucket[cut[:-1]]), "block": pa.array(np.full(len(parts), block)),
+             "size": pa.array(np.diff(cut)), "keys": pa.array(parts, pa.binary())}
+        )
 
     return run
 
 
-def _stretches_of(length: int, shards: int):
+def _repeated(frame: pa.Table) -> pa.Table:
+    """(block, bucket, bits): which of the block's anchors in the bucket several documents have, here or elsewhere."""
+    sizes = frame.column("size").to_numpy()
+    keys, several = [], []
+    for n, raw in zip(sizes.tolist(), frame.column("keys").to_pylist(), strict=True):
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :5] = np.frombuffer(raw, np.uint8, 5 * n).reshape(n, 5)
+        keys.append(wide.view(np.uint64).ravel())
+        several.append(np.unpackbits(np.frombuffer(raw, np.uint8, offset=5 * n), count=n).astype(bool))
+    key, again = np.concatenate(keys), np.concatenate(several)
+    order = np.argsort(key, kind="stable")
+    first = _heads(key[order])
+    number = np.diff(np.append(first, len(key)))
+    again[order] = np.repeat((number > 1) | np.logical_or.reduceat(again[order], first), number)
+    cut = np.concatenate(([0], np.cumsum(sizes)))
+    bits = [np.packbits(again[s:e]).tobytes() for s, e in zip(cut, cut[1:], strict=False)]
+    return pa.table(
+        {"block": frame.column("block"), "bucket": frame.column("bucket"), "bits": pa.array(bits, pa.binary())}
+    )
+
+
+def _heads(sorted_values: np.ndarray) -> np.ndarray:
+    """Position of the first of each group of equal values."""
+    if not len(sorted_values):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
+
+
+def _packed(*columns: np.ndarray | bytes) -> bytes:
+    """Columns of a blob, each compressed, with its length before it."""
+    out = []
+    for c in columns:
+        raw = c if isinstance(c, bytes) else np.ascontiguousarray(c).tobytes()
+        small = pa.compress(raw, "zstd", asbytes=True) if raw else b""
+        out += [len(raw).to_bytes(8, "little"), len(small).to_bytes(8, "little"), small]
+    return b"".join(out)
+
+
+def _unpacked(blob: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(blob):
+        size, small = (int.from_bytes(blob[at + k : at + k + 8], "little") for k in (0, 8))
+        part = blob[at + 16 : at + 16 + small]
+        yield pa.decompress(part, size, "zstd", asbytes=True) if size else b""
+        at += 16 + small
+
+
+def _stretches_of(length: int, buckets: int, shards: int):
     def run(texts: pa.Table, repeated: pa.Table) -> pa.Table:
-        """(shard, block, anchor, stretch, places): the distinct stretches of a block under repeated anchors."""
-        empty = pa.table(
-            {"shard": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "anchor": pa.array([], pa.int64()),
-             "stretch": pa.array([], pa.binary()), "places": pa.array([], pa.binary())}
-        )
+        """(shard, block, stretches): the distinct stretches of a block under repeated anchors, packed."""
         if not texts.num_rows or not repeated.num_rows:
-            return empty
+            return pa.table({"shard": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "stretches": pa.array([], pa.binary())})
         ids, held, _ = _rows(texts)
         row, start, count, anchor = _runs(held, length)
-        wanted = np.sort(repeated.column("anchor").to_numpy())
-        at = np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)
-        hit = np.flatnonzero(wanted[at] == anchor)
-        found: dict[tuple[int, bytes], list[int]] = {}
-        for i, r, s, c, a in zip(hit.tolist(), row[hit].tolist(), start[hit].tolist(), count[hit].tolist(), anchor[hit].tolist(), strict=True):
-            found.setdefault((a, held[r][s : s + c + length - 1]), []).append(i)
-        places = np.empty(len(row), _PLACE)
-        places["doc"], places["row"], places["start"] = ids[row], row, start
-        keys = np.array([a for a, _ in found], np.int64)
+        key = _keys(anchor, buckets)
+        listed = np.unique(key)
+        again = np.zeros(len(listed), bool)
+        begin = np.searchsorted(listed, repeated.column("bucket").to_numpy().astype(np.uint64) << np.uint64(40))
+        stop = np.searchsorted(listed, (repeated.column("bucket").to_numpy().astype(np.uint64) + np.uint64(1)) << np.uint64(40))
+        for b, e, bits in zip(begin.tolist(), stop.tolist(), repeated.column("bits").to_pylist(), strict=True):
+            again[b:e] = np.unpackbits(np.frombuffer(bits, np.uint8), count=e - b)
+        hit = np.flatnonzero(again[np.searchsorted(listed, key)])
+        found: dict[bytes, list[int]] = {}
+        for i, r, s, c in zip(hit.tolist(), row[hit].tolist(), start[hit].tolist(), count[hit].tolist(), strict=True):
+            found.setdefault(held[r][s : s + c + length - 1], []).append(i)
+        distinct, spots = list(found), list(found.values())
+        first = np.fromiter((i[0] for i in spots), np.int64, len(spots))
+        shard = (mix(anchor[first].view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cut = np.append(_heads(shard[order]), len(order))
+        blobs = []
+        for s, e in zip(cut, cut[1:], strict=False):
+            own = order[s:e].tolist()
+            at = np.array([i for k in own for i in spots[k]])
+            rows_, local = np.unique(row[at], return_inverse=True)
+            blobs.append(
+                _packed(
+                    (anchor[first[own]].view(np.uint64) >> np.uint64(32)).astype(np.uint32),
+                    np.array([len(distinct[k]) for k in own], np.int32),
+                    np.array([len(spots[k]) for k in own], np.int32),
+                    rows_.astype(np.int64), ids[rows_], local.astype(np.int32), start[at].astype(np.int64),
+                    b"".join([distinct[k] for k in own]),
+                )
+            )
         block = texts.column("block")[0].as_py()
         return pa.table(
-            {
-                "shard": pa.array((mix(keys.view(np.uint64)) % np.uint64(shards)).astype(np.int64)),
-                "block": pa.array(np.full(len(keys), block)),
-                "anchor": pa.array(keys),
-                "stretch": pa.array([s for _, s in found], pa.binary()),
-                "places": pa.array([places[i].tobytes() for i in found.values()], pa.binary()),
-            }
-        )
+            {"shard": pa.array(shard[order][cut[:-1]]), "block": pa.array(np.full(len(blobs), block)),
+             "stretches": pa.array(blobs, pa.binary())}
+        )
 
     return run
 
@@ -139,23 +215,31 @@ def _stretches_of(length: int, shards: int):
 def _marks_of(length: int):
     def run(frame: pa.Table) -> pa.Table:
         """(block, marks): the marked stretches of each block that has any."""
-        stretches, anchors = frame.column("stretch").to_pylist(), frame.column("anchor").to_pylist()
         texts: dict[bytes, int] = {}
-        which = np.array([texts.setdefault(s, len(texts)) for s in stretches])
-        distinct = list(texts)
+        which, anchors, numbers, docs, rows, starts, blocks = ([] for _ in range(7))
+        for block, blob in zip(frame.column("block").to_pylist(), frame.column("stretches").to_pylist(), strict=True):
+            head, size, number, row, doc, local, start, joined = _unpacked(blob)
+            anchors.append(np.frombuffer(head, np.uint32))
+            number, local = np.frombuffer(number, np.int32), np.frombuffer(local, np.int32)
+            end = np.cumsum(np.frombuffer(size, np.int32)).tolist()
+            which += [texts.setdefault(joined[s:e], len(texts)) for s, e in zip([0, *end], end, strict=False)]
+            numbers.append(number)
+            rows.append(np.frombuffer(row, np.int64)[local])
+            docs.append(np.frombuffer(doc, np.int64)[local])
+            starts.append(np.frombuffer(start, np.int64))
+            blocks.append(np.full(len(local), block))
+        distinct, which = list(texts), np.array(which)
         size = np.fromiter(map(len, distinct), np.int64, len(distinct))
-        raw = frame.column("places").to_pylist()
-        places = np.frombuffer(b"".join(raw), _PLACE)
-        number = np.fromiter((len(p) // _PLACE.itemsize for p in raw), np.int64, len(raw))
-        of = np.repeat(which, number)
-        block = np.repeat(frame.column("block").to_numpy(), number)
+        doc, row, start, block = (np.concatenate(c) for c in (docs, rows, starts, blocks))
+        of = np.repeat(which, np.concatenate(numbers))
         holder = np.full(len(distinct), np.iinfo(np.int64).max)
-        np.minimum.at(holder, of, places["doc"])
-        later = places["doc"] > holder[of]
-        marks = [(block[later], places[later], np.zeros(later.sum(), np.int64), size[of[later]])]
+        np.minimum.at(holder, of, doc)
+        later = doc > holder[of]
+        whole = np.flatnonzero(later)
+        marks = [(whole, np.zeros(len(whole), np.int64), size[of[whole]])]
         # first holders of a stretch whose anchor has other stretches, too
-        anchor_of = np.zeros(len(distinct), np.int64)
-        anchor_of[which] = anchors
+        anchor_of = np.zeros(len(distinct), np.uint32)
+        anchor_of[which] = np.concatenate(anchors)
         _, inverse, counts = np.unique(anchor_of, return_inverse=True, return_counts=True)
         shared = np.flatnonzero(counts[inverse] > 1)
         if len(shared):
@@ -176,22 +260,14 @@ def _marks_of(length: int):
                 low, high = np.searchsorted(of[first], owner), np.searchsorted(of[first], owner, side="right")
                 take = np.repeat(np.arange(len(owner)), high - low)
                 spot = first[np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange(len(take))]
-                marks.append((block[spot], places[spot], begin[take], end[take]))
-        blocks = np.concatenate([m[0] for m in marks])
-        out = np.empty(len(blocks), _MARK)
-        out["row"] = np.concatenate([m[1]["row"] for m in marks])
-        out["start"] = np.concatenate([m[1]["start"] + m[2] for m in marks])
-        out["end"] = np.concatenate([m[1]["start"] + m[3] for m in marks])
-        order = np.argsort(blocks, kind="stable")
-        blocks, out = blocks[order], out[order]
-        first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])) if len(blocks) else np.zeros(0, np.int64)
-        cuts = np.append(first, len(blocks))
-        return pa.table(
-            {
-                "block": pa.array(blocks[first]),
-                "marks": pa.array([out[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary()),
-            }
-        )
+                marks.append((spot, begin[take], end[take]))
+        spot = np.concatenate([m[0] for m in marks])
+        begin, end = (np.concatenate([m[k] for m in marks]) + start[spot] for k in (1, 2))
+        order = np.lexsort((begin, row[spot], block[spot]))
+        spot, begin, end = spot[order], begin[order], end[order]
+        cut = np.append(_heads(block[spot]), len(spot))
+        parts = [_packed(row[spot][s:e], begin[s:e], end[s:e]) for s, e in zip(cut, cut[1:], strict=False)]
+        return pa.table({"block": pa.array(block[spot][cut[:-1]]), "marks": pa.array(parts, pa.binary())})
 
     return run
 
@@ -200,13 +276,15 @@ def _cut(texts: pa.Table, marked: pa.Table) -> pa.Table:
     """(id, n_bytes, spans, kept): each text of a block without its marked bytes."""
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     ids, held, order = _rows(texts) if texts.num_rows else (np.zeros(0, np.int64), [], [])
-    marks = np.frombuffer(b"".join(marked.column("marks").to_pylist()), _MARK)
-    marks = marks[np.lexsort((marks["start"], marks["row"]))]
-    cuts = np.searchsorted(marks["row"], np.arange(len(held) + 1))
+    parts = [[np.frombuffer(c, np.int64) for c in _unpacked(m)] for m in marked.column("marks").to_pylist()]
+    row, begin, stop = (np.concatenate([np.zeros(0, np.int64), *[p[k] for p in parts]]) for k in range(3))
+    by = np.lexsort((begin, row))
+    row, begin, stop = row[by], begin[by], stop[by]
+    cuts = np.searchsorted(row, np.arange(len(held) + 1))
     spans, kept = [], []
     for text, s, e in zip(held, cuts, cuts[1:], strict=False):
         merged: list[list[int]] = []
-        for start, end in zip(marks["start"][s:e].tolist(), marks["end"][s:e].tolist(), strict=True):
+        for start, end in zip(begin[s:e].tolist(), stop[s:e].tolist(), strict=True):
             if merged and start <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], end)
             else:
@@ -241,15 +319,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, block_bytes: int = 2 << 20
     blocks = max(1, math.ceil(total / block_bytes))
     dealt = narrow.select(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(blocks)).alias("block"), "id", "text")
     by_block = dealt.groupBy("block")
-    anchors = by_block.applyInArrow(_anchors_of(length), "block bigint, anchor bigint, several boolean")
-    same = Window.partitionBy("anchor")
-    repeated = (
-        anchors.withColumn("again", F.max("several").over(same) | (F.min("block").over(same) < F.max("block").over(same)))
-        .where("again")
-        .select("block", "anchor")
+    buckets = max(1, math.ceil(total / 14 / BUCKET))  # about one anchor in 14 bytes
+    anchors = by_block.applyInArrow(
+        _anchors_of(length, buckets), "bucket bigint, block bigint, size bigint, keys binary"
     )
+    repeated = anchors.groupBy("bucket").applyInArrow(_repeated, "block bigint, bucket bigint, bits binary")
     stretches = by_block.cogroup(repeated.groupBy("block")).applyInArrow(
-        _stretches_of(length, 2 * blocks), "shard bigint, block bigint, anchor bigint, stretch binary, places binary"
+        _stretches_of(length, buckets, blocks), "shard bigint, block bigint, stretches binary"
     )
     marks = stretches.groupBy("shard").applyInArrow(_marks_of(length), "block bigint, marks binary")
     cut = by_block.cogroup(marks.groupBy("block")).applyInArrow(

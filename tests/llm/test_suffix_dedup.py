@@ -44,7 +44,7 @@ def test_random_overlaps(spark):
         parts = [rng.choice(pool)[rng.randrange(30) : 60 + rng.randrange(30)] for _ in range(rng.randrange(4))]
         rows.append((i, "".join(p + rng.choice("xyz") for p in parts)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    for options in ({"block_bytes": 500}, {"length": 20, "block_bytes": 1 << 20}):
+    for options in ({"block_bytes": 500}, {"length": 30, "block_bytes": 1 << 20}):
         assert found(docs, **options) == brute(rows, options.get("length", 50))
 
 
