@@ -108,7 +108,8 @@ select case when id_venta % 97 = 0 then 'abc' else cast(id_venta as varchar) end
        cast(id_cliente as varchar) as id_cliente, cast(id_producto as varchar) as id_producto,
        case when id_venta % 89 = 0 then '3.7' else cast(cantidad as varchar) end as cantidad,
        cast(precio_unitario as varchar) as precio_unitario,
-       case when id_venta % 73 = 0 then '-1' when id_venta % 79 = 0 then '' else cast(monto as varchar) end as monto,
+       case when id_venta % 73 = 0 then '-1' when id_venta % 101 = 0 then '1e21' when id_venta % 103 = 0 then 'NaN'
+         when id_venta % 79 = 0 then '' else cast(monto as varchar) end as monto,
        case when id_venta % 83 = 0 then '2026-13-01' else cast(fecha_venta as varchar) end as fecha_venta,
        '  ' || lower(canal) || ' ' as canal, ' ' || upper(pais) as pais, upper(categoria) || ' ' as categoria,
        fecha_venta as landed_on
@@ -130,7 +131,7 @@ from raw
 
 STRICT = "case when regexp_matches(cantidad, '^-?[0-9]+$') then try_cast(cantidad as int) end"
 LENIENT = "cast(trunc(try_cast(cantidad as double)) as int)"
-SALES_OK = """id_venta is not null and id_cliente is not null and id_producto is not null and monto > 0
+SALES_OK = """id_venta is not null and id_cliente is not null and id_producto is not null and monto > 0 and abs(monto) < 1e12
   and cantidad > 0 and fecha_venta is not null"""
 
 
@@ -276,6 +277,7 @@ from (select event_id, timestamp_evento, camion, zona, lat, lon, toneladas, capa
       from prepared where alerta_operativa)
 order by riesgo_retraso_pct desc, tiempo_espera_min desc, event_id
 """)
+EXTREME = "event_id % 113 = 0 or event_id % 109 = 0 or event_id % 107 = 0 or event_id % 127 = 0"
 BAD, ODD = "event_id % 101 = 0", "event_id % 103 = 0"
 PARSED_FIELDS = ",\n       ".join(
     [
@@ -317,6 +319,7 @@ SALES_RULES = {
     "id_cliente presente": "id_cliente is not null",
     "id_producto presente": "id_producto is not null",
     "monto positivo": "monto > 0",
+    "monto en rango": "monto is null or abs(monto) < 1e12",
     "cantidad positiva": "cantidad > 0",
     "fecha_venta presente": "fecha_venta is not null",
 }
@@ -409,6 +412,13 @@ select estado_entrega, count(*) as total_eventos, count(distinct camion) as cami
        {r("sum(toneladas)")} as toneladas, {r("avg(tiempo_espera_min)")} as tiempo_espera_promedio_min
 from prepared group by estado_entrega order by total_eventos desc, estado_entrega"""),
     "fleet_alerts": FLEET_ALERTS,
+    "fleet_overall_extremes": FLEET_OVERALL.replace("from prepared", f"from prepared where not ({EXTREME})"),
+    "fleet_rejects": on_fleet(f"""
+select event_id, camion, concat_ws('|',
+    case when event_id % 127 = 0 then 'toneladas en rango' end,
+    case when event_id % 113 = 0 or event_id % 109 = 0 then 'velocidad en rango' end,
+    case when event_id % 107 = 0 then 'riesgo_retraso en rango' end) as failed_rules
+from gps where {EXTREME}"""),
     "gps_messages": on_fleet("select camion as key, * exclude (timestamp_evento) from gps"),
     "gps_parse_json": on_fleet(f"{PARSED} from gps"),
     "gps_unreadable": on_fleet(f"""
@@ -430,7 +440,20 @@ select 'ERP_POS' as _source_system, 'CSV' as _source_format, 'batch-1' as _batch
        cast(1 as bigint) as moments
 from lineitem join orders on l_orderkey = o_orderkey""",
     "layer_roundtrip_csv": with_ctes(raw_sales(), f"select {CSV_SALE_COLUMNS} from typed where {SALES_OK}"),
-    "layer_roundtrip_json": with_ctes({"web": WEB}, "select * exclude (event_timestamp) from web"),
+    "layer_roundtrip_json": with_ctes({"web": WEB}, "select * from web"),
+    "bronze_json_untidy": with_ctes(
+        {
+            "web": WEB,
+            "kind": """
+select *, case when event_id % 11 = 0 or event_id % 13 = 0 then 'plain' when event_id % 17 = 0 then 'extra'
+  when event_id % 19 = 0 then 'broken' else 'plain' end as kind from web""",
+        },
+        """
+select case when kind <> 'broken' then event_id end as event_id, case when kind <> 'broken' then id_cliente end as id_cliente,
+       case when kind <> 'broken' then page end as page, case when kind <> 'broken' then event_timestamp end as event_timestamp,
+       kind = 'extra' as has_extra, case when kind = 'broken' then '{broken ' || event_id::varchar end as unread
+from kind""",
+    ),
     "layer_roundtrip_xml": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
     "month_partitions": on_sales(f"""
 select anio_mes, count(*) as ventas, {r("sum(monto)")} as ingreso_total, cast(max(fecha_venta) as varchar) as hasta
@@ -470,7 +493,7 @@ from ventas group by anio_mes"""),
             ),
             rule_hits(
                 RAW_PRODUCTS,
-                {"id_producto presente": "id_producto is not null", "precio_base positivo": "precio_base > 0"},
+                {"id_producto presente": "id_producto is not null", "precio_base positivo": "precio_base > 0", "precio_base en rango": "precio_base is null or abs(precio_base) < 1e9"},
             ),
         ]
     ),

@@ -86,16 +86,12 @@ def kpi_overall(spark, folder):
     return sales.overall(star.ventas_enriquecidas(spark, folder))
 
 
-def _rollup(spark, folder, *keys: str) -> DataFrame:
-    return sales.sales_rollup(star.ventas_enriquecidas(spark, folder), keys or sales.ROLLUP_KEYS)
-
-
 def _customers(spark, folder) -> DataFrame:
-    return sales.by_customer(_rollup(spark, folder, "id_cliente"))
+    return sales.by_customer(sales.sales_rollup(star.customer_lines(spark, folder), sales.CUSTOMER_KEYS))
 
 
 def kpi_monthly(spark, folder):
-    return sales.monthly(_rollup(spark, folder, "anio_mes", "id_cliente"))
+    return sales.monthly(sales.sales_rollup(star.ventas_enriquecidas(spark, folder), sales.MONTH_KEYS, margin=True))
 
 
 def kpi_customer(spark, folder):
@@ -103,7 +99,7 @@ def kpi_customer(spark, folder):
 
 
 def kpi_category_channel(spark, folder):
-    return sales.by_category_channel(_rollup(spark, folder, "categoria_final", "canal", "id_cliente"))
+    return sales.by_category_channel(sales.sales_rollup(star.ventas_enriquecidas(spark, folder), sales.CHANNEL_KEYS))
 
 
 def kpi_web(spark, folder):
@@ -115,7 +111,9 @@ def top_customer(spark, folder):
 
 
 def top10_sales(spark, folder):
-    return sales.top_sales(star.ventas_enriquecidas(spark, folder))
+    """The ten lines are taken first and only they are joined: every line has its order and customer."""
+    lines = star.newest_lines(spark, folder).orderBy(F.desc("monto"), "id_venta").limit(10)
+    return sales.top_sales(star.ventas_enriquecidas(spark, folder, lines))
 
 
 def pareto_customers(spark, folder):
@@ -164,6 +162,16 @@ def fleet_alerts(spark, folder):
     return fleet.sorted_alerts(fleet.prepare(star.gps(spark, folder)))
 
 
+def fleet_overall_extremes(spark, folder):
+    """Measures of 1e21, 1e25, 1e30 and NaN now and then neither stop the run nor blank a KPI."""
+    return fleet.overall(fleet.fleet_rollup(fleet.prepare(star.gps_with_extremes(spark, folder))))
+
+
+def fleet_rejects(spark, folder):
+    rejects = fleet.rejects(star.gps_with_extremes(spark, folder))
+    return rejects.select("event_id", "camion", F.concat_ws("|", "_failed_rules").alias("failed_rules"))
+
+
 def gps_messages(spark, folder):
     """Keyed JSON messages, read back with the schema on arrival."""
     sent = as_messages(star.gps(spark, folder).drop("timestamp_evento"), "camion")
@@ -264,9 +272,23 @@ def layer_roundtrip_csv(spark, folder):
 
 def layer_roundtrip_json(spark, folder):
     place = run_dir(spark, "json")
-    sinks.write_json(star.web_events(spark, folder), place)
+    moment = F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    sinks.write_json(star.web_events(spark, folder).withColumn("event_timestamp", moment), place)
     landed = files.read_json(spark, place, "web_events", schemas.WEB_RAW)
-    return clean.WEB_EVENTS.accepted(clean.WEB_EVENTS.project(landed)).drop("event_timestamp")
+    return clean.WEB_EVENTS.accepted(clean.WEB_EVENTS.project(landed, carry=[]))
+
+
+def bronze_json_untidy(spark, folder):
+    """Quoted ids, ids written 7.0, unknown fields and broken lines: what is read and what is kept as text."""
+    place = run_dir(spark, "json")
+    star.untidy_json(spark, folder).write.text(place)
+    landed = files.read_json(spark, place, "web_events", schemas.WEB_RAW)
+    typed = clean.WEB_EVENTS.project(landed, carry=[files.RAW_LINE])
+    return typed.select(
+        "event_id", "id_cliente", "page", "event_timestamp",
+        F.col(files.RAW_LINE).contains("campo_nuevo").alias("has_extra"),
+        F.when(F.col("event_id").isNull(), F.col(files.RAW_LINE)).alias("unread"),
+    )
 
 
 def layer_roundtrip_xml(spark, folder):
@@ -294,7 +316,7 @@ def _enriched_table(spark, folder) -> DataFrame:
 def kpi_overall_of_table(spark, folder):
     """As the Gold run does it: from the rollup and the product column of the written table."""
     table = _enriched_table(spark, folder)
-    return sales.overall_of_table(sales.sales_rollup(table), table)
+    return sales.overall_of_table(sales.sales_rollup(table, sales.MONTH_KEYS, margin=True), table)
 
 
 def top10_sales_of_table(spark, folder):
@@ -339,7 +361,7 @@ REGISTERED: list[Query] = [
     dedup_sales, clean_sales, clean_sales_lenient, clean_sales_rejects, silver_sales, clean_web, clean_products,
     enrich_sales, kpi_overall, kpi_monthly, kpi_customer, kpi_category_channel, kpi_web, top_customer, top10_sales,
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
-    fleet_alerts, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
+    fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
     stream_dedup, stream_fleet_overall, stream_fleet_zone, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
     layer_roundtrip_xml, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
 ]

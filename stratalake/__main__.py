@@ -12,7 +12,7 @@ from stratalake.plans.gold import run_fleet, run_gold
 from stratalake.plans.publish import run_publish
 from stratalake.plans.silver import run_silver
 from stratalake.plans.stream import run_stream_bronze
-from stratalake.session import configure
+from stratalake.session import SETTINGS
 
 STEPS = {
     "bronze": run_bronze,
@@ -29,17 +29,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("step", choices=STEPS)
     parser.add_argument("--root")
     parser.add_argument("--format", dest="fmt")
+    parser.add_argument("--keep-rejects", action="store_true", help="silver: write the rejected rows, too")
+    parser.add_argument("--lenient-int", action="store_true", help="silver: read 3.7 as 3")
     args = parser.parse_args(argv)
     given = {name: value for name, value in (("root", args.root), ("fmt", args.fmt)) if value}
     cfg = LakeConfig.from_env(**given)
-    builder = configure(
-        SparkSession.builder.appName(f"stratalake-{args.step}"),
-        delta=cfg.fmt == "delta",
-        kafka=args.step == "stream",
-    )
-    spark = builder.getOrCreate()
+    spark = SparkSession.builder.appName(f"stratalake-{args.step}").config(map=SETTINGS).getOrCreate()
     try:
-        STEPS[args.step](spark, cfg)
+        options = {"keep_rejects": args.keep_rejects, "lenient_int": args.lenient_int} if args.step == "silver" else {}
+        STEPS[args.step](spark, cfg, **options)
     finally:
         spark.stop()
 

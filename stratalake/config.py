@@ -49,6 +49,25 @@ GOLD_CATALOG = "catalogo_gold"
 FLEET_CATALOG = "rt_catalogo"
 MAY_BE_EMPTY = frozenset({"rt_alertas_operativas"})
 
+# Order of the rows of each extract; "-" is descending.
+EXTRACT_ORDER = {
+    "ventas_mensuales": ["anio_mes"],
+    "cliente_mayor_volumen": ["ranking_cliente"],
+    "top10_ventas": ["ranking_venta"],
+    "promedio_venta_cliente": ["-total_comprado", "id_cliente"],
+    "pareto_80_clientes": ["ranking_cliente"],
+    "resumen_pareto": ["-ingreso_segmento", "segmento_pareto"],
+    "ventas_categoria_canal": ["-ingreso_total", "categoria_final", "canal"],
+    "web_kpis": ["anio_mes", "event_type", "device"],
+    "rt_kpis_por_zona": ["-alertas_operativas", "-riesgo_promedio_pct", "zona"],
+    "rt_toneladas_por_hora": ["fecha_evento", "hora_evento"],
+    "rt_estado_flota": ["-total_eventos", "estado_entrega"],
+    "rt_alertas_operativas": ["-riesgo_retraso_pct", "-tiempo_espera_min", "event_id"],
+}
+# These grow with the customers or events, so their extract is a folder of files; all others are bounded by
+# months, categories, zones and the like, and are one file.
+FOLDER_EXTRACTS = frozenset({"promedio_venta_cliente", "pareto_80_clientes", "rt_alertas_operativas"})
+
 # Published data sets, in publishing order.
 PUBLISHED = [*GOLD_TABLES, GOLD_CATALOG, *FLEET_TABLES, FLEET_CATALOG]
 
@@ -64,10 +83,6 @@ class LakeConfig:
     brokers: str = DEFAULT_BROKERS
     trigger: str = "10 seconds"
     runtime_seconds: int = 120
-    # An extract with at most this many rows is written as one CSV file.
-    single_file_rows: int = 1_000_000
-    # A dimension with at most this many rows may be broadcast.
-    broadcast_rows: int = 500_000
 
     @classmethod
     def from_env(cls, **overrides) -> LakeConfig:

@@ -33,3 +33,9 @@ def lenient_int(c: Column) -> Column:
     whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
     return F.coalesce(c.try_cast("int"), whole.try_cast("int"))
 
+
+
+def whole(c: Column) -> Column:
+    """Whole number as text: "7" and "7.0" are 7, "7.5" is none."""
+    number = c.try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import text
 from stratalake.functions.calendar import event_calendar, sale_calendar
+from stratalake.functions.numbers import IN_RANGE
 from stratalake.operators.dedup import latest
 
 Reading = Callable[[Column], Column]
@@ -78,8 +79,6 @@ class Cleaning:
         return latest(kept, self.keys, newest).withColumns(self.calendar())
 
 
-# Text such as "NaN" or "Infinity" reads as a double, but is no amount.
-FINITE = "{} < double('infinity')"
 
 LONG, INT, DOUBLE = cast_to("bigint"), cast_to("int"), cast_to("double")
 DATE, TIMESTAMP = cast_to("date"), cast_to("timestamp")
@@ -102,7 +101,9 @@ SALES = Cleaning(
         "id_venta presente": "id_venta is not null",
         "id_cliente presente": "id_cliente is not null",
         "id_producto presente": "id_producto is not null",
-        "monto positivo": f"monto > 0 and {FINITE.format('monto')}",
+        "monto positivo": "monto > 0",
+        # Text such as "NaN", "Infinity" or "1e21" reads as a double, but is no amount.
+        "monto en rango": f"monto is null or {IN_RANGE.format('monto')}",
         "cantidad positiva": "cantidad > 0",
         "fecha_venta presente": "fecha_venta is not null",
     },
@@ -112,8 +113,8 @@ SALES = Cleaning(
 WEB_EVENTS = Cleaning(
     keys=["event_id"],
     readings={
-        "event_id": LONG,
-        "id_cliente": LONG,
+        "event_id": text.whole,
+        "id_cliente": text.whole,
         "session_id": text.trimmed,
         "page": text.trimmed_lower,
         "event_type": text.trimmed_lower,
@@ -141,6 +142,7 @@ PRODUCTS = Cleaning(
     },
     rules={
         "id_producto presente": "id_producto is not null",
-        "precio_base positivo": f"precio_base > 0 and {FINITE.format('precio_base')}",
+        "precio_base positivo": "precio_base > 0",
+        "precio_base en rango": "precio_base is null or abs(precio_base) < 1e9",
     },
 )

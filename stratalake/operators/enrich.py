@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.numbers import round_half_up
-from stratalake.sinks.tables import fits
 
 # Catalogue column -> name in the enriched table.
 CATALOGUE_COLUMNS = {
@@ -23,20 +22,11 @@ def catalogue(products: DataFrame) -> DataFrame:
     return products.select(*[F.col(name).alias(new) for name, new in CATALOGUE_COLUMNS.items()])
 
 
-def bounded_dimension(dimension: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a dimension for broadcast when its counted size allows it.
-
-    Beyond ``max_rows`` the join stays a shuffle join, where adaptive execution splits a key that
-    holds a large share of the fact rows.
-    """
-    return F.broadcast(dimension) if fits(dimension, max_rows) else dimension
-
-
 def enrich(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Left join; ``products`` has one row per id, so no sale is lost or repeated.
 
-    Give ``products`` through ``bounded_dimension`` to allow a broadcast; otherwise the optimizer
-    decides by size statistics.
+    Whether the catalogue is broadcast is left to its size statistics, which for a written table are in bytes; beyond
+    the session's threshold it is a shuffle join, in which adaptive execution splits a hot product.
     """
     joined = sales.join(catalogue(products), "id_producto", "left")
     cost = F.col("precio_base") * F.col("cantidad")

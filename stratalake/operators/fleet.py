@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.calendar import event_calendar
-from stratalake.functions.numbers import WIDE, ExactSum, ratio, round_half_up
+from stratalake.functions.numbers import IN_RANGE, WIDE, ExactSum, ratio, round_half_up
 
 # Zones with their base position and base risk.
 # zone: (base_lat, base_lon, riesgo_base)
@@ -95,9 +95,29 @@ def needs_attention() -> Column:
     return (F.col("riesgo_retraso") >= ALERT_RISK) | _waits_long() | _stands_still()
 
 
+# A measure may be missing, but one that is there is a number in range.
+EVENT_RULES = {
+    "event_id presente": "event_id is not null",
+    "camion presente": "camion is not null",
+    "timestamp_evento presente": "timestamp_evento is not null",
+    **{
+        f"{name} en rango": f"{name} is null or {IN_RANGE.format(name)}"
+        for name in ("toneladas", "capacidad_toneladas", "ocupacion_pct", "velocidad", "riesgo_retraso")
+    },
+}
+
+
+def rejects(gps: DataFrame) -> DataFrame:
+    """Events that ``prepare`` leaves out, with the names of the rules that each one breaks."""
+    broken = [F.when(~F.coalesce(F.expr(sql), F.lit(False)), F.lit(name)) for name, sql in EVENT_RULES.items()]
+    return gps.withColumn("_failed_rules", F.array_compact(F.array(*broken))).filter(F.size("_failed_rules") > 0)
+
+
 def prepare(gps: DataFrame) -> DataFrame:
     """Usable events with calendar columns, risk level and alert flag; works on streams as well."""
-    usable = gps.filter("event_id is not null and camion is not null and timestamp_evento is not null")
+    usable = gps
+    for sql in EVENT_RULES.values():
+        usable = usable.filter(sql)
     return usable.withColumns(
         {
             **event_calendar("timestamp_evento", hour=True),

@@ -95,17 +95,17 @@ def pareto(customers: DataFrame, threshold: float = THRESHOLD, slices: int | Non
     ``customers`` has id_cliente, ventas and total (decimal). The share is rounded before it is
     compared with the threshold.
     """
-    cents = (F.col("total") * 100).cast("bigint").alias("cents")
+    cents = (F.col("total") * 100).cast("decimal(38,0)").alias("cents")
     ranked = cumulative(customers.select("id_cliente", "ventas", cents), "id_cliente", "cents", slices)
-    share = F.try_divide(F.col("running_total"), F.col("grand_total"))
+    share = F.try_divide(F.col("running_total").cast("double"), F.col("grand_total").cast("double"))
     percent = round_half_up(F.col("porcentaje_acumulado") * 100, 2)
     return ranked.select(
         "id_cliente",
         F.col("ventas").alias("cantidad_ventas"),
-        (F.col("cents") / 100).alias("total_comprado"),
-        (F.col("grand_total") / 100).alias("ingreso_global"),
+        (F.col("cents").cast("double") / 100).alias("total_comprado"),
+        (F.col("grand_total").cast("double") / 100).alias("ingreso_global"),
         F.col("rank").cast("bigint").alias("ranking_cliente"),
-        (F.col("running_total") / 100).alias("ingreso_acumulado"),
+        (F.col("running_total").cast("double") / 100).alias("ingreso_acumulado"),
         round_half_up(share, 4).alias("porcentaje_acumulado"),
     ).withColumns(
         {

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.config import PUBLISHED, LakeConfig
-from stratalake.sinks.tables import write_extract
+from stratalake.sinks.tables import write_dataset_extract, write_extract
 from stratalake.sources.files import MissingDataset, read_table
 
 MANIFEST = "powerbi_manifest"
@@ -25,7 +25,7 @@ def run_publish(spark: SparkSession, cfg: LakeConfig, datasets: list[str] | None
     for name in datasets or PUBLISHED:
         source, target = cfg.gold(name), cfg.extract(f"final/{name}")
         try:
-            write_extract(read_table(spark, source, name, cfg.fmt), target, cfg.single_file_rows)
+            write_dataset_extract(read_table(spark, source, name, cfg.fmt), target, name)
             outcome = ("EXPORTED", source, target, DONE)
         except MissingDataset:
             outcome = ("SKIPPED", source, target, NOT_FOUND)
@@ -33,5 +33,5 @@ def run_publish(spark: SparkSession, cfg: LakeConfig, datasets: list[str] | None
             outcome = ("ERROR", source, target, " ".join(str(error).split()))
         results.append((name, *outcome, datetime.now(timezone.utc).isoformat()))
     manifest = spark.createDataFrame(results, MANIFEST_SCHEMA).coalesce(1)
-    write_extract(manifest, cfg.extract(f"final/{MANIFEST}"), cfg.single_file_rows)
+    write_extract(manifest, cfg.extract(f"final/{MANIFEST}"))
     return manifest

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratalake.config import LakeConfig
 from stratalake.operators import clean
 from stratalake.operators.enrich import enrich
 from stratalake.operators.lineage import clocked
 from stratalake.operators.quality import quality_report, require_rows
-from stratalake.sinks.tables import clustered_for, fits, store, write_table
+from stratalake.sinks.tables import clustered_for, store, write_table
 from stratalake.sources.files import read_table
 
 CLEANINGS = {"ventas": clean.SALES, "web_events": clean.WEB_EVENTS, "productos": clean.PRODUCTS}
@@ -43,9 +42,5 @@ def run_silver(
 
 
 def enriched_sales(sales: DataFrame, products: DataFrame, cfg: LakeConfig) -> DataFrame:
-    small = fits(products, cfg.broadcast_rows)
-    rows = clocked(enrich(sales, F.broadcast(products) if small else products), "processed_at")
-    # A broadcast join leaves the months of the input files together; a shuffle join does not.
-    if not small:
-        rows = clustered_for(rows, *MONTH)
+    rows = clustered_for(clocked(enrich(sales, products), "processed_at"), *MONTH)
     return store(rows, cfg.silver("ventas_enriquecidas"), "ventas_enriquecidas", cfg.fmt, partition_by=MONTH)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from stratalake.config import EXTRACT_ORDER, FOLDER_EXTRACTS
 from stratalake.sources.files import read_table
 
 
@@ -53,21 +55,26 @@ def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str) -> None:
     df.write.mode("overwrite").option("rootTag", root_tag).option("rowTag", row_tag).xml(path)
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df``, as a rule a written table, has at most ``rows`` rows.
+def write_extract(df: DataFrame, path: str, order: Sequence[str] = (), one_file: bool = True) -> None:
+    """CSV for BI tools in the given order ("-" before a column: descending).
 
-    A plain count: one number per task reaches the driver, whereas a limit would send rows to one task.
+    ``one_file`` is for tables of bounded size: one task sorts and writes them. Others become a folder of files
+    that are in order one after another.
     """
-    return df.count() <= rows
-
-
-def write_extract(df: DataFrame, path: str, single_file_rows: int) -> None:
-    """CSV for BI tools: one file while it is small, a folder of files beyond that."""
-    if fits(df, single_file_rows):
+    by = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+    if one_file:
         df = df.coalesce(1)
+        df = df.sortWithinPartitions(*by) if by else df
+    elif by:
+        df = df.orderBy(*by)
     write_csv(df, path)
 
 
+def write_dataset_extract(df: DataFrame, path: str, dataset: str) -> None:
+    """Extract of a published data set in its fixed layout and order."""
+    write_extract(df, path, EXTRACT_ORDER.get(dataset, ()), dataset not in FOLDER_EXTRACTS)
+
+
 def store(df: DataFrame, path: str, name: str, fmt: str = "parquet", **options) -> DataFrame:
     """Write once and hand back the written table, so that nothing downstream recomputes it."""
     write_table(df, path, fmt, **options)

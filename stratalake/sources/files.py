@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class MissingDataset(FileNotFoundError):
@@ -37,10 +38,18 @@ def read_csv(spark: SparkSession, path: str, name: str = "csv", columns: list[st
     return _guarded(lambda: reader.csv(path), name, path)
 
 
-def read_json(spark: SparkSession, path: str, name: str = "json", schema=None) -> DataFrame:
-    """JSON lines. A schema spares the inference pass over the whole input."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return _guarded(lambda: reader.json(path), name, path)
+RAW_LINE = "_raw_line"
+
+
+def read_json(spark: SparkSession, path: str, name: str, columns: list[str]) -> DataFrame:
+    """JSON lines: the named fields as text, whatever their JSON type, and the line itself in ``_raw_line``.
+
+    Nothing is lost: fields without a column, and lines that are no JSON object (all their fields are NULL), are
+    still there as text. Blank lines are passed over. There is no inference pass over the input.
+    """
+    lines = _guarded(lambda: spark.read.text(path), name, path).where(r"value rlike '\\S'")
+    record = F.from_json("value", all_strings(columns))
+    return lines.select(record.alias("r"), F.col("value").alias(RAW_LINE)).select("r.*", RAW_LINE)
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, columns: list[str], name: str = "xml") -> DataFrame:
@@ -51,8 +60,3 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, columns: list[str], n
 
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
     return _guarded(lambda: spark.read.format(fmt).load(path), name, path)
-
-
-def between_months(df: DataFrame, first: str, last: str) -> DataFrame:
-    """Rows of a month-partitioned table within [first, last]; prunes partitions at the scan."""
-    return df.filter(df.anio_mes.between(first, last))

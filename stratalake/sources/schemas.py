@@ -14,10 +14,16 @@ SALES_RAW = [
     "created_at",
 ]
 
-WEB_RAW = (
-    "event_id bigint, id_cliente bigint, session_id string, page string, event_type string, "
-    "device string, event_timestamp string, ingestion_source string"
-)
+WEB_RAW = [
+    "event_id",
+    "id_cliente",
+    "session_id",
+    "page",
+    "event_type",
+    "device",
+    "event_timestamp",
+    "ingestion_source",
+]
 
 PRODUCT_ROW_TAG = "producto"
 PRODUCT_RAW = ["id_producto", "nombre_producto", "categoria", "proveedor", "precio_base", "activo"]

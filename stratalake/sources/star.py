@@ -57,7 +57,7 @@ def with_context(spark: SparkSession, folder: str, lines: DataFrame) -> DataFram
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").alias("id_cliente"),
-        F.substring("o_orderpriority", 3, 100).alias("canal"),
+        F.expr("substr(o_orderpriority, 3)").alias("canal"),
     )
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id_cliente"),
@@ -81,11 +81,21 @@ def with_context(spark: SparkSession, folder: str, lines: DataFrame) -> DataFram
     )
 
 
-def ventas(spark: SparkSession, folder: str) -> DataFrame:
-    sales = with_context(spark, folder, newest_lines(spark, folder))
+def ventas(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """Sales of the given lines, or of all newest lines."""
+    sales = with_context(spark, folder, newest_lines(spark, folder) if lines is None else lines)
     return sales.withColumns(sale_calendar("fecha_venta"))
 
 
+def customer_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest lines with their customer, for reports that need nothing else. Every order has a customer."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("id_cliente")
+    )
+    lines = newest_lines(spark, folder).select("l_orderkey", "id_venta", "cantidad", "monto")
+    return lines.join(orders, "l_orderkey").drop("l_orderkey")
+
+
 def productos(spark: SparkSession, folder: str) -> DataFrame:
     """The catalogue. Every tenth part has been renumbered in it, so some sales find no product."""
     renumbered = F.when(F.col("p_partkey") % 10 == 0, -F.col("p_partkey")).otherwise(F.col("p_partkey"))
@@ -99,8 +109,8 @@ def productos(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ventas_enriquecidas(spark: SparkSession, folder: str) -> DataFrame:
-    return enrich(ventas(spark, folder), productos(spark, folder))
+def ventas_enriquecidas(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    return enrich(ventas(spark, folder, lines), productos(spark, folder))
 
 
 def web_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,6 +140,7 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sales as landed: all strings, untidy text, and a bad cell now and then."""
     text = {c: F.col(c).cast("string") for c in ("id_venta", "id_cliente", "id_producto", "precio_unitario")}
     amount = _now_and_then("id_venta", 79, "", F.col("monto").cast("string"))
+    amount = _now_and_then("id_venta", 101, "1e21", _now_and_then("id_venta", 103, "NaN", amount))
     return with_context(spark, folder, sale_lines(spark, folder)).select(
         _now_and_then("id_venta", 97, "abc", text["id_venta"]).alias("id_venta"),
         text["id_cliente"].alias("id_cliente"),
@@ -160,6 +171,22 @@ def raw_web(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def untidy_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Web events as JSON lines of which some are written in unusual ways, and some not at all (column value)."""
+    event = F.col("event_id")
+    line = F.to_json(
+        F.struct("event_id", "id_cliente", "page", F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_timestamp"))
+    )
+    quoted = F.regexp_replace(line, r'"event_id":(\d+)', r'"event_id":"$1"')
+    decimal = F.regexp_replace(line, r'"event_id":(\d+)', r'"event_id":$1.0')
+    extra = F.regexp_replace(line, r"\}$", ',"campo_nuevo":1}')
+    broken = F.concat(F.lit("{broken "), event.cast("string"))
+    return web_events(spark, folder).select(
+        F.when(event % 11 == 0, quoted).when(event % 13 == 0, decimal).when(event % 17 == 0, extra)
+        .when(event % 19 == 0, broken).otherwise(line).alias("value")
+    )
+
+
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     """The whole part table as landed, with TRUE / no / missing activity marks and zero prices."""
     parts = table(spark, folder, "part")
@@ -213,6 +240,19 @@ def gps(spark: SparkSession, folder: str) -> DataFrame:
     return gps_of(table(spark, folder, "events"))
 
 
+def gps_with_extremes(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of which some have a measure that is no number or far too large."""
+    event = F.col("event_id")
+    speed = F.when(event % 113 == 0, float("nan")).when(event % 109 == 0, 1e30).otherwise(F.col("velocidad"))
+    return gps(spark, folder).withColumns(
+        {
+            "velocidad": speed,
+            "riesgo_retraso": F.when(event % 107 == 0, 1e25).otherwise(F.col("riesgo_retraso")),
+            "toneladas": F.when(event % 127 == 0, 1e21).otherwise(F.col("toneladas")),
+        }
+    )
+
+
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The event table followed as a stream of files."""
     schema = table(spark, folder, "events").schema

@@ -6,13 +6,14 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from stratalake.session import configure  # noqa: E402
+from stratalake.session import SETTINGS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        configure(SparkSession.builder.master("local[*]").appName("tests"))
+        SparkSession.builder.master("local[*]").appName("tests")
+        .config(map=SETTINGS)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

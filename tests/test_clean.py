@@ -40,6 +40,7 @@ def test_bad_cells_reject_the_row_and_say_why(spark):
         {"monto": "-1"},
         {"monto": "NaN"},
         {"monto": "Infinity"},
+        {"monto": "1e21"},
         {"cantidad": "0"},
         {"cantidad": "3.7"},
         {"fecha_venta": "2026-13-01"},
@@ -53,8 +54,9 @@ def test_bad_cells_reject_the_row_and_say_why(spark):
         ["monto positivo"],
         ["monto positivo"],
         ["monto positivo"],
-        ["monto positivo"],
-        ["monto positivo"],
+        ["monto en rango"],
+        ["monto en rango"],
+        ["monto en rango"],
         ["cantidad positiva"],
         ["cantidad positiva"],
         ["fecha_venta presente"],

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import latest
-from stratalake.operators.enrich import bounded_dimension, enrich
+from stratalake.operators.enrich import enrich
 
 
 def test_latest_by_time_then_by_the_other_columns(spark):
@@ -59,15 +59,17 @@ def test_unknown_product_keeps_the_sale(spark):
     assert unknown.categoria_final == "moda" and unknown.margen_estimado is None
 
 
-def test_only_a_counted_small_dimension_is_broadcast(spark, plan_of):
+def test_size_statistics_decide_on_the_broadcast(spark, plan_of, tmp_path):
     sales = spark.range(100).selectExpr("id as id_venta", "id % 7 as id_producto", "1 as cantidad", "2D as monto", "'c' as categoria")
-    products = spark.range(7).selectExpr(
+    spark.range(7).selectExpr(
         "id as id_producto", "'n' as nombre_producto", "'c' as categoria", "'p' as proveedor", "1D as precio_base", "true as activo"
-    )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    ).write.parquet(str(tmp_path / "p"))
+    products = spark.read.parquet(str(tmp_path / "p"))
     try:
-        assert "BroadcastHashJoin" in plan_of(enrich(sales, bounded_dimension(products, 7)))
-        assert "SortMergeJoin" in plan_of(enrich(sales, bounded_dimension(products, 6)))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+        assert "BroadcastHashJoin" in plan_of(enrich(sales, products))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10B")
+        assert "SortMergeJoin" in plan_of(enrich(sales, products))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -34,9 +34,21 @@ def test_more_decimals_than_expected_are_kept(spark):
     assert float(df.agg(ExactSum("x", 2).total_of_rows()).first()[0]) == 1.234
 
 
-def test_no_number_makes_the_sum_unknown_and_never_fails(spark):
-    df = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
-    assert df.agg(ExactSum("x").total_of_rows()).first()[0] is None
+def test_what_no_decimal_holds_is_in_neither_sum_nor_count(spark):
+    values = [1.0, 4.0, float("nan"), float("inf"), 1e30, 1e21, 1e25, -1e30]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    exact = ExactSum("x")
+    assert tuple(df.agg(exact.total_of_rows(), exact.mean_of_rows()).first()) == (5, 2.5)
+    assert tuple(df.agg(*exact.partial()).agg(exact.total(), exact.mean()).first()) == (5, 2.5)
+    assert rows(df.select(round_half_up("x", 2)))[2:] == [(None,)] * 6
+
+
+def test_large_values_and_totals_stay_exact(spark):
+    df = spark.createDataFrame([(9e15,), (0.25,), (9e15,)], "x double").repartition(3)
+    assert df.agg(ExactSum("x").total_of_rows()).first()[0] == Decimal("18000000000000000.25")
+    many = spark.range(300_000).selectExpr("999999999999D as x", "id % 3 as k")
+    merged = many.groupBy("k").agg(*ExactSum("x").partial()).agg(ExactSum("x").total()).first()[0]
+    assert merged == 300_000 * Decimal(999999999999)
 
 
 def test_tolerant_readings(spark):

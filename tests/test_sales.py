@@ -30,14 +30,14 @@ def test_overall_of_nothing_is_one_row(df):
 
 def test_overall_from_rollup_and_table(df):
     for rows in (df, df.limit(0)):
-        table = sales.overall_of_table(sales.sales_rollup(rows), rows)
+        table = sales.overall_of_table(sales.sales_rollup(rows, sales.MONTH_KEYS, margin=True), rows)
         assert table.schema.names == sales.overall(rows).schema.names
         assert tuple(table.first()) == tuple(sales.overall(rows).first())
 
 
 def test_a_full_rollup_gives_the_same_tables_as_a_narrow_one(df):
-    full = sales.sales_rollup(df)
-    narrow = sales.sales_rollup(df, ("anio_mes", "id_cliente"))
+    full = sales.sales_rollup(df, ("anio_mes", "categoria_final", "canal", "id_cliente"), margin=True)
+    narrow = sales.sales_rollup(df, sales.MONTH_KEYS, margin=True)
     assert sales.monthly(full).collect() == sales.monthly(narrow).collect()
     first, second = sales.monthly(full).collect()
     assert tuple(first) == ("2026-01", 2, 1, 30.01, 15.01, 3, 1.0)
@@ -45,7 +45,7 @@ def test_a_full_rollup_gives_the_same_tables_as_a_narrow_one(df):
 
 
 def test_category_channel_keeps_the_missing_category(df):
-    got = [tuple(r) for r in sales.by_category_channel(sales.sales_rollup(df)).collect()]
+    got = [tuple(r) for r in sales.by_category_channel(sales.sales_rollup(df, sales.CHANNEL_KEYS)).collect()]
     assert got == [
         (None, "POS", 1, 1, 30.01, 30.01, 1),
         ("moda", "WEB", 1, 1, 20.01, 20.01, 1),

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from stratalake.config import LakeConfig
+from stratalake.operators import clean
 from stratalake.plans.publish import run_publish
 from stratalake.session import run_dir, shared_dir
 from stratalake.sinks import tables as sinks
@@ -32,11 +33,14 @@ def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
         files.read_csv(spark, str(tmp_path)).collect()
 
 
-def test_json_with_schema_does_not_infer(spark, tmp_path):
-    (tmp_path / "a.json").write_text('{"event_id": 1, "page": "/x"}\n{"event_id": "?", "page": "/y"}\n')
-    got = files.read_json(spark, str(tmp_path), schema=schemas.WEB_RAW)
-    assert sorted((r.page, r.event_id) for r in got.collect()) == [("/x", 1), ("/y", None)]
-    assert files.read_json(spark, str(tmp_path)).columns == ["event_id", "page"]
+def test_json_lines_lose_nothing(spark, tmp_path):
+    lines = ['{"event_id": "12", "page": "/x"}', '{"event_id": 7.0, "page": 5, "more": [1]}', "{broken", '{"event_id": 7.5}', "[1]", "  "]
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    landed = files.read_json(spark, str(tmp_path), "web", schemas.WEB_RAW)
+    got = {r[files.RAW_LINE]: (r.event_id, r.page) for r in landed.collect()}
+    assert got == dict(zip(lines[:5], [("12", "/x"), ("7.0", "5"), (None, None), ("7.5", None), (None, None)], strict=True))
+    typed = clean.WEB_EVENTS.project(landed, carry=[files.RAW_LINE])
+    assert [r.event_id for r in typed.orderBy(files.RAW_LINE).collect()] == [None, 12, 7, None, None]
 
 
 def test_xml_missing_element_is_null(spark, tmp_path):
@@ -71,7 +75,7 @@ def test_a_single_month_is_read_from_its_partition(spark, tmp_path, plan_of):
     df = spark.range(100).selectExpr("id", "concat('2026-0', id % 5 + 1) as anio_mes")
     table = sinks.store(sinks.clustered_for(df, "anio_mes"), str(tmp_path / "t"), "t", partition_by=("anio_mes",))
     assert dict(table.dtypes)["anio_mes"] == "string"
-    months = files.between_months(table, "2026-02", "2026-03")
+    months = table.filter(table.anio_mes.between("2026-02", "2026-03"))
     assert months.count() == 40
     plan = plan_of(months)
     assert "PartitionFilters: [isnotnull(anio_mes" in plan and "PushedFilters: []" in plan
@@ -105,14 +109,23 @@ def test_overwrite_replaces_the_schema(spark, tmp_path):
     assert sinks.store(spark.sql("select 'a' as y, 2D as z"), path, "t").columns == ["y", "z"]
 
 
-def test_extract_is_one_file_only_while_small(spark, tmp_path):
-    df = spark.range(0, 40, 1, 4).withColumn("text", F.lit("ñandú, \"x\""))
-    small, large = tmp_path / "small", tmp_path / "large"
-    sinks.write_extract(df, str(small), 40)
-    sinks.write_extract(df, str(large), 39)
-    assert len(list(small.glob("part-*.csv"))) == 1 and len(list(large.glob("part-*.csv"))) == 4
-    assert next(small.glob("part-*.csv")).read_text(encoding="utf-8").startswith("id,text\n")
-    assert files.read_csv(spark, str(large)).count() == 40
+def test_extract_layout_is_fixed_and_in_order(spark, tmp_path):
+    """A sorted table of several files gives a sorted extract, in one file or in many."""
+    df = spark.range(0, 4000, 1, 8).withColumn("text", F.lit("ñandú, \"x\"")).withColumn("n", F.col("id") % 10)
+    table = sinks.store(df.orderBy(F.desc("n"), "id").repartition(8), str(tmp_path / "t"), "t")
+    for one_file in (True, False):
+        out = tmp_path / f"x{one_file}"
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            sinks.write_extract(table, str(out), ["-n", "id"], one_file)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        parts = sorted(out.glob("part-*.csv"))
+        assert (len(parts) == 1) == one_file
+        lines = [line.split(",") for p in parts for line in p.read_text(encoding="utf-8").splitlines() if line[:2] != "id"]
+        keys = [(-int(line[-1]), int(line[0])) for line in lines]
+        assert keys == sorted(keys) and len(keys) == 4000
+        assert parts[0].read_text(encoding="utf-8").startswith("id,text,n\n")
 
 
 def test_messages_have_a_key_and_a_json_value(spark):
@@ -131,7 +144,12 @@ def test_topics_need_the_connector(spark):
 def test_the_named_shared_folder_is_used():
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "hdfs:///shared"}[key]))
     assert shared_dir(named) == "hdfs:///shared"
-    assert run_dir(named, "x").startswith("hdfs:///shared/x-")
+
+
+def test_run_folders_stand_in_one_folder_of_the_application(spark):
+    first, second = run_dir(spark, "x"), run_dir(spark, "x")
+    assert first != second
+    assert f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/x-" in first
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
@@ -143,7 +161,7 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
 def test_publishing_goes_on_after_a_missing_and_a_broken_table(spark, tmp_path):
     cfg = LakeConfig(root=str(tmp_path))
-    sinks.write_table(spark.sql("select 1 as x"), cfg.gold("web_kpis"))
+    sinks.write_table(spark.sql("select '2026-01' as anio_mes, 'view' as event_type, 'tablet' as device, 1 as x"), cfg.gold("web_kpis"))
     broken = tmp_path / "data" / "gold" / "resumen_pareto"
     broken.mkdir(parents=True)
     (broken / "part-0.parquet").write_text("no parquet")
