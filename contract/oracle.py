@@ -278,6 +278,17 @@ from (select event_id, timestamp_evento, camion, zona, lat, lon, toneladas, capa
 order by riesgo_retraso_pct desc, tiempo_espera_min desc, event_id
 """)
 EXTREME = "event_id % 113 = 0 or event_id % 109 = 0 or event_id % 107 = 0 or event_id % 127 = 0"
+PUBLISHED = f"""
+select 'kpis_generales' as dataset, cast(1 as bigint) as record_count
+union all select 'ventas_mensuales', count(distinct anio_mes) from ventas
+union all select 'cliente_mayor_volumen', 1
+union all select 'top10_ventas', least(10, count(*)) from ventas
+union all select 'promedio_venta_cliente', count(distinct id_cliente) from ventas
+union all select 'pareto_80_clientes', count(distinct id_cliente) from ventas
+union all select 'resumen_pareto', count(distinct segmento_pareto) from pareto
+union all select 'ventas_categoria_canal', count(*) from (select distinct categoria_final, canal from enriched)
+union all select 'web_kpis', count(*) from (
+  select distinct {month("event_timestamp")}, event_type, device from web)"""
 BAD, ODD = "event_id % 101 = 0", "event_id % 103 = 0"
 PARSED_FIELDS = ",\n       ".join(
     [
@@ -427,11 +438,7 @@ select {MESSAGE_ID}, camion as _message_key, 'no json' as _raw_message from gps
         f"{PARSED}, 'GPS_IOT_KAFKA' as _source_system, 'JSON_STREAM' as _source_format from gps"
     ),
     "stream_alerts": FLEET_ALERTS,
-    "stream_hourly": on_fleet(f"""
-{HOURLY}
-where date_trunc('hour', timestamp_evento) + interval 1 hour
-  <= (select max(timestamp_evento) from gps) - interval 10 minute
-group by 1, 2 order by 1, 2"""),
+    "stream_hourly": on_fleet(f"{HOURLY} group by 1, 2 order by 1, 2"),
     "stream_dedup": on_fleet(f"select {MESSAGE_ID}, event_id, camion, timestamp_evento from gps"),
     "stream_fleet_overall": FLEET_OVERALL,
     "stream_fleet_zone": FLEET_ZONE,
@@ -497,19 +504,27 @@ from ventas group by anio_mes"""),
             ),
         ]
     ),
-    "publish_gold": on_sales(
+    "publish_gold": on_sales(PUBLISHED, **PARETO, web=WEB),
+    "publish_manifest": on_sales(
         f"""
-select 'kpis_generales' as dataset, cast(1 as bigint) as record_count
-union all select 'ventas_mensuales', count(distinct anio_mes) from ventas
-union all select 'cliente_mayor_volumen', 1
-union all select 'top10_ventas', least(10, count(*)) from ventas
-union all select 'promedio_venta_cliente', count(distinct id_cliente) from ventas
-union all select 'pareto_80_clientes', count(distinct id_cliente) from ventas
-union all select 'resumen_pareto', count(distinct segmento_pareto) from pareto
-union all select 'ventas_categoria_canal', count(*) from (select distinct categoria_final, canal from enriched)
-union all select 'web_kpis', count(*) from (
-  select distinct {month("event_timestamp")}, event_type, device from web)""",
+select dataset, 'EXPORTED' as status, 'Exportado correctamente' as message, record_count from ({PUBLISHED})
+union all select 'catalogo_gold', 'EXPORTED', 'Exportado correctamente', 9
+union all select unnest(['rt_kpis_generales', 'rt_kpis_por_zona', 'rt_toneladas_por_hora', 'rt_estado_flota',
+  'rt_alertas_operativas', 'rt_catalogo']), 'SKIPPED', 'Carpeta no encontrada', null""",
+        **PARETO,
+        web=WEB,
+    ),
+    "publish_catalog": on_sales(
+        f"""
+select 'gold_' || dataset as table_name, 'data/powerbi/' || dataset as powerbi_path, 'gold' as layer, record_count
+from ({PUBLISHED})""",
         **PARETO,
         web=WEB,
     ),
+    "publish_pareto": on_sales("select *, true as in_order from pareto", **PARETO),
+    "bronze_audit": """
+select 'bronze' as layer, 'ventas' as dataset, 'CSV' as source_format, 'data/bronze/ventas' as target_path,
+       count(*) as record_count, true as this_batch from lineitem join orders on l_orderkey = o_orderkey
+union all select 'bronze', 'web_events', 'JSON', 'data/bronze/web_events', count(*), true from events
+union all select 'bronze', 'productos', 'XML', 'data/bronze/productos', count(*), true from part""",
 }

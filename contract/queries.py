@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.config import GOLD_TABLES, LakeConfig
+from stratalake.config import DEFAULT_TOPIC, GOLD_CATALOG, GOLD_TABLES, LakeConfig
 from stratalake.functions.numbers import round_half_up
 from stratalake.operators import clean, fleet, pareto, quality, sales
 from stratalake.operators.lineage import stamp
+from stratalake.plans.bronze import run_bronze
 from stratalake.plans.gold import run_gold
 from stratalake.plans.publish import run_publish
 from stratalake.session import run_dir
@@ -211,11 +212,6 @@ def stream_alerts(spark, folder):
     return _drained(spark, fleet.alerts(prepared), "stream_alerts")
 
 
-def stream_hourly(spark, folder):
-    prepared = fleet.prepare(star.gps_of(star.events_stream(spark, folder)))
-    return _drained(spark, gps.hourly(prepared), "stream_hourly")
-
-
 def _landed_envelope(spark, folder, redelivered: bool = False) -> str:
     """Messages written as files in several parts, some of them twice if asked for."""
     place = run_dir(spark, "envelope")
@@ -226,6 +222,22 @@ def _landed_envelope(spark, folder, redelivered: bool = False) -> str:
     return place
 
 
+def stream_hourly(spark, folder):
+    """All hours: the feed is followed to its end, then closed, and followed on from the same checkpoint."""
+    feed, place = _landed_envelope(spark, folder), run_dir(spark, "stream_hourly")
+
+    def follow():
+        stream = messages.envelope_files_stream(spark, feed)
+        hours = gps.hourly(fleet.prepare(gps.parse(stream)))
+        runs.start_append(hours, f"{place}/table", f"{place}/checkpoint").awaitTermination()
+
+    follow()
+    last = spark.read.parquet(feed).agg(F.max("timestamp") + F.expr("interval 1 day")).first()[0]
+    gps.end_of_feed(spark, str(last), DEFAULT_TOPIC).write.mode("append").parquet(feed)
+    follow()
+    return files.read_table(spark, f"{place}/table", "stream_hourly")
+
+
 def stream_dedup(spark, folder):
     place = _landed_envelope(spark, folder, redelivered=True)
     stream = messages.envelope_files_stream(spark, place)
@@ -343,13 +355,67 @@ def quality_rule_hits(spark, folder):
     return reduce(DataFrame.unionByName, hits)
 
 
-def publish_gold(spark, folder):
-    """Gold run over written Silver tables, then the rows of each published extract."""
+def bronze_audit(spark, folder):
+    """Landing files to Bronze; what the audit table says of the batch."""
+    cfg = LakeConfig(root=run_dir(spark, "landing"))
+    sinks.write_csv(star.raw_sales(spark, folder).drop("_ingestion_timestamp"), cfg.landing("ventas"))
+    star.untidy_json(spark, folder).write.text(cfg.landing("web_events"))
+    sinks.write_xml(star.raw_products(spark, folder), cfg.landing("productos"), "productos", schemas.PRODUCT_ROW_TAG)
+    run_bronze(spark, cfg)
+    audit = files.read_table(spark, cfg.bronze("audit_ingestion"), "audit_ingestion")
+    return audit.select(
+        "layer", "dataset", "source_format", "target_path", "record_count", (F.col("batch_id") == cfg.batch_id).alias("this_batch")
+    )
+
+
+def _published(spark, folder) -> tuple[LakeConfig, DataFrame]:
+    """Gold run over written Silver tables, then the extracts; the manifest."""
     cfg = LakeConfig(root=run_dir(spark, "gold"))
     sinks.write_table(star.ventas_enriquecidas(spark, folder), cfg.silver("ventas_enriquecidas"))
     sinks.write_table(star.web_silver(spark, folder), cfg.silver("web_events"))
     run_gold(spark, cfg)
-    run_publish(spark, cfg)
+    return cfg, run_publish(spark, cfg)
+
+
+def publish_manifest(spark, folder):
+    """Status of each data set, with the rows of its extract; the fleet tables have not been made."""
+    cfg, manifest = _published(spark, folder)
+    done = [r.dataset for r in manifest.collect() if r.status == "EXPORTED"]
+    rows = [quality.counted(files.read_csv(spark, cfg.extract(f"final/{n}"), n), dataset=n) for n in done]
+    return manifest.join(reduce(DataFrame.unionByName, rows), "dataset", "left").select(
+        "dataset", "status", "message", "record_count"
+    )
+
+
+def publish_catalog(spark, folder):
+    """The Gold catalogue as written, with the rows of each table that it lists."""
+    cfg, _ = _published(spark, folder)
+    listed = files.read_table(spark, cfg.gold(GOLD_CATALOG), GOLD_CATALOG)
+    rows = [quality.counted(files.read_table(spark, cfg.gold(n), n), table_name=f"gold_{n}") for n in GOLD_TABLES]
+    return listed.join(reduce(DataFrame.unionByName, rows), "table_name").select(
+        "table_name", "powerbi_path", "layer", "record_count"
+    )
+
+
+def publish_pareto(spark, folder):
+    """Values of the published Pareto table, and whether each file of it is in order."""
+    cfg, _ = _published(spark, folder)
+    rows = files.read_csv(spark, cfg.extract("final/pareto_80_clientes"), "pareto_80_clientes").withColumns(
+        {"at": F.monotonically_increasing_id(), "part": F.spark_partition_id()}
+    )
+    rank = F.col("ranking_cliente").cast("bigint")
+    last = F.max(rank).over(Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    kinds = {"cantidad_ventas": "bigint", "total_comprado": "double", "ingreso_global": "double", "ingreso_acumulado": "double",
+             "porcentaje_acumulado": "double", "id_cliente": "bigint"}
+    return rows.select(
+        *[F.col(c).cast(k).alias(c) for c, k in kinds.items()], rank.alias("ranking_cliente"),
+        "porcentaje_acumulado_label", "segmento_pareto", F.coalesce(last < rank, F.lit(True)).alias("in_order"),
+    )
+
+
+def publish_gold(spark, folder):
+    """Rows of each published extract."""
+    cfg, _ = _published(spark, folder)
     rows = [
         quality.counted(files.read_csv(spark, cfg.extract(f"final/{name}"), name), dataset=name)
         for name in GOLD_TABLES
@@ -363,7 +429,7 @@ REGISTERED: list[Query] = [
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
     fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
     stream_dedup, stream_fleet_overall, stream_fleet_zone, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
-    layer_roundtrip_xml, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
+    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
 ]
 
 

@@ -31,5 +31,6 @@ def run_bronze(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
         )
     audited = clocked(audit(spark, log), "processed_at").coalesce(1)
     write_table(audited, cfg.bronze("audit_ingestion"), cfg.fmt, mode="append")
-    require_rows(tables)
+    logged = files.read_table(spark, cfg.bronze("audit_ingestion"), "audit_ingestion", cfg.fmt)
+    require_rows({**tables, "audit_ingestion": logged.where(logged["batch_id"] == cfg.batch_id)})
     return tables

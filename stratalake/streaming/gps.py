@@ -6,7 +6,7 @@ otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.config import STREAM_LINEAGE
@@ -56,9 +56,31 @@ def once_each(bronze_rows: DataFrame, delay: str = "1 hour") -> DataFrame:
     return bronze_rows.withWatermark(ARRIVAL, delay).dropDuplicatesWithinWatermark(MESSAGE_ID)
 
 
+# Truck name of the message that ends a feed; its own hour never closes, so it is in no result.
+END_OF_FEED = "__fin__"
+
+
+def end_of_feed(spark: SparkSession, moment: str, topic: str, partition: int = 0, offset: int = -1) -> DataFrame:
+    """One envelope row that moves the watermark to ``moment`` and so closes the last hours of a feed that ends.
+
+    Send it after the last event, with a moment later than that by the watermark's delay and an hour at least.
+    """
+    body = {"event_id": F.lit(-1), "timestamp_evento": F.lit(moment), "camion": F.lit(END_OF_FEED)}
+    return spark.range(1).select(
+        F.lit(topic).alias("topic"),
+        F.lit(partition).alias("partition"),
+        F.lit(offset).cast("bigint").alias("offset"),
+        F.lit(moment).cast("timestamp").alias("timestamp"),
+        F.lit(END_OF_FEED).cast("binary").alias("key"),
+        F.to_json(F.struct(*[value.alias(name) for name, value in body.items()])).cast("binary").alias("value"),
+    )
+
+
 def hourly(prepared: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Hourly tonnage on a stream (append mode): an hour is emitted once the watermark has passed it.
 
+    The last hour of a feed that ends is emitted after ``end_of_feed``.
+
     Trucks are counted exactly: a first aggregation has one row per hour and truck, a second one
     counts those rows and adds up their sums. Both keep state only for open hours.
     """
