@@ -15,6 +15,7 @@ LANDING = {
 }
 STREAM_TABLE = "gps_camiones_streaming"
 STREAM_LINEAGE = ("GPS_IOT_KAFKA", "JSON_STREAM")
+# Topic and broker of the deployment.
 DEFAULT_TOPIC = "gpscamiones"
 DEFAULT_BROKERS = "kafka:9092"
 
@@ -83,10 +84,12 @@ class LakeConfig:
     brokers: str = DEFAULT_BROKERS
     trigger: str = "10 seconds"
     runtime_seconds: int = 120
+    # Most messages that a micro-batch takes from the topic; None: all that are there.
+    max_offsets: int | None = None
 
     @classmethod
     def from_env(cls, **overrides) -> LakeConfig:
-        env = os.environ
+        env = os.environ  # Fixed values: the variable names below
         values = {
             "root": env.get("APP_HOME", os.getcwd()),
             "fmt": env.get("LAKE_FORMAT", "parquet"),
@@ -111,6 +114,10 @@ class LakeConfig:
     def gold(self, table: str) -> str:
         return self.path("gold", table)
 
+    def live(self, table: str) -> str:
+        """Tables that a stream keeps current; the batch jobs write to ``gold`` only."""
+        return self.path("live", table)
+
     def extract(self, table: str) -> str:
         return self.path("powerbi", table)
 

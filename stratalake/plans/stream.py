@@ -1,4 +1,4 @@
-"""Message topic to the Bronze stream table."""
+"""Streaming jobs: message topic to the Bronze stream table and to the live fleet tables."""
 
 from __future__ import annotations
 
@@ -6,19 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.config import STREAM_TABLE, LakeConfig
+from stratalake.operators import fleet
 from stratalake.sources.messages import topic_stream
 from stratalake.streaming import gps
 from stratalake.streaming.runs import run_for, start_append, start_fleet_refresh
 
 
+def followed(
+    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None, every: str | None
+) -> tuple[DataFrame, str | None]:
+    """The topic, or ``envelope`` in its place, e.g. for a replay from files; and how often to look."""
+    if envelope is not None:
+        return envelope, every
+    limit = {} if cfg.max_offsets is None else {"maxOffsetsPerTrigger": str(cfg.max_offsets)}
+    return topic_stream(spark, cfg.brokers, cfg.topic, **limit), every or cfg.trigger
+
+
 def start_stream_bronze(
-    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
+    spark: SparkSession,
+    cfg: LakeConfig,
+    envelope: DataFrame | None = None,
+    every: str | None = None,
+    once_each: bool = False,
 ) -> StreamingQuery:
-    """Start the append; ``envelope`` replaces the topic, e.g. for a replay from files."""
-    if envelope is None:
-        envelope, every = topic_stream(spark, cfg.brokers, cfg.topic), every or cfg.trigger
+    """Append messages to the stream table; ``once_each`` drops re-delivered ones."""
+    rows, every = followed(spark, cfg, envelope, every)
+    rows = gps.bronze(rows)
     return start_append(
-        gps.bronze(envelope),
+        gps.once_each(rows) if once_each else rows,
         cfg.bronze(STREAM_TABLE),
         cfg.checkpoint("streaming_bronze/gps_camiones"),
         cfg.fmt,
@@ -26,22 +41,50 @@ def start_stream_bronze(
     )
 
 
-def run_stream_bronze(spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None) -> bool:
+def run_stream_bronze(
+    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, once_each: bool = False
+) -> bool:
     """Ingest for ``cfg.runtime_seconds``, then stop."""
-    return run_for(start_stream_bronze(spark, cfg, envelope), cfg.runtime_seconds)
+    return run_for(start_stream_bronze(spark, cfg, envelope, once_each=once_each), cfg.runtime_seconds)
 
 
 def start_live_fleet(
     spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Keep the fleet KPI tables current from the topic (or from ``envelope``)."""
-    if envelope is None:
-        envelope, every = topic_stream(spark, cfg.brokers, cfg.topic), every or cfg.trigger
+    """Keep the live fleet KPI tables current."""
+    rows, every = followed(spark, cfg, envelope, every)
     return start_fleet_refresh(
-        gps.parse(envelope),
+        gps.parse(rows),
         cfg.path("rollup", "gps_live"),
-        cfg.gold,
+        cfg.live,
         cfg.checkpoint("live_fleet/gps_camiones"),
         cfg.fmt,
         every,
     )
+
+
+def start_live_alerts(
+    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Append alerts as they come."""
+    rows, every = followed(spark, cfg, envelope, every)
+    alerts = fleet.alerts(fleet.prepare(gps.parse(rows)))
+    return start_append(
+        alerts, cfg.live("rt_alertas_operativas"), cfg.checkpoint("live_alerts/gps_camiones"), cfg.fmt, every
+    )
+
+
+def start_hourly(
+    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Append each hour once it is closed; ``gps.end_of_feed`` closes the last ones of a feed that ends."""
+    rows, every = followed(spark, cfg, envelope, every)
+    hours = gps.hourly(fleet.prepare(gps.parse(rows)))
+    return start_append(hours, cfg.live("toneladas_por_hora_cerradas"), cfg.checkpoint("hourly/gps_camiones"), cfg.fmt, every)
+
+
+def run_live(spark: SparkSession, cfg: LakeConfig) -> None:
+    """Live KPIs, alerts and closed hours side by side for ``cfg.runtime_seconds``."""
+    queries = [start(spark, cfg) for start in (start_live_fleet, start_live_alerts, start_hourly)]
+    for query in queries:
+        run_for(query, cfg.runtime_seconds if query is queries[0] else 1)

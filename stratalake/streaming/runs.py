@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,38 +39,85 @@ def run_for(query: StreamingQuery, seconds: int) -> bool:
     return bool(ended)
 
 
+HOURLY_TABLE = "rt_toneladas_por_hora"
+
+
 def fleet_tables(rollup: DataFrame) -> dict[str, DataFrame]:
     return {
         "rt_kpis_generales": fleet.overall(rollup),
         "rt_kpis_por_zona": fleet.by_zone(rollup),
-        "rt_toneladas_por_hora": fleet.by_hour(rollup),
+        **({HOURLY_TABLE: fleet.by_hour(rollup)} if "hora_evento" in rollup.columns else {}),
         "rt_estado_flota": fleet.by_status(rollup),
     }
 
 
+DAY, VERSION = "fecha_evento", "_batch"
+#: What the tables over all time are read off: as many rows as trucks, zones and states, whatever the time.
+STATE_KEYS = ("zona", "estado_entrega", "camion")
+HOUR_KEYS = (DAY, "hora_evento", "camion")
+
+
 def fleet_refresh(
     rollup_path: str, table_path: Callable[[str], str], fmt: str
 ) -> Callable[[DataFrame, int], None]:
     """What to do with a micro-batch of Bronze rows to bring the fleet KPI tables up to date.
 
-    A micro-batch aggregates its own events only and adds them to the rollup so far; the KPI tables,
-    exact truck counts included, are read off that rollup, whose size depends on trucks and hours and
-    not on the number of events. Two folders take turns: a batch reads the one its predecessor wrote
-    and writes the other, so a batch that is repeated after a failure starts from the same state.
+    A micro-batch aggregates its own events only and merges them into two rollups. That by truck and state does not
+    grow with time; two folders take turns, a batch reads the one its predecessor wrote. That by hour and truck
+    is partitioned by day and batch: only the days that the batch touches are read, merged and written, and the
+    hourly table is replaced for those days only. A batch that is repeated after a failure starts from the same
+    state, because each day keeps the version before its last one.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        rollup = fleet.fleet_rollup(fleet.prepare(batch))
+        spark = batch.sparkSession
+        prepared = fleet.prepare(batch)
+        fresh = store(fleet.fleet_rollup(prepared), f"{rollup_path}/fresh", "fleet_rollup")
+        states = merge_rollups(fresh.drop(DAY, "hora_evento"), STATE_KEYS)
         if batch_id > 0:
-            before = read_table(batch.sparkSession, f"{rollup_path}/{(batch_id - 1) % 2}", "fleet_rollup")
-            rollup = merge_rollups(before.unionByName(rollup))
-        rollup = store(rollup, f"{rollup_path}/{batch_id % 2}", "fleet_rollup")
-        tables = fleet_tables(rollup).items()
-        side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables)
+            before = read_table(spark, f"{rollup_path}/states/{(batch_id - 1) % 2}", "fleet_states")
+            states = merge_rollups(before.unionByName(states), STATE_KEYS)
+        states = store(states, f"{rollup_path}/states/{batch_id % 2}", "fleet_states")
+        tables = fleet_tables(states)
+        side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables.items())
+        days = [row[0] for row in fresh.select(DAY).distinct().collect()]
+        if days or batch_id == 0:
+            hours = _merged_days(fresh, f"{rollup_path}/hours", days, batch_id)
+            write_table(
+                clocked(fleet.by_hour(hours)), table_path(HOURLY_TABLE), fmt, (DAY,), only_touched_partitions=batch_id > 0
+            )
 
     return refresh
 
 
+def _merged_days(fresh: DataFrame, path: str, days: list, batch_id: int) -> DataFrame:
+    """The hour rollup of the touched days, after the events of this batch."""
+    rows = merge_rollups(fresh.drop("zona", "estado_entrega"), HOUR_KEYS)
+    older: dict = {}
+    if batch_id > 0 and days:
+        known = read_table(fresh.sparkSession, path, "fleet_hours")
+        known = known.where(F.col(DAY).isin(days) & (F.col(VERSION) < batch_id))
+        for day, version in known.select(DAY, VERSION).distinct().collect():
+            older.setdefault(day, []).append(version)
+        latest = [(F.col(DAY) == day) & (F.col(VERSION) == max(v)) for day, v in older.items()]
+        if latest:
+            before = known.where(reduce(Column.__or__, latest)).drop(VERSION)
+            rows = merge_rollups(before.unionByName(rows), HOUR_KEYS)
+    write_table(
+        rows.withColumn(VERSION, F.lit(batch_id)), path, partition_by=(DAY, VERSION), only_touched_partitions=batch_id > 0
+    )
+    _forget(fresh.sparkSession, [f"{path}/{DAY}={d}/{VERSION}={v}" for d, vs in older.items() for v in sorted(vs)[:-1]])
+    now = read_table(fresh.sparkSession, path, "fleet_hours")
+    return now.where(F.col(DAY).isin(days) & (F.col(VERSION) == batch_id)).drop(VERSION)
+
+
+def _forget(spark: SparkSession, folders: list[str]) -> None:
+    """Delete versions that no repeat can need."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def start_fleet_refresh(
     bronze_rows: DataFrame,
     rollup_path: str,
@@ -86,8 +133,7 @@ def start_fleet_refresh(
     return writer.start()
 
 
-def merge_rollups(parts: DataFrame) -> DataFrame:
-    """One row per rollup key out of several partial rows."""
-    keys = list(fleet.ROLLUP_KEYS)
-    sums = [F.sum(name).alias(name) for name in parts.columns if name not in keys]
+def merge_rollups(parts: DataFrame, keys: tuple[str, ...] = fleet.ROLLUP_KEYS) -> DataFrame:
+    """One row per key out of several partial rows."""
+    sums = [F.sum(name).cast(kind).alias(name) for name, kind in parts.dtypes if name not in fleet.ROLLUP_KEYS]
     return parts.groupBy(*keys).agg(*sums)

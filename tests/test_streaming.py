@@ -8,7 +8,7 @@ import pytest
 from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.plans.gold import run_fleet
-from stratalake.plans.stream import start_live_fleet, start_stream_bronze
+from stratalake.plans.stream import start_hourly, start_live_alerts, start_live_fleet, start_stream_bronze
 from stratalake.sources.messages import envelope_files_stream
 from stratalake.sources.schemas import ENVELOPE
 from stratalake.streaming import gps, runs
@@ -47,8 +47,9 @@ def topic(spark, tmp_path):
     return add
 
 
-def table(spark, cfg, name):
-    return spark.read.parquet(cfg.gold(name)).drop("generated_at").collect()
+def table(spark, path):
+    rows = spark.read.parquet(path).drop("generated_at").collect()
+    return sorted(str(sorted(r.asDict().items())) for r in rows)
 
 
 def test_parse_keeps_unreadable_messages_with_their_text(spark, topic):
@@ -122,9 +123,39 @@ def test_live_tables_equal_the_batch_tables_after_every_run(spark, topic, tmp_pa
         stream = envelope_files_stream(spark, folder, maxFilesPerTrigger=1)
         start_live_fleet(spark, cfg, stream).awaitTermination()
         start_stream_bronze(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
-        live = {name: table(spark, cfg, name) for name in names}
+        live = {name: table(spark, cfg.live(name)) for name in names}
         run_fleet(spark, cfg)
-        assert live == {name: table(spark, cfg, name) for name in names}
+        assert live == {name: table(spark, cfg.gold(name)) for name in names}
+
+
+def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path):
+    """Files of a day change only with a batch that has events of that day."""
+    first = gps.parse(spark.read.parquet(topic(message(1), message(2, minute=60 * 24))))
+    later = first.where("event_id = 2")
+    refresh = runs.fleet_refresh(str(tmp_path / "rollup"), lambda name: str(tmp_path / name), "parquet")
+    files = lambda: {str(p) for p in tmp_path.glob("r*/**/fecha_evento=*/**/*.parquet")}
+    refresh(first, 0)
+    before = files()
+    refresh(later, 1)
+    days = sorted({p.split("fecha_evento=")[1][:10] for p in before})
+    assert len(days) == 2
+    assert {p for p in before if days[0] in p} == {p for p in files() if days[0] in p}
+    assert {p for p in before if days[1] in p} != {p for p in files() if days[1] in p}
+    got = spark.read.parquet(str(tmp_path / "rt_toneladas_por_hora")).orderBy("fecha_evento").collect()
+    assert [r.total_eventos for r in got] == [1, 2]
+    refresh(later, 2)
+    refresh(later, 2)
+    assert len(list((tmp_path / "rollup" / "hours").glob(f"fecha_evento={days[1]}/_batch=*"))) == 2
+
+
+def test_the_last_hour_comes_when_the_feed_is_closed(spark, topic, tmp_path):
+    folder, cfg = topic(message(1), message(2, minute=70)), LakeConfig(root=str(tmp_path / "lake"))
+    start_hourly(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
+    gps.end_of_feed(spark, "2027-12-01 00:00:00", "gpscamiones").write.mode("append").parquet(folder)
+    start_hourly(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
+    got = spark.read.parquet(cfg.live("toneladas_por_hora_cerradas")).collect()
+    assert sorted(r.total_eventos for r in got) == [1, 1]
+    start_live_alerts(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
 
 
 def test_a_repeated_batch_does_not_count_twice(spark, topic, tmp_path):
