@@ -90,7 +90,7 @@ def _runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def _keys(anchor: np.ndarray, buckets: int) -> np.ndarray:
     """(bucket, low 40 bits) of an anchor as one sortable value; what two anchors share by chance is told apart later."""
-    a = anchor.view(np.uint64)
+    a = mix(anchor.view(np.uint64))  # anchors are smallest hashes, so by themselves they crowd near 0
     return (((a >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(40) | a & np.uint64((1 << 40) - 1)
 
 
@@ -196,7 +196,7 @@ def _stretches_of(length: int, buckets: int, shards: int):
             rows_, local = np.unique(row[at], return_inverse=True)
             blobs.append(
                 _packed(
-                    (anchor[first[own]].view(np.uint64) >> np.uint64(32)).astype(np.uint32),
+                    (mix(anchor[first[own]].view(np.uint64)) >> np.uint64(32)).astype(np.uint32),
                     np.array([len(distinct[k]) for k in own], np.int32),
                     np.array([len(spots[k]) for k in own], np.int32),
                     rows_.astype(np.int64), ids[rows_], local.astype(np.int32), start[at].astype(np.int64),
