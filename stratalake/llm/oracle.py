@@ -201,7 +201,7 @@ f as (
     | case when 2 * n_letters < word_chars then 256 else 0 end)::bigint as failed
   from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, (failed & 3) <> 0 as base_failed,
-  (failed & 375) = 0 as kept
+  (failed & 511) = 0 as kept
 from f
 """
 

@@ -81,7 +81,7 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     entries = quality_rules.ledger(table(spark, folder, "documents"))
-    return quality_rules.apply_policy(entries, "v1").select(
+    return quality_rules.apply_policy(entries, "v2").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", "base_failed", "kept"
     )
 
