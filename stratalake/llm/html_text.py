@@ -42,7 +42,6 @@ _MARKUP = re.compile(
 )
 _NAME = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
-_SPACE = re.compile(r"[ \t\n\r\f\v\x1c-\x1f\x85\xa0  -     　]+")
 
 #: Words in tag, class and id names that mark a part as no main text, for labels of the sample.
 OTHER = frozenset(
@@ -75,7 +74,7 @@ def blocks(page: str) -> list[Block]:
     def flush() -> None:
         nonlocal linked
         if held:
-            text = _SPACE.sub(" ", html.unescape("".join(held))).strip(" ")
+            text = " ".join(html.unescape("".join(held)).split())
             if text:
                 path = tuple(p for tag, parts in open_ for p in (tag, *parts))
                 inner = next((tag for tag, _ in reversed(open_) if tag not in INLINE), "")
