@@ -2,7 +2,7 @@
 
 Four kinds of evidence are multiplied for each language: the likelihood of the text under byte trigram models
 trained on labelled rows, the language that the markup declares, the suffix of an address, and a prior of the
-host that is smoothed towards the prior of all documents. Everything but the trigram models comes from
+host that is smoothed towards that of its site (the last two labels), and that towards the prior of all documents. Everything but the trigram models comes from
 grouped aggregations over all rows; how often a declaration, a suffix or a host goes with a language is counted
 with the language that the text alone suggests.
 """
@@ -109,6 +109,32 @@ def _counts(rows: DataFrame, key: str, n: int) -> DataFrame:
     return rows.where(f"{key} is not null and __top is not null").groupBy(key).agg(F.array(*each).alias("counts"))
 
 
+def site_of(host: Column) -> Column:
+    """Last two labels of a host that has two; null otherwise."""
+    return F.nullif(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.lit(""))
+
+
+def _whole(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0.0), lambda s, v: s + v)
+
+
+def _smoothed(counts: Column, i: int, weight: float, prior: Column) -> Column:
+    """Share of language i in ``counts`` (null: none) with ``weight`` documents of the prior added."""
+    seen = F.coalesce(F.get(counts, F.lit(i)), F.lit(0.0))
+    return (seen + weight * prior) / (F.coalesce(_whole(counts), F.lit(0.0)) + weight)
+
+
+def _host_shares(rows: DataFrame, n: int, weight: float, base: list[float]) -> DataFrame:
+    """(__host, share of each language), smoothed through the host's site."""
+    sites = _counts(rows.withColumn("__site", site_of(F.col("__host"))), "__site", n)
+    hosts = _counts(rows, "__host", n).withColumn("__site", site_of(F.col("__host")))
+    joined = hosts.join(sites.withColumnRenamed("counts", "site_counts"), "__site", "left")
+    shares = [
+        _smoothed(F.col("counts"), i, weight, _smoothed(F.col("site_counts"), i, weight, F.lit(base[i]))) for i in range(n)
+    ]
+    return joined.select("__host", F.array(*shares).alias("shares"))
+
+
 def identify(
     docs: DataFrame,
     model: Model,
@@ -121,7 +147,8 @@ def identify(
     """``docs`` (text and any other columns) with __language, __probability and __kept.
 
     ``declared``, ``host`` and ``suffix`` are string columns over ``docs``; a null one is no evidence. The prior
-    of a host with n documents has the weight n against ``strength`` for that of all documents. A document is
+    of a host with n documents has the weight n against ``strength`` for that of its site, and likewise the site's
+    against that of all documents. A document is
     rejected (__kept false) if no language reaches the probability ``least``, or if it has no letter; then its
     __language is the best one all the same, or null without a letter. Without any language in ``model`` nothing
     is rejected and both are null. Equal probabilities: the first language by name.
@@ -139,19 +166,16 @@ def identify(
     total = [v + 1.0 for v in rows.agg(*[F.count_if(F.col("__top") == i) for i in range(n)]).first()]
     base = [v / sum(total) for v in total]
 
-    def log_share(counts: Column, i: int, weight: float) -> Column:
-        """Log probability of language i at a key, smoothed towards the base."""
-        whole = F.aggregate(counts, F.lit(0.0), lambda s, v: s + v)
-        return F.log((F.get(counts, F.lit(i)) + weight * base[i]) / (whole + weight))
-
     sums = [F.get("__scores", F.lit(i)) + F.lit(float(np.log(base[i]))) for i in range(n)]
     out = scored
     # P(evidence | language) is P(language | evidence) / P(language) up to a factor that all languages share
-    for key, weight in (("__host", strength), ("__declared", 1.0), ("__suffix", strength)):
-        shares = _counts(rows, key, n).select(
-            key, F.array(*[log_share(F.col("counts"), i, weight) - float(np.log(base[i])) for i in range(n)]).alias(f"{key}_log")
-        )
-        out = out.join(written(shares, "language-shares"), key, "left")
+    tables = {"__host": _host_shares(rows, n, strength, base)}
+    for key, weight in (("__declared", 1.0), ("__suffix", strength)):
+        shares = [_smoothed(F.col("counts"), i, weight, F.lit(base[i])) for i in range(n)]
+        tables[key] = _counts(rows, key, n).select(key, F.array(*shares).alias("shares"))
+    for key, table in tables.items():
+        logs = F.array(*[F.log(F.get("shares", F.lit(i))) - float(np.log(base[i])) for i in range(n)])
+        out = out.join(written(table.select(key, logs.alias(f"{key}_log")), "language-shares"), key, "left")
         sums = [s + F.coalesce(F.get(f"{key}_log", F.lit(i)), F.lit(0.0)) for i, s in enumerate(sums)]
     out = out.withColumn("__sums", F.when(F.col("__scores").isNotNull(), F.array(*sums)))
     best = F.array_max("__sums")

@@ -154,6 +154,20 @@ def test_evidence_decides_where_texts_do_not(spark, texts_of):
     assert all(0.5 <= r["__probability"] <= 1 for r in rows_of(got) if r["__probability"] is not None)
 
 
+def test_a_new_host_leans_on_its_site(spark, texts_of):
+    rng = random.Random(8)
+    rows = [(texts_of(rng, 20).replace("o", "u"), f"h{i % 9}.one.org") for i in range(90)]
+    rows += [(texts_of(rng, 20).replace("u", "o"), f"h{i % 9}.two.org") for i in range(90)]
+    rows += [("zz", "new.one.org"), ("zz", "new.two.org"), ("zz", "plain"), ("zz", None)]
+    docs = spark.createDataFrame([(t, h, None if t == "zz" else "ab"["two" in h]) for t, h in rows], "text string, host string, lang string")
+    none = F.lit(None).cast("string")
+    model = language_id.train(docs, "lang")
+    got = language_id.identify(docs, model, none, F.col("host"), none).where("text = 'zz'").collect()
+    chance = {r.host: r["__probability"] if r["__language"] == "a" else 1 - r["__probability"] for r in got}
+    assert chance["new.one.org"] > 0.6 > chance["plain"] and chance["new.two.org"] < 0.4 < chance["plain"]
+    assert abs(chance["plain"] - chance[None]) < 0.1
+
+
 def rows_of(found):
     return found.values()
 
