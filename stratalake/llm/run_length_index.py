@@ -105,12 +105,33 @@ class RunLengthIndex:
         known = (at >= 0) & (self.by_head[at] == symbol)
         return np.where(known, self.target[at] + np.minimum(row - self.by_start[at], self.by_size[at]), self.smaller[symbol])
 
+    def _rows_of(self, flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows [low, high) of the suffixes that begin with each stretch of ``flat``; none where high <= low."""
+        low, high = np.zeros(len(begin), np.int64), np.full(len(begin), self.n)
+        for k in range(int(size.max(initial=0))):
+            on = np.flatnonzero((k < size) & (low < high))
+            symbol = flat[begin[on] + size[on] - 1 - k]
+            low[on], high[on] = self._step(symbol, low[on]), self._step(symbol, high[on])
+        return low, high
+
+    def _longest(self, flat: np.ndarray, begin: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length of the longest indexed stretch at each place, at most ``most``, by halving: parts of what is
+        indexed are indexed, too."""
+        least, most = np.zeros(len(begin), np.int64), most.copy()
+        while (least < most).any():
+            half = (least + most + 1) // 2
+            low, high = self._rows_of(flat, begin, half)
+            found = low < high
+            least, most = np.where(found, half, least), np.where(found, most, half - 1)
+        return least
+
     def stream(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each text and position: the length of the match that begins there, where an indexed string has it
-        (a position in the index), and the smallest owner if the match has ``depth`` bytes or more, else NONE.
+        """Matching statistics of each text: for each position the length of the longest stretch from there on that
+        an indexed string holds, a position in the index that has it (where it is sampled, else -1), and the
+        smallest owner if the stretch has ``depth`` bytes or more, else NONE.
 
-        All texts are read side by side from their ends. A match grows to the left as long as the index has it;
-        where it has not, a new match begins, so that every text that the index holds is matched to its end.
+        All texts are read side by side from their ends, and a match grows to the left, two rank queries a byte. Where
+        it can not, it is first cut from the right to the longest one that can; a text that the index holds never is.
         """
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(lengths)
@@ -124,16 +145,16 @@ class RunLengthIndex:
             at = ends[active] - 1 - k
             symbol = flat[at]
             lo, hi = self._step(symbol, low[active]), self._step(symbol, high[active])
-            lost = hi <= lo
-            lo[lost], hi[lost] = self.smaller[symbol[lost]], self.smaller[symbol[lost] + 1]
-            size = np.where(lost, 1, grown[active] + 1)
-            gone = hi <= lo
-            lo[gone], hi[gone], size[gone] = 0, self.n, 0
+            size = grown[active] + 1
+            lost = np.flatnonzero(hi <= lo)
+            if len(lost):
+                size[lost] = self._longest(flat, at[lost], size[lost] - 1)
+                lo[lost], hi[lost] = self._rows_of(flat, at[lost], size[lost])
             low[active], high[active], grown[active] = lo, hi, size
             run = np.searchsorted(self.starts, lo, side="right") - 1
             match[at] = size
             # the first row of a long match is the first of its run, where a position is sampled
-            deep = (size >= self.depth) & ~gone
+            deep = size >= self.depth
             owner[at[deep]] = self.least[run[deep]]
             sampled = deep & (self.starts[run] == lo)
             place[at[sampled]] = self.samples[0][run[sampled]]

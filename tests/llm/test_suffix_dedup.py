@@ -86,6 +86,23 @@ def test_index_against_brute_force():
                         assert text == w
 
 
+def test_matching_statistics_of_other_texts():
+    rng = random.Random(12)
+    for _ in range(40):
+        held = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(1, 6))]
+        owners = np.arange(len(held))[::-1].copy()
+        index = RunLengthIndex(held, owners, 4)
+        texts = [bytes(rng.choice(b"abcd") for _ in range(rng.randint(1, 40))) for _ in range(5)] + [b""]
+        for text, (match, _, owner) in zip(texts, index.stream(texts), strict=True):
+            for i in range(len(text)):
+                size = max(k for k in range(len(text) - i + 1) if any(text[i : i + k] in h for h in held))
+                assert match[i] == size
+                if size >= 4:
+                    assert owner[i] == min(o for o, h in zip(owners, held, strict=True) if text[i : i + 4] in h)
+                else:
+                    assert owner[i] == NONE
+
+
 def test_repetitive_strings_have_few_runs():
     base = bytes(np.random.default_rng(1).integers(97, 123, 2000, dtype=np.uint8))
     index = RunLengthIndex([base] * 20, np.arange(20), 50)
