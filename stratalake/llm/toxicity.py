@@ -49,22 +49,43 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -40, 40)))
 
 
+def counted_cells(docs: DataFrame) -> DataFrame:
+    """(doc_id, toxic, words, cells, counts) of ``docs`` (doc_id, toxic, text): the distinct cells of each text and how
+    often they occur, as bytes of 32-bit numbers. Texts stay in the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 2):
+            doc, cell, words = cells(batch.column(2).to_pylist())
+            key, counts = np.unique(doc * CELLS + cell, return_counts=True)
+            cut = np.searchsorted(key, np.arange(len(words) + 1) * CELLS)
+            cell, counts = (key % CELLS).astype(np.int32), counts.astype(np.int32)
+            parts = [[v[s:e].tobytes() for s, e in zip(cut, cut[1:], strict=False)] for v in (cell, counts)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(words), *[pa.array(v, pa.binary()) for v in parts]],
+                names=["doc_id", "toxic", "words", "cells", "counts"],
+            )
+
+    return docs.mapInArrow(run, "doc_id bigint, toxic boolean, words bigint, cells binary, counts binary")
+
+
 class Sample:
     """Training texts as sparse rows over the cells that tell something: those that occur in ``least`` texts at least,
     and in toxic and other texts at rates that differ ``ratio`` times at least."""
 
-    def __init__(self, texts: list[bytes], toxic: np.ndarray, weight: np.ndarray, least: int = 3, ratio: float = 3.0):
-        doc, cell, words = cells(texts)
-        key, counts = np.unique(doc * CELLS + cell, return_counts=True)
-        self.doc, cell = key // CELLS, key % CELLS
-        self.cells, self.column = np.unique(cell, return_inverse=True)
-        there = (np.bincount(self.column, (toxic * weight)[self.doc]) + 0.5) / (toxic @ weight + 1)
-        other = (np.bincount(self.column, (~toxic * weight)[self.doc]) + 0.5) / (~toxic @ weight + 1)
-        telling = (np.bincount(self.column) >= least) & (np.abs(np.log(there / other)) >= np.log(ratio))
-        often = telling[self.column]
-        self.doc, self.count = self.doc[often], counts[often].astype(np.float64)
-        self.cells, self.column = np.unique(self.cells[self.column[often]], return_inverse=True)
-        self.words, self.n = words, len(texts)
+    def __init__(
+        self, words: np.ndarray, cells: list[bytes], counts: list[bytes], toxic: np.ndarray, weight: np.ndarray,
+        least: int = 3, ratio: float = 3.0,
+    ):
+        self.words, self.n = words, len(words)
+        doc = np.repeat(np.arange(self.n, dtype=np.int32), [len(c) // 4 for c in cells])
+        cell = np.frombuffer(b"".join(cells), np.int32)
+        there = (np.bincount(cell, (toxic * weight)[doc], CELLS) + 0.5) / (toxic @ weight + 1)
+        other = (np.bincount(cell, (~toxic * weight)[doc], CELLS) + 0.5) / (~toxic @ weight + 1)
+        telling = (np.bincount(cell, minlength=CELLS) >= least) & (np.abs(np.log(there / other)) >= np.log(ratio))
+        often = telling[cell]
+        self.doc = doc[often]
+        self.count = np.frombuffer(b"".join(counts), np.int32)[often].astype(np.float64)
+        self.cells, self.column = np.unique(cell[often], return_inverse=True)
         self.value = self.count / np.sqrt(np.maximum(words, 1))[self.doc]
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
@@ -122,15 +143,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8_000) -> Model
     share = {t: min(1.0, sample_rows / 2 / n) for t, n in counts.items()}
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30))
     chosen = rows.where(drawn < F.when(F.col("toxic"), int(share[True] * (1 << 30))).otherwise(int(share[False] * (1 << 30))))
-    texts = docs.where("text is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
-    # about sample_rows ids and flags
-    held = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").toPandas()
+    texts = docs.where("text is not null").select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text")
+    )
+    # about sample_rows ids and flags are broadcast, and as many rows of counts come back
+    held = counted_cells(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")).toPandas()
     held = held.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
     toxic = held["toxic"].to_numpy(bool)
     if toxic.all() or not toxic.any():
         return None
     weight = np.where(toxic, 1 / share[True], 1 / share[False])
-    sample = Sample(held["text"].tolist(), toxic, weight)
+    sample = Sample(held["words"].to_numpy(), held["cells"].tolist(), held["counts"].tolist(), toxic, weight)
     return fit(sample, grades(sample, toxic), weight)
 
 
