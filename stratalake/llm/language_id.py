@@ -2,8 +2,8 @@
 
 Four kinds of evidence are multiplied for each language: the likelihood of the text under byte trigram models
 trained on labelled rows, the language that the markup declares, the suffix of an address, and a prior of the
-host that is smoothed towards that of its site (the last two labels), and that towards the prior of all documents. Everything but the trigram models comes from
-grouped aggregations over all rows; how often a declaration, a suffix or a host goes with a language is counted
+host that is smoothed towards that of its site (the last two labels), and that towards the prior of all documents.
+Everything but the trigram models comes from grouped aggregations over all rows; how often a declaration, a suffix or a host goes with a language is counted
 with the language that the text alone suggests.
 """
 

@@ -61,9 +61,10 @@ def targets(sizes: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[
         .withColumn("level", level)
         # the level holds from the first source on that it does not fill to its cap
         .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "key", "level"))).over(every))
-        .withColumn("target", F.least(F.col("cap").cast("double"), F.coalesce(F.col("level.level") * F.col("weight"), F.col("cap").cast("double"))))
+        .withColumn("most", F.col("cap").cast("double"))
+        .withColumn("target", F.least("most", F.coalesce(F.col("level.level") * F.col("weight"), F.col("most"))))
         .select("key", "source_size", "weight", "target")
-    )
+    )
 
 
 def segments(knots: list[tuple[float, float]]) -> list[tuple[float, float, float, float, float]]:

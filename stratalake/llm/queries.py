@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontaminate, html_text, language_id, line_dedup, minhash, mixing, quality_rules, suffix_dedup, toxicity, url_filter
+from stratalake.llm import (
+    decontaminate,
+    html_text,
+    language_id,
+    line_dedup,
+    minhash,
+    mixing,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from stratalake.llm.common import table
 from stratalake.llm.oracle import ORACLE
 

@@ -160,8 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8_000) -> Model
 def score(docs: DataFrame, model: Model | None, least: float = 0.2) -> DataFrame:
     """``docs`` (text and any other columns) with __severity (0 to GRADES), __grade, __p_toxic and __toxic.
 
-    __toxic: P(grade >= 1) is at least ``least``. The whole text is read. A null text, or one without a letter, has no feature and gets the grade of the
-    thresholds alone. Without a model the four are null.
+    __toxic: P(grade >= 1) is at least ``least``. The whole text is read. A null text, or one without a letter, has no
+    feature and gets the grade of the thresholds alone. Without a model the four are null.
     """
     kinds = "__severity double, __grade int, __p_toxic double, __toxic boolean"
     if model is None:
