@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import decontaminate, language_id, line_dedup, minhash, mixing
-from stratalake.llm.common import order_id, table, written
+from stratalake.llm.common import table, written
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -31,9 +31,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    found = minhash.near_duplicates(docs, width=5, percent=80, permutations=72, rows=4)
-    gone = written(found.where("not kept").select(order_id().alias("__id")).distinct(), "gone")
-    return docs.withColumn("__id", order_id()).join(gone, "__id", "left_anti").select(docs.columns)
+    return minhash.drop_near_duplicates(docs, width=5, percent=80, permutations=72, rows=4)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

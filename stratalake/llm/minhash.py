@@ -45,8 +45,17 @@ def _sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray
     return values, np.searchsorted(doc, np.arange(t.count + 1))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, any other columns) with id and (h, g), a 128-bit hash of the text.
+
+    Rows with the same three are copies of each other.
+    """
+    text = F.col("text").cast("binary")
+    return docs.withColumns({"id": order_id(), "h": F.xxhash64(text), "g": F.xxhash64(F.lit(29), text)})
+
+
 def sketch(docs: DataFrame, width: int = 3, permutations: int = 70, rows: int = 5) -> DataFrame:
-    """(id, n, a, b, bands) of every row of ``docs`` (doc_id, text).
+    """(id, h, g, n, a, b, bands) of every row of ``docs`` (doc_id, text); id, h and g as in ``keyed``.
 
     n is the size of the shingle set, (a, b) a 128-bit hash of it, bands one hash for each band; the last three
     are null for a text without words. A text of fewer than ``width`` words is one shingle.
@@ -55,8 +64,8 @@ def sketch(docs: DataFrame, width: int = 3, permutations: int = 70, rows: int =
     factors, shifts = seeds[0] | np.uint64(1), seeds[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1):
-            values, border = _sets(batch.column(1).to_pylist(), width)
+        for batch in pieces(batches, 3):
+            values, border = _sets(batch.column(3).to_pylist(), width)
             size = np.diff(border)
             some = np.flatnonzero(size)
             first = border[some]
@@ -77,19 +86,19 @@ def sketch(docs: DataFrame, width: int = 3, permutations: int = 70, rows: int =
             lists = pa.FixedSizeListArray.from_arrays(flat, bands.shape[1]).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *batch.columns[:3],
                     pa.array(size.astype(np.int64)),
                     pa.array(a.view(np.int64)).take(taken),
                     pa.array(b.view(np.int64)).take(taken),
                     lists.take(taken),
                 ],
-                names=["id", "n", "a", "b", "bands"],
+                names=["id", "h", "g", "n", "a", "b", "bands"],
             )
 
     if permutations % rows:
         raise ValueError("permutations is a multiple of rows")
-    narrow = docs.select(order_id().alias("id"), F.col("text").cast("binary").alias("text"))
-    return narrow.mapInArrow(run, "id bigint, n bigint, a bigint, b bigint, bands array<bigint>")
+    narrow = keyed(docs.select("doc_id", "text")).select("id", "h", "g", F.col("text").cast("binary"))
+    return narrow.mapInArrow(run, "id bigint, h bigint, g bigint, n bigint, a bigint, b bigint, bands array<bigint>")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -185,20 +194,52 @@ def near_duplicates(
     A-Z are lower-cased and words are runs of anything but ASCII white space. Documents are linked where
     100 * common >= percent * all of their distinct ``width``-word shingles; component_id is the smallest doc_id
     that can be reached, and the document that has it is kept. A text without words, or null, is linked with
-    nothing. Rows with the same doc_id count as one document: they are alike in kept. A null doc_id comes after all
-    others: such a row is kept only if its component has no other id, and its component_id is then null.
+    nothing. Rows that repeat a doc_id are judged each by its own text; those that have the smallest doc_id of their
+    component are all kept. A null doc_id comes after all others and names no document: of a component without any
+    other id one row is kept, and its component_id is null.
     """
-    found = written(sketch(docs, width, permutations, rows), "sketch")
-    classes = found.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("x"), F.first("bands").alias("bands"))
-    # Two classes with the same smallest id can only come from rows that repeat a doc_id: they are one node.
-    banded = written(classes.select("x", F.posexplode("bands").alias("k", "band")), "bands")
+    found = verdicts(docs, width, percent, permutations, rows, block)
+    return found.select(
+        F.when(F.col("id") != NONE, F.col("id")).alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("real") != NONE, F.col("real")).alias("component_id"),
+        "kept",
+    )
+
+
+def drop_near_duplicates(docs: DataFrame, **settings: int) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    found = verdicts(docs, **settings).groupBy("id", "h", "g").agg(F.max("kept").alias("some"), F.min("kept").alias("all"))
+    cut = written(found.where("not all"), "gone")
+    key = ["id", "h", "g"]
+    out = keyed(docs).join(cut, key, "left_anti").select(docs.columns)
+    single = cut.where("some")
+    if single.limit(1).count():  # copies without id, one of which stays
+        copies = keyed(docs).join(single, key, "left_semi")
+        least = copies.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+        out = out.union(least.select("row.*"))
+    return out
+
+
+def verdicts(
+    docs: DataFrame, width: int = 3, percent: int = 85, permutations: int = 70, rows: int = 5, block: int = 256
+) -> DataFrame:
+    """(id, h, g, n, real, kept) of every row of ``docs``: its key, the size of its set, the smallest id of its
+    component and whether it is kept, as ``near_duplicates`` has it."""
+    numbered = sketch(docs, width, permutations, rows).withColumn("row", F.monotonically_increasing_id())
+    found = written(numbered, "sketch")
+    # a class is a node of its own, also where ids are null or repeated; its owner is its first row
+    classes = found.where("n > 0").groupBy("a", "b").agg(
+        F.min(F.struct("id", "h", "g", "row")).alias("owner"), F.first("bands").alias("bands")
+    )
+    classes = written(classes.withColumn("x", F.monotonically_increasing_id()), "classes")
+    banded = classes.select("x", F.posexplode("bands").alias("k", "band"))
     shared = banded.groupBy("k", "band").agg(F.min("x").alias("l"), F.max("x").alias("r")).where("l <> r")
     members = written(banded.join(shared.select("k", "band"), ["k", "band"]), "members")
     candidates = members.groupBy("x").agg(F.count("*").alias("bands"))
-    texts = docs.select(order_id().alias("x"), F.col("text").cast("binary").alias("text"))
-    texts = texts.join(candidates.select("x"), "x", "left_semi")
-    owned = shingle_sets(texts, width)
-    sets = written(owned, "sets")
+    owners = classes.join(candidates, "x").select("x", "owner.id", "owner.h", "owner.g")
+    texts = keyed(docs.select("doc_id", "text")).join(owners, ["id", "h", "g"])
+    sets = written(shingle_sets(texts.select("x", F.col("text").cast("binary")), width), "sets")
     if docs_repeat(sets):
         sets = written(_one_set(sets), "sets")
 
@@ -261,23 +302,24 @@ def near_duplicates(
     all_links = written(links.union(more), "linked")
     component = connected_components(all_links)
 
-    # every row gets the component of its class
-    named = (
-        classes.select("a", "b", "x")
+    # every row gets the first row of its component
+    named = written(
+        classes.select("a", "b", "owner", "x")
         .join(component, F.col("x") == F.col("node"), "left")
-        .select("a", "b", F.coalesce("component", "x").alias("component"))
+        .select("a", "b", "owner", F.coalesce("component", "x").alias("component")),
+        "named",
     )
-    real = F.coalesce("component", "id")
+    first = named.groupBy("component").agg(F.min("owner").alias("first"))
+    named = named.join(first, "component").select("a", "b", "first")
+    real = F.coalesce("first.id", "id")
     return (
         found.drop("bands")
         .join(named, ["a", "b"], "left")
         .select(
-            F.when(F.col("id") != NONE, F.col("id")).alias("doc_id"),
-            F.col("n").alias("n_shingles"),
-            F.when(real != NONE, real).alias("component_id"),
-            (F.col("id") == real).alias("kept"),
+            "id", "h", "g", "n", real.alias("real"),
+            ((F.col("id") == real) & ((F.col("id") != NONE) | (F.col("row") == F.coalesce("first.row", "row")))).alias("kept"),
         )
-    )
+    )
 
 
 def docs_repeat(sets: DataFrame) -> bool:

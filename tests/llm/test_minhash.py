@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import connected_components
-from stratalake.llm.minhash import near_duplicates, sketch
+from stratalake.llm.minhash import drop_near_duplicates, near_duplicates, sketch
 
 
 def shingles(text, width=3):
@@ -88,3 +88,29 @@ def test_components_of_paths_and_stars(spark):
     assert len(got) == 41 + 300 + 2
     empty = spark.createDataFrame([], "x bigint, y bigint")
     assert connected_components(empty).agg(F.count("*")).first()[0] == 0
+
+
+def test_null_and_repeated_ids_keep_their_own_texts(spark, texts_of):
+    """Every text is judged by itself, whatever shares its id; a null id stands for no document."""
+    rng = random.Random(8)
+
+    def near(text):
+        words = text.split()
+        return " ".join([*words[:-1], "changed"])
+
+    a, b, c, d, e = (texts_of(rng, 100) for _ in range(5))
+    lone = [texts_of(rng, 60) for _ in range(3)]
+    rows = [(1, a), (None, near(a)), (2, b), (None, near(b)), *[(None, t) for t in lone], (None, "")]
+    rows += [(None, c), (None, c), (None, near(c))]  # only null ids: one stays
+    rows += [(7, d), (7, lone[0] + " more of it"), (3, near(d)), (7, e), (8, near(e))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert sum(r.kept for r in got if r.doc_id is None) == 4  # lone[1], lone[2], the empty one, one of c
+    assert sorted(r.kept for r in got if r.doc_id == 7) == [False, True, True]
+    assert {r.component_id for r in got if r.doc_id == 8} == {7}
+    left = sorted((r.doc_id or 0, r.text) for r in drop_near_duplicates(docs).collect())
+    of_c = [t for _, t in left if t in (c, near(c))]
+    assert len(of_c) == 1
+    kept = [(1, a), (2, b), (3, near(d)), (7, lone[0] + " more of it"), (7, e)]
+    assert left == sorted([*kept, (0, ""), (0, lone[1]), (0, lone[2]), (0, of_c[0])])
