@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import pieces, written
 
 CELLS = 1 << 14
+#: Texts of a label that are sampled however many labels there are.
+LEAST_TEXTS = 100
 #: Trigrams overlap, so that their likelihoods count for a third.
 TEMPER = 1 / 3
 _FOLD = np.array([b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)], np.uint32)
@@ -43,42 +45,48 @@ class Model:
 
 
 def train(docs: DataFrame, label: str, sample_rows: int = 20_000, min_rows: int = 5) -> Model:
-    """Trigram models of the labels that have ``min_rows`` rows at least among about ``sample_rows`` labelled rows.
+    """Trigram models of the labels that have ``min_rows`` rows at least, from about ``sample_rows`` distinct texts.
 
-    The rows are chosen by a hash of their text, so the sample does not depend on the layout; only sums of
-    trigram counts, at most ``CELLS`` a language, reach the driver.
+    Every label has an equal part of the sample, ``LEAST_TEXTS`` at least, or all of its texts if it has fewer. The texts are
+    chosen by their hash, so the sample does not depend on the layout; only sums of trigram counts, at most
+    ``CELLS`` a language, reach the driver.
     """
-    labelled = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull())
-    share = min(1.0, sample_rows / max(labelled.count(), 1))
-    chosen = labelled.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    labelled = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull()).select(F.col(label).alias("label"), "text")
+    hashed = labelled.groupBy("label", F.xxhash64("text", F.lit(3)).alias("hash")).count()
+    sizes = hashed.groupBy("label").agg(F.sum("count").alias("rows"), F.count("*").alias("texts"))
+    sizes = sizes.where(F.col("rows") >= min_rows).collect()
+    if not sizes:
+        return Model((), np.zeros((CELLS, 0), np.float32))
+    each = max(LEAST_TEXTS, sample_rows // len(sizes))
+    limits = [(F.lit(r["label"]), F.lit(int(min(1.0, each / r["texts"]) * (1 << 30)))) for r in sizes]
+    limit = F.try_element_at(F.create_map(*[c for pair in limits for c in pair]), F.col("label"))
+    chosen = labelled.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) < limit).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 sums[name] = sums.get(name, 0) + np.bincount(trigrams(text), minlength=CELLS)
-                rows[name] = rows.get(name, 0) + 1
         for name, sum_ in sums.items():
             cells = np.flatnonzero(sum_)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name] * (len(cells) + 1)),
-                    pa.array(np.append(cells, -1).astype(np.int64)),
-                    pa.array(np.append(sum_[cells], rows[name]).astype(np.int64)),
+                    pa.array([name] * len(cells), pa.string()),
+                    pa.array(cells.astype(np.int64)),
+                    pa.array(sum_[cells].astype(np.int64)),
                 ],
                 names=["label", "cell", "n"],
             )
 
-    narrow = chosen.select(F.col(label).alias("label"), F.col("text").cast("binary").alias("text"))
+    narrow = chosen.select("label", F.col("text").cast("binary").alias("text"))
     sums = narrow.mapInArrow(count, "label string, cell bigint, n bigint").groupBy("label", "cell").agg(
         F.sum("n").alias("n")
     )
-    tables: dict[str, np.ndarray] = {}
+    names = tuple(sorted(r["label"] for r in sizes))
+    tables = {n: np.zeros(CELLS) for n in names}
     for row in sums.collect():
-        tables.setdefault(row["label"], np.zeros(CELLS + 1))[row["cell"]] = row["n"]
-    names = tuple(sorted(n for n, t in tables.items() if t[-1] >= min_rows))
-    counts = np.array([tables[n][:-1] for n in names]).reshape(len(names), CELLS) + 0.5
+        tables[row["label"]][row["cell"]] = row["n"]
+    counts = np.array([tables[n] for n in names]) + 0.5
     return Model(names, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32))
 
 

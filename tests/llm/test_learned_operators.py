@@ -179,3 +179,19 @@ def test_languages_of_odd_rows(odd_docs, no_docs):
     assert language_id.identify_documents(no_docs).count() == 0
     unlabelled = language_id.identify_documents(odd_docs.withColumn("lang", F.lit(None).cast("string")))
     assert unlabelled.where("__kept and __language is null").count() == odd_docs.count()
+
+
+def test_a_rare_language_has_a_model_beside_a_large_one(spark, texts_of):
+    rng = random.Random(12)
+    rows = [(texts_of(rng, 12).replace("o", "u"), "large") for _ in range(2000)]
+    rows += [(rows[0][0], "large")] * 1000  # a text that a third of the rows share counts once
+    rows += [(texts_of(rng, 60).replace("u", "o"), "rare") for _ in range(12)] + [("few", "few")] * 4
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = language_id.train(docs, "lang", sample_rows=40)
+    assert model.languages == ("large", "rare")
+    assert model.logs.shape == (language_id.CELLS, 2)
+    shared = np.unique(language_id.trigrams(rows[0][0].encode()))
+    assert np.exp(model.logs[shared, 0]).sum() < 0.9
+    none = F.lit(None).cast("string")
+    found = language_id.identify(docs.where("lang = 'rare'"), model, none, none, none).collect()
+    assert len(found) == 12 and sum(r["__language"] == "rare" for r in found) > 10
