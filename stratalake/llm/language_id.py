@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import pieces, written
+from stratalake.llm.html_text import blocks
+from stratalake.llm.url_filter import split_url
 
 CELLS = 1 << 14
 #: Texts of a label that are sampled however many labels there are.
@@ -194,8 +196,43 @@ def identify(
     )
 
 
-def identify_documents(docs: DataFrame) -> DataFrame:
+def identify_documents(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """``identify`` for ``documents``: lang is the declared language and the training label, source the host, and
-    the suffix is the last label of the first address in the text."""
+    the suffix is the last label of the first address in the text. Without a ``model`` one is trained on ``docs``."""
     address = F.nullif(F.regexp_extract("text", r"://[^/?#:\s]*\.([A-Za-z]{2,24})(?![A-Za-z0-9.-])", 1), F.lit(""))
-    return identify(docs, train(docs, "lang"), F.col("lang"), F.col("source"), address)
+    return identify(docs, model or train(docs, "lang"), F.col("lang"), F.col("source"), address)
+
+
+def shown_texts(pages: DataFrame) -> DataFrame:
+    """``pages`` (html and any other columns) with text, all that a page shows, in place of html."""
+    place = pages.columns.index("html")
+    kept = [(n, t) for n, t in pages.dtypes if n != "html"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, place):
+            texts = [
+                " ".join(b.text for b in blocks(raw.decode("utf-8", "replace"))) if raw else None
+                for raw in batch.column(place).cast(pa.large_binary()).to_pylist()
+            ]
+            columns = [batch.column(i) for i in range(batch.num_columns) if i != place]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*(n for n, _ in kept), "text"])
+
+    return pages.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in kept) + ", text string")
+
+
+def identify_pages(pages: DataFrame, model: Model) -> DataFrame:
+    """(page_id, declared, __language, __probability, __kept) of every row of ``pages`` (page_id, url, html).
+
+    The declared language is the main part of the html element's lang, the text all that the page shows, and the url
+    gives the host and the suffix. ``model`` comes from other, labelled texts.
+    """
+    host = F.regexp_replace(split_url(F.col("url"))[0], r"^.*@|\.?(:[0-9]*)?$", "")
+    declared = F.regexp_extract("html", r"(?i)<html(?=[\s/])[^>]*[\s\"'/]lang\s*=\s*[\"']?\s*([A-Za-z]{2,8})(?![A-Za-z])", 1)
+    parts = pages.withColumns({
+        "declared": F.nullif(F.lower(declared), F.lit("")),
+        "host": F.nullif(host, F.lit("")),
+        "suffix": F.nullif(F.regexp_extract(host, r"\.([a-z][a-z0-9-]*)$", 1), F.lit("")),
+    }).select("page_id", "declared", "host", "suffix", "html")
+    texts = written(shown_texts(parts), "page-texts")
+    found = identify(texts, model, F.col("declared"), F.col("host"), F.col("suffix"))
+    return found.select("page_id", "declared", "__language", "__probability", "__kept")

@@ -106,10 +106,18 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of documents (page_id is null) and of pages (doc_id is null)."""
     docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
-    return language_id.identify_documents(docs).select(
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    model = language_id.train(docs, "lang")
+    none = F.lit(None).cast("bigint")
+    judged = language_id.identify_documents(docs, model).withColumnRenamed("lang", "declared").withColumn("page_id", none)
+    shown = language_id.identify_pages(pages, model).withColumn("doc_id", none)
+    names = ["doc_id", "page_id", "declared", "__language", "__probability", "__kept"]
+    return judged.select(names).union(shown.select(names)).select(
         "doc_id",
-        F.col("lang").alias("declared"),
+        "page_id",
+        "declared",
         F.col("__language").alias("language"),
         F.round("__probability", 6).alias("probability"),
         F.col("__kept").alias("kept"),

@@ -195,3 +195,22 @@ def test_a_rare_language_has_a_model_beside_a_large_one(spark, texts_of):
     none = F.lit(None).cast("string")
     found = language_id.identify(docs.where("lang = 'rare'"), model, none, none, none).collect()
     assert len(found) == 12 and sum(r["__language"] == "rare" for r in found) > 10
+
+
+def test_pages_are_judged_by_markup_and_address(spark, folder, texts_of):
+    from stratalake.llm.queries import QUERIES
+
+    rng = random.Random(13)
+    rows = [(texts_of(rng, 30).replace("o", "u"), "aa") for _ in range(60)] + [(texts_of(rng, 30).replace("u", "o"), "bb") for _ in range(60)]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"), "lang")
+    pages = [(i, f"http://h{i % 3}.{lang}.org/x", f"<html class=x lang='{lang}-XX'><body><p>{text}</p></body></html>") for i, (text, lang) in enumerate(rows)]
+    pages += [(500, "https://new.aa.org/", "<html><p>zz</p>"), (501, "https://new.bb.org:80/", "<html><p>zz</p>")]
+    pages += [(502, None, '<html LANG="bb"><p>zz</p>'), (503, None, None), (None, "http://x.aa.org", '<html lang="aa"><script>var a</script>')]
+    got = language_id.identify_pages(spark.createDataFrame(pages, "page_id bigint, url string, html string"), model).collect()
+    assert len(got) == len(pages)
+    found = {r.page_id: r for r in got}
+    assert [found[i]["__language"] for i in (500, 501, 502, 503, None)] == ["aa", "bb", "bb", None, None]
+    assert [found[i].declared for i in (0, 60, 500, 502, None)] == ["aa", "bb", None, "bb", "aa"]
+    whole = QUERIES["op10_language_id"](spark, folder).groupBy(F.col("page_id").isNull().alias("of")).count().collect()
+    counts = {r.of: r["count"] for r in whole}
+    assert counts == {of: spark.read.parquet(f"{folder}/{t}.parquet").count() for of, t in ((True, "documents"), (False, "pages"))}
