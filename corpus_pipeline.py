@@ -36,7 +36,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without benchmark passages; documents that are benchmark text for the greater part go."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
     return _sized(decontaminate.remove_leaks(found).select(docs.columns))
 
 

@@ -147,11 +147,12 @@ def stream(tables: dict, text: list[bytes]) -> tuple[list[tuple[int, int]], set[
     return spans, items
 
 
-def automata(benchmark: DataFrame, window: int, max_words: int) -> Iterator[Automaton]:
+def automata(benchmark: DataFrame, window: int, max_words: int, unnamed: bool = False) -> Iterator[Automaton]:
     """Automata over the items of ``benchmark`` (item_id, text), each of at most ``max_words`` words or one item."""
     held: list[tuple[int, list[bytes]]] = []
     size = 0
-    rows = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("binary")).where("item_id is not null")
+    rows = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("binary"))
+    rows = rows if unnamed else rows.where("item_id is not null")
     for item, text in rows.toLocalIterator():
         found = words(bytes(text) if text is not None else None)
         if held and size + len(found) > max_words:
@@ -163,12 +164,14 @@ def automata(benchmark: DataFrame, window: int, max_words: int) -> Iterator[Auto
         yield Automaton(held, window)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 2_000_000) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 2_000_000, unnamed: bool = False
+) -> DataFrame:
     """``docs`` (text and any other columns) with __n_words, __hits (stretches of hit words) and __items.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window.
     A document word inside any occurrence of a window is hit. Null texts have no words. Items without words
-    or without id never hit. Without items nothing is hit. Repeated rows are judged alike.
+    never hit. Those without id hit only if ``unnamed``; all of them are then one null, the last in __items. Without items nothing is hit. Repeated rows are judged alike.
     """
     kinds = "__n_words bigint, __hits array<struct<start:bigint,end:bigint>>, __items array<bigint>"
     out = docs.withColumns(
@@ -178,7 +181,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_word
             "__items": F.array().cast("array<bigint>"),
         }
     )
-    blocks = list(automata(benchmark, window, max_words)) or [Automaton([], window)]
+    blocks = list(automata(benchmark, window, max_words, unnamed)) or [Automaton([], window)]
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
     place = docs.columns.index("text")
     for block in blocks:
@@ -199,7 +202,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_word
                     new, own = stream(shared.value, tokens)
                     counts.append(len(tokens))
                     hits.append(merged([(s["start"], s["end"]) for s in spans] + new))
-                    found.append(sorted({*items, *own}))
+                    found.append(sorted({*items, *own}, key=lambda i: (i is None, i or 0)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *batch.columns[:-3],

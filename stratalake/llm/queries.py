@@ -77,7 +77,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"), unnamed=True)
     hit = F.aggregate("__hits", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     items = F.array_sort(F.transform("__items", lambda i: i.cast("string")))
     return found.select(

@@ -230,3 +230,24 @@ def test_positions_follow_the_schedule(spark):
 def test_the_mix_is_the_same_again(odd_docs):
     digest = F.sum(F.xxhash64("doc_id", "taken", "first_position", "second_position").cast("decimal(38,0)"))
     assert mixing.mix(odd_docs).agg(digest).first() == mixing.mix(odd_docs.repartition(7)).agg(digest).first()
+
+
+def test_benchmark_rows_without_id_hit_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from stratalake.llm.queries import ORACLE, QUERIES
+
+    words = " ".join(f"q{i}" for i in range(14))
+    docs = [(1, f"own start {words} own end"), (2, "x y both items in one z"), (3, "nothing here"), (4, "both items q1")]
+    items = [(None, words, "x"), (None, "in one", "x"), (5, "both items", "x"), (None, None, "x")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    engine = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        engine.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    name = "op7_decontamination"
+    answer = engine.execute(ORACLE[name])
+    names = [c[0] for c in answer.description]
+    got = QUERIES[name](spark, str(tmp_path)).select(names).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == sorted(answer.fetchall())
+    assert [r.n_hit for r in got] == [14, 4, 0, 2]
