@@ -37,7 +37,3 @@ def plan_of(spark):
         return df._jdf.queryExecution().executedPlan().toString()
 
     return text
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]
