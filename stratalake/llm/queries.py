@@ -10,6 +10,7 @@ from stratalake.llm import (
     html_text,
     language_id,
     line_dedup,
+    merkle,
     minhash,
     mixing,
     quality_rules,
@@ -124,6 +125,18 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of documents, checked against rows of which about one in seven was tampered with."""
+    docs = table(spark, folder, "documents")
+    longer = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, longer).otherwise(F.col("n_chars"))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = merkle.manifest(docs, fields, tree="lang", order="doc_id", shown={"n_chars": tampered})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op1_toxicity": op1_toxicity,
@@ -135,4 +148,5 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
