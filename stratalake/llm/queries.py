@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import (
+    conversation_repair,
     decontaminate,
     html_text,
     language_id,
@@ -137,6 +138,12 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all conversations after planted damage."""
+    turns, there = conversation_repair.damaged(table(spark, folder, "conversations"))
+    return conversation_repair.repair(turns, there)[0]
+
+
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op1_toxicity": op1_toxicity,
@@ -149,4 +156,5 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_line_dedup": op6_line_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
 }
