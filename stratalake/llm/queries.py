@@ -15,6 +15,7 @@ from stratalake.llm import (
     minhash,
     mixing,
     quality_rules,
+    quality_trees,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -144,6 +145,19 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair(turns, there)[0]
 
 
+def op13_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality, by trees that never saw the held-out quarter of the labels."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(~quality_trees.held_out())
+    found = quality_trees.score(docs, quality_trees.train(docs, labels))
+    return found.select(
+        "doc_id",
+        quality_trees.held_out().alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op1_toxicity": op1_toxicity,
@@ -157,4 +171,5 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_quality_trees": op13_quality_trees,
 }
