@@ -360,6 +360,18 @@ select id_venta, id_cliente, id_producto, nombre_producto, categoria_final, cana
 from (select *, row_number() over (order by monto desc, id_venta) as rn from enriched) where rn <= 10
 order by rn""")
 
+FLEET_HOUR = on_fleet(f"{HOURLY} group by 1, 2 order by 1, 2")
+FLEET_STATUS = on_fleet(f"""
+select estado_entrega, count(*) as total_eventos, count(distinct camion) as camiones,
+       {r("sum(toneladas)")} as toneladas, {r("avg(tiempo_espera_min)")} as tiempo_espera_promedio_min
+from prepared group by estado_entrega order by total_eventos desc, estado_entrega""")
+
+
+def near(exact: str, trucks: str) -> str:
+    """A table whose numbers of trucks are estimated: in place of them, that each is near the exact one."""
+    return f"select * exclude ({trucks}), true as cerca from ({exact})"
+
+
 ORACLE: dict[str, str] = {
     "dedup_sales": with_ctes(
         {"lines": LINES, "newest": NEWEST},
@@ -417,11 +429,12 @@ select event_id, camion, timestamp_evento, cast(fecha_evento as varchar) as fech
        nivel_riesgo, alerta_operativa from prepared"""),
     "fleet_overall": FLEET_OVERALL,
     "fleet_zone": FLEET_ZONE,
-    "fleet_hour": on_fleet(f"{HOURLY} group by 1, 2 order by 1, 2"),
-    "fleet_status": on_fleet(f"""
-select estado_entrega, count(*) as total_eventos, count(distinct camion) as camiones,
-       {r("sum(toneladas)")} as toneladas, {r("avg(tiempo_espera_min)")} as tiempo_espera_promedio_min
-from prepared group by estado_entrega order by total_eventos desc, estado_entrega"""),
+    "fleet_hour": FLEET_HOUR,
+    "fleet_status": FLEET_STATUS,
+    "fleet_hour_sketch": near(FLEET_HOUR, "camiones_activos"),
+    "fleet_zone_sketch": near(FLEET_ZONE, "camiones_activos"),
+    "stream_fleet_hour": FLEET_HOUR,
+    "stream_fleet_status_sketch": near(FLEET_STATUS, "camiones"),
     "fleet_alerts": FLEET_ALERTS,
     "fleet_overall_extremes": FLEET_OVERALL.replace("from prepared", f"from prepared where not ({EXTREME})"),
     "fleet_rejects": on_fleet(f"""
@@ -438,7 +451,7 @@ select {MESSAGE_ID}, camion as _message_key, 'no json' as _raw_message from gps
         f"{PARSED}, 'GPS_IOT_KAFKA' as _source_system, 'JSON_STREAM' as _source_format from gps"
     ),
     "stream_alerts": FLEET_ALERTS,
-    "stream_hourly": on_fleet(f"{HOURLY} group by 1, 2 order by 1, 2"),
+    "stream_hourly": FLEET_HOUR,
     "stream_dedup": on_fleet(f"select {MESSAGE_ID}, event_id, camion, timestamp_evento from gps"),
     "stream_fleet_overall": FLEET_OVERALL,
     "stream_fleet_zone": FLEET_ZONE,

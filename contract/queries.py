@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.config import DEFAULT_TOPIC, GOLD_CATALOG, GOLD_TABLES, LakeConfig
 from stratalake.functions.numbers import round_half_up
+from stratalake.functions.once import once
 from stratalake.operators import clean, fleet, pareto, quality, sales
 from stratalake.operators.lineage import stamp
 from stratalake.plans.bronze import run_bronze
@@ -176,9 +177,8 @@ def fleet_rejects(spark, folder):
 def gps_messages(spark, folder):
     """Keyed JSON messages, read back with the schema on arrival."""
     sent = as_messages(star.gps(spark, folder).drop("timestamp_evento"), "camion")
-    got = F.from_json("value", schemas.GPS_MESSAGE)
-    fields = [c for c in schemas.GPS_COLUMNS if c != "timestamp_evento"]
-    return sent.select("key", *[got[c].alias(c) for c in fields])
+    got = once(sent, ["key"], {"got": F.from_json("value", schemas.GPS_MESSAGE)})
+    return got.select("key", *[F.col("got")[c].alias(c) for c in schemas.GPS_COLUMNS if c != "timestamp_evento"])
 
 
 def gps_parse_json(spark, folder):
@@ -212,13 +212,13 @@ def stream_alerts(spark, folder):
     return _drained(spark, fleet.alerts(prepared), "stream_alerts")
 
 
-def _landed_envelope(spark, folder, redelivered: bool = False) -> str:
-    """Messages written as files in several parts, some of them twice if asked for."""
+def _landed_envelope(spark, folder, redelivered: bool = False, files: int = 4) -> str:
+    """Messages written as so many files, some of them twice if asked for."""
     place = run_dir(spark, "envelope")
     rows = star.envelope(spark, folder)
     if redelivered:
         rows = rows.unionByName(rows.filter(F.col("offset") % 7 == 0))
-    rows.repartition(4, "offset").write.parquet(place)
+    rows.repartition(files, "offset").write.parquet(place)
     return place
 
 
@@ -245,12 +245,12 @@ def stream_dedup(spark, folder):
     return rows.select(*gps.MESSAGE_ID, "event_id", "camion", "timestamp_evento")
 
 
-def _live_fleet(spark, folder, name: str) -> DataFrame:
-    """KPI table after a stream of several micro-batches has been rolled up batch by batch."""
-    stream = messages.envelope_files_stream(spark, _landed_envelope(spark, folder), maxFilesPerTrigger=1)
+def _live_fleet(spark, folder, name: str, batches: int = 4, **options) -> DataFrame:
+    """KPI table after a stream has been followed to its end in so many micro-batches."""
+    stream = messages.envelope_files_stream(spark, _landed_envelope(spark, folder, files=batches), maxFilesPerTrigger=1)
     place = run_dir(spark, "live_fleet")
     runs.start_fleet_refresh(
-        gps.parse(stream), f"{place}/rollup", lambda table: f"{place}/{table}", f"{place}/checkpoint"
+        gps.parse(stream), f"{place}/rollup", lambda table: f"{place}/{table}", f"{place}/checkpoint", **options
     ).awaitTermination()
     return files.read_table(spark, f"{place}/{name}", name).drop("generated_at")
 
@@ -260,7 +260,44 @@ def stream_fleet_overall(spark, folder):
 
 
 def stream_fleet_zone(spark, folder):
-    return _live_fleet(spark, folder, "rt_kpis_por_zona")
+    """With a merge of the changed totals on the way."""
+    return _live_fleet(spark, folder, "rt_kpis_por_zona", merge_every=2)
+
+
+def stream_fleet_hour(spark, folder):
+    return _live_fleet(spark, folder, "rt_toneladas_por_hora")
+
+
+def _near(estimate: str, exact: str, error: float = 0.05):
+    """Estimated numbers are within 5 percent, three standard errors of the sketch."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= error * F.col(exact)
+
+
+def _against_exact(sketched: DataFrame, exact: DataFrame, keys: list[str], trucks: str) -> DataFrame:
+    """The estimated table with whether its numbers of trucks are near the exact ones."""
+    both = sketched.join(exact.select(*keys, F.col(trucks).alias("_exact")), keys)
+    return both.withColumn("cerca", _near(trucks, "_exact")).drop(trucks, "_exact")
+
+
+def _sketched(spark, folder) -> DataFrame:
+    """A written rollup by hour, zone and state that holds sketches of trucks instead of a row for each."""
+    rollup = fleet.fleet_rollup(fleet.prepare(star.gps(spark, folder)), fleet.SKETCH_KEYS)
+    return sinks.store(rollup, run_dir(spark, "sketched"), "fleet_rollup")
+
+
+def fleet_hour_sketch(spark, folder):
+    """Hours from the sketched rollup, and whether their numbers of trucks are within 5 percent of the exact ones."""
+    return _against_exact(fleet.by_hour(_sketched(spark, folder)), fleet_hour(spark, folder), ["fecha_evento", "hora_evento"], "camiones_activos")
+
+
+def fleet_zone_sketch(spark, folder):
+    return _against_exact(fleet.by_zone(_sketched(spark, folder)), fleet_zone(spark, folder), ["zona"], "camiones_activos")
+
+
+def stream_fleet_status_sketch(spark, folder):
+    """The live state table with estimated trucks, merged batch by batch."""
+    live = _live_fleet(spark, folder, "rt_estado_flota", approximate=True)
+    return _against_exact(live, fleet_status(spark, folder), ["estado_entrega"], "camiones")
 
 
 # --- layers, files and reports ----------------------------------------------------------------------
@@ -428,7 +465,7 @@ REGISTERED: list[Query] = [
     enrich_sales, kpi_overall, kpi_monthly, kpi_customer, kpi_category_channel, kpi_web, top_customer, top10_sales,
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
     fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
-    stream_dedup, stream_fleet_overall, stream_fleet_zone, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
+    stream_dedup, stream_fleet_overall, stream_fleet_zone, stream_fleet_hour, stream_fleet_status_sketch, fleet_hour_sketch, fleet_zone_sketch, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
     bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
 ]
 

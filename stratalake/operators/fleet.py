@@ -181,9 +181,20 @@ MEASURES = [TONS, SPEED, WAIT, LOAD, RISK]
 ROLLUP_KEYS = ("fecha_evento", "hora_evento", "zona", "estado_entrega", "camion")
 
 
+# Rollups without the truck among their keys hold a sketch of their trucks: 2 ** 12 registers, standard error 1.6 %.
+SKETCH, SKETCH_LOG_SIZE = "camiones_sketch", 12
+SKETCH_KEYS = tuple(key for key in ROLLUP_KEYS if key != "camion")
+
+
 def fleet_rollup(prepared: DataFrame, keys: tuple[str, ...] = ROLLUP_KEYS) -> DataFrame:
-    """Partial results per ``keys``; rows of several rollups can be put together and rolled up again."""
+    """Partial results per ``keys``; rows of several rollups can be put together and rolled up again.
+
+    With the truck among the keys trucks are counted exactly. Without it (``SKETCH_KEYS``) a row is an hour, zone and
+    state, however many trucks there are, and their number is estimated from a mergeable sketch.
+    """
+    trucks = [] if "camion" in keys else [F.hll_sketch_agg("camion", F.lit(SKETCH_LOG_SIZE)).alias(SKETCH)]
     return prepared.groupBy(*keys).agg(
+        *trucks,
         F.count(F.lit(1)).alias("eventos"),
         F.count_if("entrega_a_tiempo").alias("a_tiempo"),
         F.count_if("alerta_operativa").alias("alertas"),
@@ -192,8 +203,21 @@ def fleet_rollup(prepared: DataFrame, keys: tuple[str, ...] = ROLLUP_KEYS) -> Da
     )
 
 
-def _trucks(name: str) -> Column:
-    return F.count_distinct("camion").alias(name)
+def merge_rollups(parts: DataFrame, keys: tuple[str, ...] = ROLLUP_KEYS) -> DataFrame:
+    """One row per key out of several partial rows."""
+    sums = [
+        F.hll_union_agg(name).alias(name) if name == SKETCH else F.sum(name).cast(kind).alias(name)
+        for name, kind in parts.dtypes
+        if name not in ROLLUP_KEYS
+    ]
+    return parts.groupBy(*keys).agg(*sums)
+
+
+def _trucks(rollup: DataFrame, name: str) -> Column:
+    """Exact where the rollup has the trucks, else estimated."""
+    if SKETCH not in rollup.columns:
+        return F.count_distinct("camion").alias(name)
+    return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(SKETCH)), F.lit(0)).cast("bigint").alias(name)
 
 
 def _count(column: str, name: str) -> Column:
@@ -217,7 +241,7 @@ def overall(rollup: DataFrame) -> DataFrame:
     """One row; with no events the counts are 0 and the measures NULL."""
     table = rollup.agg(
         _count("eventos", "total_eventos_gps"),
-        _trucks("camiones_activos"),
+        _trucks(rollup, "camiones_activos"),
         _total(TONS, "toneladas_transportadas"),
         _mean(SPEED, "velocidad_promedio"),
         _mean(WAIT, "tiempo_espera_promedio_min"),
@@ -233,7 +257,7 @@ def overall(rollup: DataFrame) -> DataFrame:
 def by_zone(rollup: DataFrame) -> DataFrame:
     table = rollup.groupBy("zona").agg(
         _count("eventos", "total_eventos"),
-        _trucks("camiones_activos"),
+        _trucks(rollup, "camiones_activos"),
         _total(TONS, "toneladas_transportadas"),
         _mean(SPEED, "velocidad_promedio"),
         _mean(WAIT, "tiempo_espera_promedio_min"),
@@ -248,7 +272,7 @@ def by_zone(rollup: DataFrame) -> DataFrame:
 def by_hour(rollup: DataFrame) -> DataFrame:
     table = rollup.groupBy("fecha_evento", "hora_evento").agg(
         _count("eventos", "total_eventos"),
-        _trucks("camiones_activos"),
+        _trucks(rollup, "camiones_activos"),
         _total(TONS, "toneladas_por_hora"),
         _mean(SPEED, "velocidad_promedio"),
         _mean(LOAD, "ocupacion_promedio_pct"),
@@ -259,7 +283,7 @@ def by_hour(rollup: DataFrame) -> DataFrame:
 def by_status(rollup: DataFrame) -> DataFrame:
     table = rollup.groupBy("estado_entrega").agg(
         _count("eventos", "total_eventos"),
-        _trucks("camiones"),
+        _trucks(rollup, "camiones"),
         _total(TONS, "toneladas"),
         _mean(WAIT, "tiempo_espera_promedio_min"),
     )

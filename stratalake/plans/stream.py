@@ -9,7 +9,7 @@ from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.sources.messages import topic_stream
 from stratalake.streaming import gps
-from stratalake.streaming.runs import run_for, start_append, start_fleet_refresh
+from stratalake.streaming.runs import LiveQueries, run_for, start_append, start_fleet_refresh
 
 
 def followed(
@@ -49,9 +49,13 @@ def run_stream_bronze(
 
 
 def start_live_fleet(
-    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
-) -> StreamingQuery:
-    """Keep the live fleet KPI tables current."""
+    spark: SparkSession,
+    cfg: LakeConfig,
+    envelope: DataFrame | None = None,
+    every: str | None = None,
+    approximate: bool = False,
+) -> LiveQueries:
+    """Keep the live fleet KPI tables current; ``approximate`` estimates the numbers of trucks."""
     rows, every = followed(spark, cfg, envelope, every)
     return start_fleet_refresh(
         gps.parse(rows),
@@ -60,6 +64,7 @@ def start_live_fleet(
         cfg.checkpoint("live_fleet/gps_camiones"),
         cfg.fmt,
         every,
+        approximate,
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.config import EXTRACT_ORDER, FOLDER_EXTRACTS
+from stratalake.sinks.versions import publish
 from stratalake.sources.files import read_table
 
 
@@ -22,8 +23,12 @@ def write_table(
 ) -> None:
     """Write a table, replacing data and schema unless told otherwise.
 
-    ``only_touched_partitions`` replaces just the partitions present in ``df``.
+    ``only_touched_partitions`` replaces just the partitions present in ``df``. Readers of a Parquet table are not
+    disturbed (``sinks.versions``); read it with ``read_table``. Other formats have their own means.
     """
+    if fmt == "parquet" and mode == "overwrite":
+        publish(df, path, partition_by, only_touched_partitions)
+        return
     writer = df.write.format(fmt).mode(mode)
     if only_touched_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -8,16 +8,22 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.sinks.versions import read_current, read_version
+
 
 class MissingDataset(FileNotFoundError):
     """A landing file or a layer table that a step needs is not there."""
 
 
+# A folder without a data file, such as one whose first write has not ended, is no data set yet.
+NOT_THERE = {"PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def _guarded(read: Callable[[], DataFrame], name: str, path: str) -> DataFrame:
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST"):
+        if error.getCondition() in NOT_THERE:
             raise MissingDataset(f"dataset {name} not found: {path}") from error
         raise
 
@@ -59,4 +65,8 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, columns: list[str], n
 
 
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A layer table; of one that is written in versions, the present version."""
+    current = read_current(spark, path) if fmt == "parquet" else None
+    if current is not None:
+        return read_version(spark, path, current)
     return _guarded(lambda: spark.read.format(fmt).load(path), name, path)

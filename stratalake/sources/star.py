@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratalake.config import DEFAULT_TOPIC
 from stratalake.functions.calendar import event_calendar, sale_calendar
 from stratalake.functions.numbers import round_half_up
+from stratalake.functions.once import once
 from stratalake.operators import fleet
 from stratalake.operators.dedup import latest
 from stratalake.operators.enrich import enrich
@@ -232,8 +233,8 @@ def gps_unscored(events: DataFrame) -> DataFrame:
 
 
 def gps_of(events: DataFrame) -> DataFrame:
-    scored = fleet.scored(gps_unscored(events))
-    return scored.withColumn("event_id", F.col("event_id").cast("int")).select(*GPS_COLUMNS)
+    scored = fleet.scored(gps_unscored(events)).withColumn("event_id", F.col("event_id").cast("int"))
+    return once(scored, [], {name: F.col(name) for name in GPS_COLUMNS})
 
 
 def gps(spark: SparkSession, folder: str) -> DataFrame:

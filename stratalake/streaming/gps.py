@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.config import STREAM_LINEAGE
 from stratalake.functions.numbers import round_half_up
+from stratalake.functions.once import once
 from stratalake.operators import fleet
 from stratalake.operators.lineage import stamp
 from stratalake.sources.schemas import GPS_COLUMNS, GPS_MESSAGE
@@ -29,17 +30,18 @@ ARRIVAL = "_kafka_timestamp"
 
 
 def parse(envelope: DataFrame) -> DataFrame:
-    """Message fields, envelope and raw text. An unreadable message stays, with NULL fields."""
+    """Message fields, envelope and raw text. An unreadable message stays, with NULL fields.
+
+    The text is read once, also where rules and KPIs filter on many of its fields.
+    """
     texts = {name: F.col(name).cast("string") for name in ("key", "value")}
     renamed = envelope.withColumns(texts).select(
         *[F.col(name).alias(new) for name, new in ENVELOPE_COLUMNS.items()]
     )
-    message = F.from_json("_raw_message", GPS_MESSAGE)
-    return (
-        renamed.withColumn("_message", message)
-        .select(*[F.col("_message")[name].alias(name) for name in GPS_COLUMNS], *ENVELOPE_COLUMNS.values())
-        .withColumn("timestamp_evento", F.col("timestamp_evento").try_cast("timestamp"))
-    )
+    read = once(renamed, list(ENVELOPE_COLUMNS.values()), {"_message": F.from_json("_raw_message", GPS_MESSAGE)})
+    return read.select(
+        *[F.col("_message")[name].alias(name) for name in GPS_COLUMNS], *ENVELOPE_COLUMNS.values()
+    ).withColumn("timestamp_evento", F.col("timestamp_evento").try_cast("timestamp"))
 
 
 def bronze(envelope: DataFrame) -> DataFrame:

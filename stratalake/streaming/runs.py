@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from stratalake.operators import fleet
 from stratalake.operators.lineage import clocked
-from stratalake.sinks.tables import side_by_side, store, write_table
+from stratalake.sinks.tables import clustered_for, side_by_side, store, write_table
 from stratalake.sources.files import read_table
 
 
@@ -31,7 +33,7 @@ def start_append(
     return writer.start(path)
 
 
-def run_for(query: StreamingQuery, seconds: int) -> bool:
+def run_for(query: StreamingQuery | LiveQueries, seconds: int) -> bool:
     """Let a query run for a while, then stop it; True if it had ended by itself."""
     ended = query.awaitTermination(seconds)
     if not ended:
@@ -51,71 +53,158 @@ def fleet_tables(rollup: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-DAY, VERSION = "fecha_evento", "_batch"
+DAY, HOUR, BATCH = "fecha_evento", "hora_evento", "_batch"
 #: What the tables over all time are read off: as many rows as trucks, zones and states, whatever the time.
 STATE_KEYS = ("zona", "estado_entrega", "camion")
-HOUR_KEYS = (DAY, "hora_evento", "camion")
+HOUR_KEYS = (DAY, HOUR, "camion")
+Refresh = Callable[[DataFrame, int], None]
 
 
-def fleet_refresh(
-    rollup_path: str, table_path: Callable[[str], str], fmt: str
-) -> Callable[[DataFrame, int], None]:
-    """What to do with a micro-batch of Bronze rows to bring the fleet KPI tables up to date.
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    A micro-batch aggregates its own events only and merges them into two rollups. That by truck and state does not
-    grow with time; two folders take turns, a batch reads the one its predecessor wrote. That by hour and truck
-    is partitioned by day and batch: only the days that the batch touches are read, merged and written, and the
-    hourly table is replaced for those days only. A batch that is repeated after a failure starts from the same
-    state, because each day keeps the version before its last one.
+
+def _forget(spark: SparkSession, *folders: str) -> None:
+    for folder in folders:
+        place, files = _folder(spark, folder)
+        files.delete(place, True)
+
+
+def _numbered(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Folders under ``path`` that are batch numbers, and whether each was written to its end."""
+    place, files = _folder(spark, f"{path}/*")
+    done = {}
+    for status in files.globStatus(place) or []:
+        name = status.getPath().getName()
+        if name.isdigit():
+            done[int(name)] = files.exists(_folder(spark, f"{path}/{name}/_SUCCESS")[0])
+    return done
+
+
+def totals_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parquet", merge_every: int = 20) -> Refresh:
+    """What to do with the changed totals of a micro-batch, as a stateful aggregation by ``STATE_KEYS`` gives them.
+
+    Only the changed keys are written. The totals of all keys are the last one of each among the changes since the last
+    merge and that merge; every ``merge_every`` batches there is a new one. A batch that is repeated after a failure
+    gets the same changes from the state store, and writes and reads the same folders again.
     """
 
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prepared = fleet.prepare(batch)
-        fresh = store(fleet.fleet_rollup(prepared), f"{rollup_path}/fresh", "fleet_rollup")
-        states = merge_rollups(fresh.drop(DAY, "hora_evento"), STATE_KEYS)
+    def refresh(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        if batch_id == 0:
+            _forget(spark, path)
+        changed.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/changes/{batch_id}")
+        merged = [n for n, done in _numbered(spark, f"{path}/merged").items() if done and n <= batch_id]
+        start = max(merged, default=-1)
+        later = [n for n in _numbered(spark, f"{path}/changes") if start < n <= batch_id]
+        parts = [f"{path}/changes/{n}" for n in sorted(later)] + [f"{path}/merged/{n}" for n in merged if n == start]
+        rows = spark.read.schema(StructType([*changed.schema.fields, StructField(BATCH, IntegerType())])).parquet(*parts)
+        values = [c for c in rows.columns if c not in STATE_KEYS]
+        totals = rows.groupBy(*STATE_KEYS).agg(F.max(F.struct(BATCH, *[c for c in values if c != BATCH])).alias("last"))
+        totals = totals.select(*STATE_KEYS, "last.*")
+        if batch_id % merge_every == merge_every - 1 and start < batch_id:
+            totals.write.mode("overwrite").parquet(f"{path}/merged/{batch_id}")
+            totals = spark.read.schema(totals.schema).parquet(f"{path}/merged/{batch_id}")
+            # the last merge and the changes after it stay, for a repeat of this batch
+            old = [f"{path}/changes/{n}" for n in _numbered(spark, f"{path}/changes") if n <= start]
+            _forget(spark, *old, *[f"{path}/merged/{n}" for n in merged if n < start])
+        tables = fleet_tables(totals.drop(BATCH))
+        side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables.items())
+
+    return refresh
+
+
+def hours_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parquet", approximate: bool = False) -> Refresh:
+    """What to do with the prepared events of a micro-batch to bring the hourly table up to date.
+
+    The batch aggregates its own events and merges them into the rollup of the days that it touches, which is partitioned
+    by day and batch: nothing else is listed, read or written. A batch that is repeated after a failure starts from the
+    same state, because each day keeps the version before its last one.
+    """
+    keys = (DAY, HOUR) if approximate else HOUR_KEYS
+
+    def refresh(events: DataFrame, batch_id: int) -> None:
+        spark = events.sparkSession
+        if batch_id == 0:
+            _forget(spark, path)
+        fresh = store(fleet.fleet_rollup(events, keys), f"{path}_fresh", "fleet_hours")
+        days = [str(row[0]) for row in fresh.select(DAY).distinct().collect()]
+        if not days and batch_id > 0:
+            return
+        rows, older = fresh, _versions(spark, path, days, batch_id)
+        if older:
+            folders = [f"{path}/{DAY}={day}/{BATCH}={max(known)}" for day, known in older.items()]
+            before = spark.read.schema(fresh.schema).option("basePath", path).parquet(*folders).drop(BATCH)
+            rows = fleet.merge_rollups(before.unionByName(fresh), keys)
+        rows = clustered_for(rows, DAY).withColumn(BATCH, F.lit(batch_id))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH)
+        writer.parquet(path)
+        _forget(spark, *[f"{path}/{DAY}={day}/{BATCH}={n}" for day, known in older.items() for n in sorted(known)[:-1]])
+        folders = [f"{path}/{DAY}={day}/{BATCH}={batch_id}" for day in days]
+        now = spark.read.schema(fresh.schema).option("basePath", path).parquet(*folders).drop(BATCH) if days else fresh
+        write_table(
+            clocked(fleet.by_hour(now)), table_path(HOURLY_TABLE), fmt, (DAY,), only_touched_partitions=batch_id > 0
+        )
+
+    return refresh
+
+
+def _versions(spark: SparkSession, path: str, days: list[str], batch_id: int) -> dict[str, list[int]]:
+    """Batches before this one that wrote the days."""
+    out: dict[str, list[int]] = {}
+    for day in days:
+        place, files = _folder(spark, f"{path}/{DAY}={day}/{BATCH}=*")
+        known = [int(status.getPath().getName().partition("=")[2]) for status in files.globStatus(place) or []]
+        if any(n < batch_id for n in known):
+            out[day] = [n for n in known if n < batch_id]
+    return out
+
+
+def sketch_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parquet") -> Refresh:
+    """What to do with the prepared events of a micro-batch when trucks are estimated: one pass over the events gives all.
+
+    A rollup row is a zone and state, or an hour, however many trucks there are, so the totals are rewritten whole:
+    two folders take turns, a batch reads the one its predecessor wrote.
+    """
+    hours = hours_refresh(f"{path}/hours", table_path, fmt, approximate=True)
+
+    def refresh(events: DataFrame, batch_id: int) -> None:
+        spark = events.sparkSession
+        totals = fleet.fleet_rollup(events, STATE_KEYS[:2])
         if batch_id > 0:
-            before = read_table(spark, f"{rollup_path}/states/{(batch_id - 1) % 2}", "fleet_states")
-            states = merge_rollups(before.unionByName(states), STATE_KEYS)
-        states = store(states, f"{rollup_path}/states/{batch_id % 2}", "fleet_states")
-        tables = fleet_tables(states)
+            before = read_table(spark, f"{path}/totals/{(batch_id - 1) % 2}", "fleet_totals")
+            totals = fleet.merge_rollups(before.unionByName(totals), STATE_KEYS[:2])
+        totals = store(totals, f"{path}/totals/{batch_id % 2}", "fleet_totals")
+        tables = fleet_tables(totals)
         side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables.items())
-        days = [row[0] for row in fresh.select(DAY).distinct().collect()]
-        if days or batch_id == 0:
-            hours = _merged_days(fresh, f"{rollup_path}/hours", days, batch_id)
-            write_table(
-                clocked(fleet.by_hour(hours)), table_path(HOURLY_TABLE), fmt, (DAY,), only_touched_partitions=batch_id > 0
-            )
+        hours(events, batch_id)
 
     return refresh
 
 
-def _merged_days(fresh: DataFrame, path: str, days: list, batch_id: int) -> DataFrame:
-    """The hour rollup of the touched days, after the events of this batch."""
-    rows = merge_rollups(fresh.drop("zona", "estado_entrega"), HOUR_KEYS)
-    older: dict = {}
-    if batch_id > 0 and days:
-        known = read_table(fresh.sparkSession, path, "fleet_hours")
-        known = known.where(F.col(DAY).isin(days) & (F.col(VERSION) < batch_id))
-        for day, version in known.select(DAY, VERSION).distinct().collect():
-            older.setdefault(day, []).append(version)
-        latest = [(F.col(DAY) == day) & (F.col(VERSION) == max(v)) for day, v in older.items()]
-        if latest:
-            before = known.where(reduce(Column.__or__, latest)).drop(VERSION)
-            rows = merge_rollups(before.unionByName(rows), HOUR_KEYS)
-    write_table(
-        rows.withColumn(VERSION, F.lit(batch_id)), path, partition_by=(DAY, VERSION), only_touched_partitions=batch_id > 0
-    )
-    _forget(fresh.sparkSession, [f"{path}/{DAY}={d}/{VERSION}={v}" for d, vs in older.items() for v in sorted(vs)[:-1]])
-    now = read_table(fresh.sparkSession, path, "fleet_hours")
-    return now.where(F.col(DAY).isin(days) & (F.col(VERSION) == batch_id)).drop(VERSION)
+class LiveQueries:
+    """Several streaming queries that are waited for and stopped together."""
 
+    def __init__(self, queries: list[StreamingQuery]):
+        self.queries = queries
 
-def _forget(spark: SparkSession, folders: list[str]) -> None:
-    """Delete versions that no repeat can need."""
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    @property
+    def isActive(self) -> bool:  # noqa: N802 - as a single query has it
+        return any(query.isActive for query in self.queries)
+
+    def awaitTermination(self, timeout: float | None = None) -> bool | None:  # noqa: N802
+        if timeout is None:
+            for query in self.queries:
+                query.awaitTermination()
+            return None
+        end = time.monotonic() + timeout
+        return all([query.awaitTermination(max(0.1, end - time.monotonic())) for query in self.queries])
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
 
 
 def start_fleet_refresh(
@@ -125,15 +214,27 @@ def start_fleet_refresh(
     checkpoint: str,
     fmt: str = "parquet",
     every: str | None = None,
-) -> StreamingQuery:
-    """Keep the fleet KPI tables up to date from a stream."""
-    refresh = fleet_refresh(rollup_path, table_path, fmt)
-    writer = bronze_rows.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
-
-
-def merge_rollups(parts: DataFrame, keys: tuple[str, ...] = fleet.ROLLUP_KEYS) -> DataFrame:
-    """One row per key out of several partial rows."""
-    sums = [F.sum(name).cast(kind).alias(name) for name, kind in parts.dtypes if name not in fleet.ROLLUP_KEYS]
-    return parts.groupBy(*keys).agg(*sums)
+    approximate: bool = False,
+    merge_every: int = 20,
+) -> LiveQueries:
+    """Keep the fleet KPI tables up to date from a stream.
+
+    Exactly, two queries do: one keeps the totals by zone, state and truck in its state store and gives out those that
+    change, the other merges hours. The state grows with trucks, not with time. ``approximate`` estimates trucks by
+    sketches, in one query without state.
+    """
+    prepared = fleet.prepare(bronze_rows)
+
+    def start(rows: DataFrame, name: str, refresh: Refresh, mode: str = "append") -> StreamingQuery:
+        writer = rows.writeStream.outputMode(mode).foreachBatch(refresh).option("checkpointLocation", f"{checkpoint}/{name}")
+        return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+    if approximate:
+        return LiveQueries([start(prepared, "sketch", sketch_refresh(f"{rollup_path}/sketch", table_path, fmt))])
+    totals = totals_refresh(f"{rollup_path}/totals", table_path, fmt, merge_every)
+    return LiveQueries(
+        [
+            start(fleet.fleet_rollup(prepared, STATE_KEYS), "totals", totals, "update"),
+            start(prepared, "hours", hours_refresh(f"{rollup_path}/hours", table_path, fmt)),
+        ]
+    )

@@ -1,6 +1,7 @@
 """Landing files through every layer to the published extracts."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -11,7 +12,7 @@ from stratalake.plans.gold import run_fleet, run_gold
 from stratalake.plans.publish import run_publish
 from stratalake.plans.silver import run_silver
 from stratalake.plans.stream import start_stream_bronze
-from stratalake.sources.files import read_csv
+from stratalake.sources.files import read_csv, read_table
 from stratalake.sources.messages import envelope_files_stream
 from stratalake.sources.schemas import ENVELOPE
 
@@ -80,9 +81,9 @@ def test_silver(spark, lake):
     assert {"_batch_id", "processed_at", "anio_mes", "producto_activo"} <= set(silver["ventas_enriquecidas"].columns)
     report = {r.table_name: r.record_count for r in silver["data_quality_report"].collect()}
     assert report == {"ventas": 3, "web_events": 2, "productos": 2, "ventas_enriquecidas": 3}
-    rejects = spark.read.parquet(cfg.silver("ventas_rechazos"))
+    rejects = read_table(spark, cfg.silver("ventas_rechazos"), "ventas_rechazos")
     assert rejects.count() == 3
-    assert sorted(p.name for p in __import__("pathlib").Path(cfg.silver("ventas")).glob("anio_mes=*")) == [
+    assert sorted(p.name for p in Path(cfg.silver("ventas")).rglob("anio_mes=*")) == [
         "anio_mes=2026-01",
         "anio_mes=2026-02",
     ]

@@ -6,6 +6,9 @@ from pathlib import Path
 import pytest
 
 from contract.queries import QUERIES
+from stratalake.operators import fleet
+from stratalake.sources import star
+from stratalake.streaming import gps
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the star-schema tables")
@@ -34,3 +37,23 @@ def test_the_ten_sales_are_taken_before_any_join(spark):
 def test_distinct_counts_copy_no_sale(spark, plan_of):
     plan = plan_of(QUERIES["kpi_overall"](spark, FOLDER))
     assert "Expand" not in plan or plan.index("Expand") < plan.index("functions=[count(id_venta")
+
+
+def test_a_message_is_read_once_whatever_is_filtered(spark):
+    """Rules and alert conditions filter on many fields of a message; its text is parsed for none of them again."""
+    envelope = star.envelope(spark, FOLDER, faulty=True)
+    parsed = gps.parse(envelope)
+    for df in (parsed, fleet.prepare(parsed), fleet.alerts(fleet.prepare(parsed)), gps.unreadable(parsed)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().lower().count("from_json(") == 1
+
+
+def test_scores_are_computed_once(spark):
+    plan = fleet.prepare(star.gps(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("least(" in line or "CAM-" in line for line in filters)
+
+
+def test_sketched_rollups_have_no_truck_among_their_keys(spark, plan_of):
+    rollup = fleet.fleet_rollup(fleet.prepare(star.gps(spark, FOLDER)), fleet.SKETCH_KEYS)
+    assert "camion" not in rollup.columns and fleet.SKETCH in rollup.columns
+    assert re.search(r"keys=\[fecha_evento[^]]*estado_entrega#\d+\]", plan_of(rollup))

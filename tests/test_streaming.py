@@ -9,7 +9,9 @@ from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.plans.gold import run_fleet
 from stratalake.plans.stream import start_hourly, start_live_alerts, start_live_fleet, start_stream_bronze
+from stratalake.sources.files import read_table
 from stratalake.sources.messages import envelope_files_stream
+from stratalake.sinks.versions import read_current
 from stratalake.sources.schemas import ENVELOPE
 from stratalake.streaming import gps, runs
 
@@ -48,7 +50,7 @@ def topic(spark, tmp_path):
 
 
 def table(spark, path):
-    rows = spark.read.parquet(path).drop("generated_at").collect()
+    rows = read_table(spark, path, "t").drop("generated_at").collect()
     return sorted(str(sorted(r.asDict().items())) for r in rows)
 
 
@@ -128,24 +130,32 @@ def test_live_tables_equal_the_batch_tables_after_every_run(spark, topic, tmp_pa
         assert live == {name: table(spark, cfg.gold(name)) for name in names}
 
 
-def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path):
+@pytest.mark.parametrize("approximate", [False, True])
+def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path, approximate):
     """Files of a day change only with a batch that has events of that day."""
-    first = gps.parse(spark.read.parquet(topic(message(1), message(2, minute=60 * 24))))
+    first = fleet.prepare(gps.parse(spark.read.parquet(topic(message(1), message(2, minute=60 * 24)))))
     later = first.where("event_id = 2")
-    refresh = runs.fleet_refresh(str(tmp_path / "rollup"), lambda name: str(tmp_path / name), "parquet")
-    files = lambda: {str(p) for p in tmp_path.glob("r*/**/fecha_evento=*/**/*.parquet")}
+    refresh = runs.hours_refresh(str(tmp_path / "rollup"), lambda name: str(tmp_path / name), "parquet", approximate)
+
+    def used():
+        current = read_current(spark, str(tmp_path / runs.HOURLY_TABLE))
+        return {f.partition("fecha_evento=")[2]: f for f in current["folders"]}
+
     refresh(first, 0)
-    before = files()
+    assert [r.total_eventos for r in read_table(spark, str(tmp_path / runs.HOURLY_TABLE), "t").collect()] == [1, 1]
     refresh(later, 1)
-    days = sorted({p.split("fecha_evento=")[1][:10] for p in before})
+    before = used()
+    days = sorted(before)
     assert len(days) == 2
-    assert {p for p in before if days[0] in p} == {p for p in files() if days[0] in p}
-    assert {p for p in before if days[1] in p} != {p for p in files() if days[1] in p}
-    got = spark.read.parquet(str(tmp_path / "rt_toneladas_por_hora")).orderBy("fecha_evento").collect()
-    assert [r.total_eventos for r in got] == [1, 2]
     refresh(later, 2)
     refresh(later, 2)
-    assert len(list((tmp_path / "rollup" / "hours").glob(f"fecha_evento={days[1]}/_batch=*"))) == 2
+    assert used()[days[0]] == before[days[0]] and used()[days[1]] != before[days[1]]
+    got = read_table(spark, str(tmp_path / runs.HOURLY_TABLE), "t").orderBy("fecha_evento").collect()
+    assert [r.total_eventos for r in got] == [1, 3] and [r.camiones_activos for r in got] == [1, 1]
+    assert len(list((tmp_path / "rollup").glob(f"fecha_evento={days[0]}/_batch=*"))) == 1
+    assert len(list((tmp_path / "rollup").glob(f"fecha_evento={days[1]}/_batch=*"))) == 2
+    refresh(first.limit(0), 3)
+    assert used()[days[0]] == before[days[0]]
 
 
 def test_the_last_hour_comes_when_the_feed_is_closed(spark, topic, tmp_path):
@@ -158,13 +168,66 @@ def test_the_last_hour_comes_when_the_feed_is_closed(spark, topic, tmp_path):
     start_live_alerts(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
 
 
-def test_a_repeated_batch_does_not_count_twice(spark, topic, tmp_path):
+@pytest.mark.parametrize("kind", [runs.sketch_refresh, runs.hours_refresh])
+def test_a_repeated_batch_does_not_count_twice(spark, topic, tmp_path, kind):
     """The same refresh may run again after a failure: it starts from the state before it."""
-    prepared = gps.parse(spark.read.parquet(topic(message(1), message(2))))
-    refresh = runs.fleet_refresh(str(tmp_path / "rollup"), lambda name: str(tmp_path / name), "parquet")
+    prepared = fleet.prepare(gps.parse(spark.read.parquet(topic(message(1), message(2)))))
+    refresh = kind(str(tmp_path / "rollup"), lambda name: str(tmp_path / name), "parquet")
     for batch_id in (0, 0, 1, 1, 2):
         refresh(prepared, batch_id)
-    assert spark.read.parquet(str(tmp_path / "rt_kpis_generales")).first().total_eventos_gps == 6
+    assert read_table(spark, str(tmp_path / runs.HOURLY_TABLE), "t").first().total_eventos == 6
+    if kind is runs.sketch_refresh:
+        assert read_table(spark, str(tmp_path / "rt_kpis_generales"), "t").first().total_eventos_gps == 6
+
+
+def test_repeated_changes_do_not_count_twice(spark, topic, tmp_path):
+    """Changes are whole totals; only the changed keys are written, and merges now and then keep few folders."""
+    prepared = fleet.prepare(gps.parse(spark.read.parquet(topic(message(1), message(2, camion="CAM-002"), message(3)))))
+    totals = fleet.fleet_rollup(prepared, runs.STATE_KEYS)
+    one = totals.where("camion = 'CAM-001'")
+    refresh = runs.totals_refresh(str(tmp_path / "s"), lambda name: str(tmp_path / name), merge_every=3)
+    seen = []
+    for batch_id in (0, 0, 1, 2, 2, 3, 4, 5, 5, 6):
+        more = one.withColumn("eventos", one["eventos"] + batch_id).select(totals.columns)
+        refresh(totals if batch_id == 0 else more, batch_id)
+        row = read_table(spark, str(tmp_path / "rt_kpis_generales"), "t").first()
+        seen.append((row.total_eventos_gps, row.camiones_activos))
+    assert seen == [(3 + n, 2) for n in (0, 0, 1, 2, 2, 3, 4, 5, 5, 6)]
+    assert spark.read.parquet(str(tmp_path / "s" / "changes" / "6")).count() == 1
+    assert sorted(p.name for p in (tmp_path / "s" / "changes").iterdir()) == ["3", "4", "5", "6"]
+    refresh(totals, 0)
+    assert read_table(spark, str(tmp_path / "rt_kpis_generales"), "t").first().total_eventos_gps == 3
+
+
+def test_estimated_trucks_are_near_and_take_no_row_each(spark, tmp_path):
+    events = spark.range(20_000).selectExpr(
+        "cast(id as int) as event_id", "timestamp '2026-01-05 10:00:00' as timestamp_evento", "concat('C', id % 5000) as camion",
+        "'Z' as zona", "1D as lat", "2D as lon", "1.5D as toneladas", "10D as capacidad_toneladas", "15D as ocupacion_pct",
+        "40D as velocidad", "'EN_RUTA' as estado_entrega", "5 as tiempo_espera_min", "0.2D as riesgo_retraso",
+        "true as entrega_a_tiempo", "'x' as fuente",
+    )
+    refresh = runs.sketch_refresh(str(tmp_path / "rollup"), lambda name: str(tmp_path / name))
+    refresh(fleet.prepare(events.where("event_id < 12000")), 0)
+    refresh(fleet.prepare(events.where("event_id >= 12000")), 1)
+    row = read_table(spark, str(tmp_path / "rt_kpis_generales"), "t").first()
+    assert row.total_eventos_gps == 20_000 and abs(row.camiones_activos - 5000) < 250
+    for kept in ("totals/1", "hours_fresh"):
+        rollup = read_table(spark, str(tmp_path / "rollup" / kept), "t")
+        assert "camion" not in rollup.columns and rollup.count() == 1
+
+
+def test_a_restart_goes_on_with_the_totals(spark, topic, tmp_path):
+    """Totals come back from the state store, and a query that is stopped in between loses and repeats nothing."""
+    cfg = LakeConfig(root=str(tmp_path / "lake"))
+    folder = topic(message(1), message(2, camion="CAM-002"))
+    for number in (3, 4, 5):
+        query = start_live_fleet(spark, cfg, envelope_files_stream(spark, folder), every="1 second")
+        assert runs.run_for(query, 6) is False and not query.isActive
+        topic(message(number, camion=f"CAM-00{number}"))
+    start_live_fleet(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
+    row = read_table(spark, cfg.live("rt_kpis_generales"), "t").first()
+    assert (row.total_eventos_gps, row.camiones_activos) == (5, 5)
+    assert read_table(spark, cfg.live(runs.HOURLY_TABLE), "t").first().total_eventos == 5
 
 
 def test_a_bounded_run_stops(spark, topic, tmp_path):
