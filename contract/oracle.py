@@ -360,6 +360,26 @@ select id_venta, id_cliente, id_producto, nombre_producto, categoria_final, cana
 from (select *, row_number() over (order by monto desc, id_venta) as rn from enriched) where rn <= 10
 order by rn""")
 
+MONTHLY = on_sales(f"""
+select anio_mes, {SALES_MEASURES}, {r("sum(margen_estimado)")} as margen_estimado_total
+from enriched group by anio_mes order by anio_mes""")
+CHANNELS = on_sales(f"""
+select categoria_final, canal, {SALES_MEASURES}
+from enriched group by categoria_final, canal order by ingreso_total desc, categoria_final, canal""")
+WEB_ACTIVITY =     with_ctes(
+        {"web": WEB},
+        f"""
+select {month("event_timestamp")} as anio_mes, event_type, device, count(distinct event_id) as total_eventos,
+       count(distinct id_cliente) as clientes_unicos, count(distinct session_id) as sesiones_unicas
+from web group by 1, 2, 3 order by 1, 2, 3""",
+    )
+# Ids from 1 on are in groups of 32,768, from group 1 on.
+ID_GROUP = "case when id_cliente > 0 then 1 + (id_cliente - 1) // 32768 else id_cliente // 32768 end"
+ROLLUP_ROWS = on_sales(f"""
+select 'meses por cliente' as rollup, count(distinct (anio_mes, id_cliente)) as record_count from enriched
+union all select 'meses con mapas', count(distinct (anio_mes, {ID_GROUP})) from enriched
+union all select 'canales por cliente', count(distinct (categoria_final, canal, id_cliente)) from enriched
+union all select 'canales con mapas', count(distinct (categoria_final, canal, {ID_GROUP})) from enriched""")
 FLEET_HOUR = on_fleet(f"{HOURLY} group by 1, 2 order by 1, 2")
 FLEET_STATUS = on_fleet(f"""
 select estado_entrega, count(*) as total_eventos, count(distinct camion) as camiones,
@@ -391,23 +411,18 @@ ORACLE: dict[str, str] = {
     "clean_products": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
     "enrich_sales": on_sales("select * replace (cast(fecha_venta as varchar) as fecha_venta) from enriched"),
     "kpi_overall": OVERALL,
-    "kpi_monthly": on_sales(f"""
-select anio_mes, {SALES_MEASURES}, {r("sum(margen_estimado)")} as margen_estimado_total
-from enriched group by anio_mes order by anio_mes"""),
+    "kpi_monthly": MONTHLY,
+    "kpi_monthly_bitmap": MONTHLY,
     "kpi_customer": on_sales(f"""
 select id_cliente, count(distinct id_venta) as cantidad_ventas, {CUSTOMER_SUMS} as monto_promedio_venta,
        {r("max(monto)")} as mayor_compra, {r("min(monto)")} as menor_compra
 from enriched group by id_cliente order by total_comprado desc, id_cliente"""),
-    "kpi_category_channel": on_sales(f"""
-select categoria_final, canal, {SALES_MEASURES}
-from enriched group by categoria_final, canal order by ingreso_total desc, categoria_final, canal"""),
-    "kpi_web": with_ctes(
-        {"web": WEB},
-        f"""
-select {month("event_timestamp")} as anio_mes, event_type, device, count(distinct event_id) as total_eventos,
-       count(distinct id_cliente) as clientes_unicos, count(distinct session_id) as sesiones_unicas
-from web group by 1, 2, 3 order by 1, 2, 3""",
-    ),
+    "kpi_category_channel": CHANNELS,
+    "kpi_category_channel_bitmap": CHANNELS,
+    "kpi_web": WEB_ACTIVITY,
+    "kpi_web_bitmap": WEB_ACTIVITY,
+    "kpi_overall_bitmap": OVERALL,
+    "rollup_rows": ROLLUP_ROWS,
     "top_customer": on_sales(f"""
 select *, cast(1 as int) as ranking_cliente from (
   select id_cliente, count(distinct id_venta) as cantidad_compras, {CUSTOMER_SUMS} as ticket_promedio_cliente,
@@ -475,6 +490,7 @@ select case when kind <> 'broken' then event_id end as event_id, case when kind
 from kind""",
     ),
     "layer_roundtrip_xml": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
+    "layer_roundtrip_xml_split": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
     "month_partitions": on_sales(f"""
 select anio_mes, count(*) as ventas, {r("sum(monto)")} as ingreso_total, cast(max(fecha_venta) as varchar) as hasta
 from ventas group by anio_mes"""),

@@ -108,6 +108,39 @@ def kpi_web(spark, folder):
     return sales.web_activity(star.web_silver(spark, folder))
 
 
+def kpi_monthly_bitmap(spark, folder):
+    """From a rollup with bitmaps of customers: a row for a month and 32,768 ids."""
+    return sales.monthly(sales.bitmap_rollup(star.ventas_enriquecidas(spark, folder), ("anio_mes",), margin=True))
+
+
+def kpi_category_channel_bitmap(spark, folder):
+    return sales.by_category_channel(sales.bitmap_rollup(star.ventas_enriquecidas(spark, folder), ("categoria_final", "canal")))
+
+
+def kpi_overall_bitmap(spark, folder):
+    """From a written rollup by month, whose bitmaps are merged, and bitmaps of the table's product ids."""
+    table = _enriched_table(spark, folder)
+    months = sinks.store(sales.bitmap_rollup(table, ("anio_mes",), margin=True), run_dir(spark, "months"), "month_rollup")
+    return sales.overall_of_table(months, table)
+
+
+def kpi_web_bitmap(spark, folder):
+    return sales.web_activity_by_bitmaps(star.web_silver(spark, folder))
+
+
+def rollup_rows(spark, folder):
+    """Rows of the rollups with a row for each customer and of those with bitmaps."""
+    table = _enriched_table(spark, folder)
+    months, channels = sales.MONTH_KEYS[:1], sales.CHANNEL_KEYS[:2]
+    rollups = {
+        "meses por cliente": sales.sales_rollup(table, sales.MONTH_KEYS),
+        "meses con mapas": sales.bitmap_rollup(table, months),
+        "canales por cliente": sales.sales_rollup(table, sales.CHANNEL_KEYS),
+        "canales con mapas": sales.bitmap_rollup(table, channels),
+    }
+    return reduce(DataFrame.unionByName, [quality.counted(df, rollup=name) for name, df in rollups.items()])
+
+
 def top_customer(spark, folder):
     return sales.top_customer(_customers(spark, folder))
 
@@ -347,6 +380,14 @@ def layer_roundtrip_xml(spark, folder):
     return clean.PRODUCTS.accepted(clean.PRODUCTS.project(landed))
 
 
+def layer_roundtrip_xml_split(spark, folder):
+    """One file, read by several tasks."""
+    place = run_dir(spark, "xml")
+    sinks.write_xml(star.raw_products(spark, folder).coalesce(1), place, "productos", schemas.PRODUCT_ROW_TAG)
+    landed = files.read_xml(spark, place, schemas.PRODUCT_ROW_TAG, schemas.PRODUCT_RAW, split=True)
+    return clean.PRODUCTS.accepted(clean.PRODUCTS.project(landed))
+
+
 def month_partitions(spark, folder):
     """A month-partitioned table written with balanced tasks and read back."""
     rows = sinks.clustered_for(star.ventas(spark, folder), "anio_mes")
@@ -462,11 +503,11 @@ def publish_gold(spark, folder):
 
 REGISTERED: list[Query] = [
     dedup_sales, clean_sales, clean_sales_lenient, clean_sales_rejects, silver_sales, clean_web, clean_products,
-    enrich_sales, kpi_overall, kpi_monthly, kpi_customer, kpi_category_channel, kpi_web, top_customer, top10_sales,
+    enrich_sales, kpi_overall, kpi_monthly, kpi_customer, kpi_category_channel, kpi_web, kpi_monthly_bitmap, kpi_category_channel_bitmap, kpi_overall_bitmap, kpi_web_bitmap, rollup_rows, top_customer, top10_sales,
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
     fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
     stream_dedup, stream_fleet_overall, stream_fleet_zone, stream_fleet_hour, stream_fleet_status_sketch, fleet_hour_sketch, fleet_zone_sketch, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
-    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
+    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, layer_roundtrip_xml_split, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
 ]
 
 

@@ -3,10 +3,16 @@
 Each table is read off a rollup of the sales by its own keys and the customer, with mergeable sums: customers
 are then counted exactly without copying rows, and each rollup scans only the columns it needs. ``id_venta``
 is unique after cleaning, hence sales are counted without a distinct.
+
+A rollup by customer has a row for every customer and key. Where ids are dense, such as sequence numbers, a row may stand
+for a group of 32,768 ids instead and hold a bitmap of those that occur (``bitmap_rollup``): counts are as exact and
+merge as well, and the rollup has as many rows as keys and groups.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,10 +38,56 @@ def sales_rollup(sales: DataFrame, keys: tuple[str, ...] = CUSTOMER_KEYS, margin
     )
 
 
-def _customers() -> Column:
+GROUP, MEMBERS = "_grupo", "_miembros"
+#: A bitmap takes 4 KB, so with fewer ids a group than this a row for each of them is smaller.
+LEAST_IDS_A_GROUP = 128
+
+
+def bitmap_rollup(
+    sales: DataFrame, keys: tuple[str, ...], member: str = "id_cliente", margin: bool = False
+) -> DataFrame:
+    """``sales_rollup`` by ``keys`` and groups of ``member`` ids, with a bitmap of those that occur."""
+    grouped = sales.withColumn(GROUP, F.bitmap_bucket_number(member))
+    return grouped.groupBy(*keys, GROUP).agg(
+        F.count("id_venta").alias("ventas"),
+        F.sum("cantidad").alias("unidades"),
+        F.max("monto").alias("monto_max"),
+        F.min("monto").alias("monto_min"),
+        *AMOUNT.partial(),
+        *(MARGIN.partial() if margin else []),
+        F.bitmap_construct_agg(F.bitmap_bit_position(member)).alias(MEMBERS),
+    )
+
+
+def merge_bitmaps(rollup: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row for ``keys`` and group out of several, of rollups of other batches or of finer keys."""
+    ends = {"monto_max": F.max, "monto_min": F.min, MEMBERS: F.bitmap_or_agg}
+    values = [
+        ends.get(name, F.sum)(name).cast(kind).alias(name)
+        for name, kind in rollup.dtypes
+        if name in ends or name in ("ventas", "unidades") or name.endswith(("_units", "_rest", "_n"))
+    ]
+    return rollup.groupBy(*keys, GROUP).agg(*values)
+
+
+def dense(sales: DataFrame, member: str = "id_cliente") -> bool:
+    """Whether bitmaps of the ids are smaller than a row for each; the results are the same."""
+    ids, groups = sales.agg(F.approx_count_distinct(member), F.approx_count_distinct(F.bitmap_bucket_number(member))).first()
+    return ids >= LEAST_IDS_A_GROUP * groups
+
+
+def _customers(rollup: DataFrame) -> Column:
+    if MEMBERS in rollup.columns:
+        return F.coalesce(F.sum(F.bitmap_count(MEMBERS)), F.lit(0)).alias("clientes_unicos")
     return F.count_distinct("id_cliente").alias("clientes_unicos")
 
 
+def distinct_ids(sales: DataFrame, member: str) -> DataFrame:
+    """One row and column: the number of different ids, exact. A map task gives out one bitmap a group of ids."""
+    maps = sales.groupBy(F.bitmap_bucket_number(member)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(member)).alias(MEMBERS))
+    return maps.select(F.coalesce(F.sum(F.bitmap_count(MEMBERS)), F.lit(0)).alias("n"))
+
+
 def _sum(column: str, name: str) -> Column:
     return F.sum(column).cast("bigint").alias(name)
 
@@ -48,7 +100,7 @@ def overall(sales: DataFrame) -> DataFrame:
     rollup = sales_rollup(sales, ("id_producto", "id_cliente"), margin=True)
     return rollup.agg(
         F.coalesce(F.sum("ventas"), F.lit(0)).cast("bigint").alias("total_ventas"),
-        _customers(),
+        _customers(rollup),
         F.count_distinct("id_producto").alias("productos_vendidos"),
         round_half_up(AMOUNT.total(), 2).alias("ingreso_total"),
         round_half_up(AMOUNT.mean(), 2).alias("ticket_promedio"),
@@ -65,10 +117,13 @@ def overall_of_table(rollup: DataFrame, sales: DataFrame) -> DataFrame:
     Only the product ids are read from the table: a column of its own for the one distinct count the
     rollup can not answer, instead of three copies of every row.
     """
-    products = sales.select(F.count_distinct("id_producto")).scalar()
+    if MEMBERS in rollup.columns:
+        products, rollup = distinct_ids(sales, "id_producto").scalar(), merge_bitmaps(rollup)
+    else:
+        products = sales.select(F.count_distinct("id_producto")).scalar()
     return rollup.agg(
         F.coalesce(F.sum("ventas"), F.lit(0)).cast("bigint").alias("total_ventas"),
-        _customers(),
+        _customers(rollup),
         round_half_up(AMOUNT.total(), 2).alias("ingreso_total"),
         round_half_up(AMOUNT.mean(), 2).alias("ticket_promedio"),
         round_half_up(F.max("monto_max"), 2).alias("venta_maxima"),
@@ -91,7 +146,7 @@ def overall_of_table(rollup: DataFrame, sales: DataFrame) -> DataFrame:
 def monthly(rollup: DataFrame) -> DataFrame:
     table = rollup.groupBy("anio_mes").agg(
         _sum("ventas", "total_ventas"),
-        _customers(),
+        _customers(rollup),
         round_half_up(AMOUNT.total(), 2).alias("ingreso_total"),
         round_half_up(AMOUNT.mean(), 2).alias("ticket_promedio"),
         _sum("unidades", "unidades_vendidas"),
@@ -103,7 +158,7 @@ def monthly(rollup: DataFrame) -> DataFrame:
 def by_category_channel(rollup: DataFrame) -> DataFrame:
     table = rollup.groupBy("categoria_final", "canal").agg(
         _sum("ventas", "total_ventas"),
-        _customers(),
+        _customers(rollup),
         round_half_up(AMOUNT.total(), 2).alias("ingreso_total"),
         round_half_up(AMOUNT.mean(), 2).alias("ticket_promedio"),
         _sum("unidades", "unidades_vendidas"),
@@ -179,9 +234,25 @@ def top_sales_of_table(sales: DataFrame, k: int = 10) -> DataFrame:
     return top_sales(sales.filter(F.col("monto") >= kth), k)
 
 
+WEB_KEYS = ["anio_mes", "event_type", "device"]
+
+
+def web_activity_by_bitmaps(events: DataFrame) -> DataFrame:
+    """As ``web_activity``, for dense customer ids: one distinct count, that of the sessions, is left."""
+    groups = events.groupBy(*WEB_KEYS, F.bitmap_bucket_number("id_cliente").alias(GROUP)).agg(
+        F.count("event_id").alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position("id_cliente")).alias(MEMBERS)
+    )
+    counts = groups.groupBy(*WEB_KEYS).agg(
+        F.sum("n").alias("total_eventos"), F.sum(F.bitmap_count(MEMBERS)).alias("clientes_unicos")
+    )
+    sessions = events.groupBy(*[F.col(k).alias(f"_{k}") for k in WEB_KEYS]).agg(F.count_distinct("session_id").alias("sesiones_unicas"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in WEB_KEYS])
+    return counts.join(sessions, same).drop(*[f"_{k}" for k in WEB_KEYS]).orderBy(*WEB_KEYS)
+
+
 def web_activity(events: DataFrame) -> DataFrame:
     """Events, customers and sessions per month, event type and device."""
-    keys = ["anio_mes", "event_type", "device"]
+    keys = WEB_KEYS
     table = events.groupBy(*keys).agg(
         F.count("event_id").alias("total_eventos"),
         F.count_distinct("id_cliente").alias("clientes_unicos"),

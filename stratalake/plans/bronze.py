@@ -17,7 +17,7 @@ def landed(spark: SparkSession, cfg: LakeConfig, dataset: str) -> DataFrame:
         return files.read_csv(spark, path, dataset)
     if dataset == "web_events":
         return files.read_json(spark, path, dataset, schemas.WEB_RAW)
-    return files.read_xml(spark, path, schemas.PRODUCT_ROW_TAG, schemas.PRODUCT_RAW, dataset)
+    return files.read_xml(spark, path, schemas.PRODUCT_ROW_TAG, schemas.PRODUCT_RAW, dataset, split=True)
 
 
 def run_bronze(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:

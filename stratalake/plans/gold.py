@@ -26,14 +26,26 @@ def publish_all(outputs: dict[str, DataFrame], cfg: LakeConfig) -> dict[str, Dat
     return dict(zip(outputs, written))
 
 
+MONTHS, CHANNELS = ("anio_mes",), ("categoria_final", "canal")
+
+
+def by_customers(rows: DataFrame, keys: tuple[str, ...], margin: bool = False) -> DataFrame:
+    return sales.sales_rollup(rows, (*keys, "id_cliente"), margin=margin)
+
+
 def run_gold(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
-    """All batch KPI tables, from narrow rollups of the written sales: by month, by channel and by customer."""
+    """All batch KPI tables, from narrow rollups of the written sales: by month, by channel and by customer.
+
+    Where customer ids are dense, the first two hold bitmaps of customers instead of a row for each of them.
+    """
     enriched = read_table(spark, cfg.silver("ventas_enriquecidas"), "silver_ventas_enriquecidas", cfg.fmt)
     web = read_table(spark, cfg.silver("web_events"), "silver_web_events", cfg.fmt)
-    months = store(sales.sales_rollup(enriched, sales.MONTH_KEYS, margin=True), cfg.path("rollup", "meses"), "month_rollup")
-    channels = sales.sales_rollup(enriched, sales.CHANNEL_KEYS)
-    # a customer's months are what the customer table needs of the sales
-    customers = store(sales.by_customer(months), cfg.path("rollup", "clientes"), "customer_rollup")
+    rollup = sales.bitmap_rollup if sales.dense(enriched) else by_customers
+    months = store(rollup(enriched, MONTHS, margin=True), cfg.path("rollup", "meses"), "month_rollup")
+    channels = rollup(enriched, CHANNELS)
+    # a customer's months, where there are such rows, are all that the customer table needs of the sales
+    customers = sales.sales_rollup(enriched) if sales.MEMBERS in months.columns else months
+    customers = store(sales.by_customer(customers), cfg.path("rollup", "clientes"), "customer_rollup")
     tables = publish_all(
         {
             "kpis_generales": sales.overall_of_table(months, enriched),
@@ -43,7 +55,7 @@ def run_gold(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
             "promedio_venta_cliente": sales.customer_averages(customers),
             "pareto_80_clientes": pareto.pareto(customers),
             "ventas_categoria_canal": sales.by_category_channel(channels),
-            "web_kpis": sales.web_activity(web),
+            "web_kpis": sales.web_activity_by_bitmaps(web) if sales.dense(web) else sales.web_activity(web),
             GOLD_CATALOG: quality.gold_catalog(spark).coalesce(1),
         },
         cfg,

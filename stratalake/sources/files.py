@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.sinks.versions import read_current, read_version
+from stratalake.sources.xml_split import records
 
 
 class MissingDataset(FileNotFoundError):
@@ -58,8 +59,19 @@ def read_json(spark: SparkSession, path: str, name: str, columns: list[str]) ->
     return lines.select(record.alias("r"), F.col("value").alias(RAW_LINE)).select("r.*", RAW_LINE)
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str, columns: list[str], name: str = "xml") -> DataFrame:
-    """One row per ``row_tag`` element; a missing child element is NULL."""
+def read_xml(
+    spark: SparkSession, path: str, row_tag: str, columns: list[str], name: str = "xml", split: bool = False
+) -> DataFrame:
+    """One row per ``row_tag`` element; a missing child element is NULL.
+
+    With ``split`` a large file is read by several tasks, which takes two passes over it (``xml_split``). Files that declare
+    an encoding other than UTF-8 are read by one task each all the same.
+    """
+    if split:
+        found = _guarded(lambda: records(spark, path, row_tag), name, path)
+        if found is not None:
+            row = F.from_xml("record", all_strings(columns), {"rowTag": row_tag})
+            return found.select(row.alias("r")).select("r.*")
     reader = spark.read.schema(all_strings(columns)).option("rowTag", row_tag)
     return _guarded(lambda: reader.xml(path), name, path)
 

@@ -94,3 +94,35 @@ def test_top_sales_of_a_table_push_the_kth_amount_into_the_scan(spark, df, tmp_p
         assert sales.top_sales_of_table(table, k).collect() == sales.top_sales(table, k).collect()
     plan = plan_of(sales.top_sales_of_table(table))
     assert "ReadSchema: struct<monto:double>" in plan and "DataFilters: [isnotnull(monto" in plan
+
+
+def test_bitmaps_count_as_exactly_as_rows(spark, df):
+    """Ids of zero, below zero, at the borders of groups and far apart; repeated customers; a category that is missing."""
+    ids = [0, -1, -32768, -32769, 1, 32768, 32769, 65536, 65537, 10**12, 10**12, 1, 7, 7]
+    rows = [(i, c, c % 5, 1, 1.0 + i, 0.5, f"2026-0{i % 3 + 1}", ["hogar", None][i % 2], "POS") for i, c in enumerate(ids)]
+    wide = spark.createDataFrame(rows, SALES).repartition(4)
+    for given in (df, wide, df.limit(0)):
+        months = sales.bitmap_rollup(given, ("anio_mes",), margin=True)
+        assert sales.monthly(months).collect() == sales.monthly(sales.sales_rollup(given, sales.MONTH_KEYS, margin=True)).collect()
+        channels = sales.bitmap_rollup(given, ("categoria_final", "canal"))
+        assert sales.by_category_channel(channels).collect() == sales.by_category_channel(sales.sales_rollup(given, sales.CHANNEL_KEYS)).collect()
+        assert tuple(sales.overall_of_table(months, given).first()) == tuple(sales.overall(given).first())
+
+
+def test_merged_bitmaps_count_a_customer_of_two_batches_once(df):
+    first, second = (sales.bitmap_rollup(df.where(c), ("anio_mes",), margin=True) for c in ("id_venta < 3", "id_venta >= 2"))
+    again = sales.merge_bitmaps(first.unionByName(second), ("anio_mes",))
+    rows = sales.monthly(again).collect()
+    assert [(r.anio_mes, r.clientes_unicos, r.total_ventas) for r in rows] == [("2026-01", 1, 3), ("2026-02", 2, 2)]
+
+
+def test_bitmaps_are_used_for_dense_ids_only(spark):
+    ids = spark.range(1000).selectExpr("id as id_cliente")
+    assert sales.dense(ids) and not sales.dense(ids.selectExpr("id_cliente * 1000003 as id_cliente"))
+
+
+def test_web_activity_by_bitmaps(spark):
+    data = [(1, 7, "a", "2026-01", "m"), (2, 7, "a", "2026-01", "m"), (3, 8, "b", None, "m"), (4, 9, None, None, "m")]
+    events = spark.createDataFrame(data, "event_id int, id_cliente bigint, session_id string, anio_mes string, device string")
+    events = events.selectExpr("*", "'login' as event_type")
+    assert sales.web_activity_by_bitmaps(events).collect() == sales.web_activity(events).collect()
