@@ -392,6 +392,36 @@ def near(exact: str, trucks: str) -> str:
     return f"select * exclude ({trucks}), true as cerca from ({exact})"
 
 
+RULE_HITS = " union all ".join(
+    [
+        rule_hits(raw_sales(), SALES_RULES),
+        rule_hits(
+            RAW_WEB,
+            {f"{c} presente": f"{c} is not null" for c in ("event_id", "id_cliente", "event_timestamp")},
+        ),
+        rule_hits(
+            RAW_PRODUCTS,
+            {"id_producto presente": "id_producto is not null", "precio_base positivo": "precio_base > 0", "precio_base en rango": "precio_base is null or abs(precio_base) < 1e9"},
+        ),
+    ]
+)
+# What each rule on events with extreme values rejects.
+FLEET_BROKEN = {
+    "event_id presente": "false",
+    "camion presente": "false",
+    "timestamp_evento presente": "false",
+    "toneladas en rango": "event_id % 127 = 0",
+    "capacidad_toneladas en rango": "false",
+    "ocupacion_pct en rango": "false",
+    "velocidad en rango": "event_id % 113 = 0 or event_id % 109 = 0",
+    "riesgo_retraso en rango": "event_id % 107 = 0",
+}
+FLEET_RULE_HITS = " union all ".join(
+    f"select '{name}' as quality_rule, count(*) filter (not ({sql})) as passed, count(*) filter ({sql}) as failed from gps"
+    for name, sql in FLEET_BROKEN.items()
+)
+
+
 ORACLE: dict[str, str] = {
     "dedup_sales": with_ctes(
         {"lines": LINES, "newest": NEWEST},
@@ -520,18 +550,18 @@ from ventas group by anio_mes"""),
             ),
         ]
     ),
-    "quality_rule_hits": " union all ".join(
-        [
-            rule_hits(raw_sales(), SALES_RULES),
-            rule_hits(
-                RAW_WEB,
-                {f"{c} presente": f"{c} is not null" for c in ("event_id", "id_cliente", "event_timestamp")},
-            ),
-            rule_hits(
-                RAW_PRODUCTS,
-                {"id_producto presente": "id_producto is not null", "precio_base positivo": "precio_base > 0", "precio_base en rango": "precio_base is null or abs(precio_base) < 1e9"},
-            ),
-        ]
+    "quality_rule_hits": RULE_HITS,
+    "silver_rule_hits": RULE_HITS,
+    "fleet_rule_hits": on_fleet(FLEET_RULE_HITS),
+    "json_unknown_fields": with_ctes(
+        {"web": WEB},
+        "select 'campo_nuevo' as campo, 'BIGINT' as tipo, count(*) as filas from web "
+        "where event_id % 17 = 0 and event_id % 11 <> 0 and event_id % 13 <> 0",
+    ),
+    "json_unknown_values": with_ctes(
+        {"web": WEB},
+        "select event_id, cast(1 as bigint) as campo_nuevo, page from web "
+        "where event_id % 17 = 0 and event_id % 11 <> 0 and event_id % 13 <> 0",
     ),
     "publish_gold": on_sales(PUBLISHED, **PARETO, web=WEB),
     "publish_manifest": on_sales(

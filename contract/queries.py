@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.config import DEFAULT_TOPIC, GOLD_CATALOG, GOLD_TABLES, LakeConfig
 from stratalake.functions.numbers import round_half_up
 from stratalake.functions.once import once
-from stratalake.operators import clean, fleet, pareto, quality, sales
+from stratalake.operators import clean, fleet, pareto, quality, rules, sales, variant
 from stratalake.operators.lineage import stamp
 from stratalake.plans.bronze import run_bronze
 from stratalake.plans.gold import run_gold
@@ -414,13 +414,51 @@ def top10_sales_of_table(spark, folder):
 
 
 def quality_report(spark, folder):
+    """Rows as the writes of the tables counted them."""
     tables = {
         "ventas": silver_sales(spark, folder),
         "web_events": clean_web(spark, folder),
         "productos": clean_products(spark, folder),
         "ventas_enriquecidas": enrich_sales(spark, folder),
     }
-    return quality.quality_report(tables)
+    counts = {name: sinks.store_counted(df, run_dir(spark, name), name)[1] for name, df in tables.items()}
+    return quality.counted_report(spark, counts)
+
+
+def silver_rule_hits(spark, folder):
+    """Rule hits as counted while the Silver tables were written."""
+    parts = {"ventas": (clean.SALES, star.raw_sales), "web_events": (clean.WEB_EVENTS, star.raw_web), "productos": (clean.PRODUCTS, star.raw_products)}
+    counted = {}
+    for name, (cleaning, raw) in parts.items():
+        seen = Observation()
+        sinks.store(cleaning.clean(raw(spark, folder), seen=seen), run_dir(spark, name), name)
+        counted[name] = cleaning.rules, seen.get
+    return rules.counted_hits(spark, counted).drop("table_name")
+
+
+def fleet_rule_hits(spark, folder):
+    return fleet.rule_hits(star.gps_with_extremes(spark, folder))
+
+
+def _untidy_lines(spark, folder) -> DataFrame:
+    place = run_dir(spark, "json")
+    star.untidy_json(spark, folder).write.text(place)
+    return files.read_json(spark, place, "web_events", schemas.WEB_RAW)
+
+
+def json_unknown_fields(spark, folder):
+    """Fields that have no column, by type, and in how many lines they stand."""
+    return variant.unknown_fields(_untidy_lines(spark, folder), schemas.WEB_RAW)
+
+
+def json_unknown_values(spark, folder):
+    """Values of a field that nobody named, and of one under another type."""
+    landed = _untidy_lines(spark, folder)
+    return landed.select(
+        F.col("event_id").cast("bigint").alias("event_id"),
+        variant.field("$.campo_nuevo", "bigint").alias("campo_nuevo"),
+        variant.field("$.page", "string").alias("page"),
+    ).where("campo_nuevo is not null")
 
 
 def quality_rule_hits(spark, folder):
@@ -507,7 +545,7 @@ REGISTERED: list[Query] = [
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
     fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
     stream_dedup, stream_fleet_overall, stream_fleet_zone, stream_fleet_hour, stream_fleet_status_sketch, fleet_hour_sketch, fleet_zone_sketch, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
-    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, layer_roundtrip_xml_split, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, publish_gold,
+    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, layer_roundtrip_xml_split, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, silver_rule_hits, fleet_rule_hits, json_unknown_fields, json_unknown_values, publish_gold,
 ]
 
 

@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-offsets", type=int, help="most messages a micro-batch takes from the topic")
     parser.add_argument("--once-each", action="store_true", help="stream: drop re-delivered messages")
     parser.add_argument("--keep-rejects", action="store_true", help="silver: write the rejected rows, too")
+    parser.add_argument("--report-fields", action="store_true", help="bronze: report JSON fields without a column")
     parser.add_argument("--lenient-int", action="store_true", help="silver: read 3.7 as 3")
     args = parser.parse_args(argv)
     given = {name: value for name, value in (("root", args.root), ("fmt", args.fmt), ("max_offsets", args.max_offsets)) if value}
@@ -40,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"stratalake-{args.step}").config(map=SETTINGS).getOrCreate()
     try:
         options = {
+            "bronze": {"report_fields": args.report_fields},
             "silver": {"keep_rejects": args.keep_rejects, "lenient_int": args.lenient_int},
             "stream": {"once_each": args.once_each},
         }.get(args.step, {})

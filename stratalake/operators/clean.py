@@ -9,16 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratalake.functions import text
 from stratalake.functions.calendar import event_calendar, sale_calendar
 from stratalake.functions.numbers import IN_RANGE
+from stratalake.operators import rules
 from stratalake.operators.dedup import latest
 
 Reading = Callable[[Column], Column]
-FAILED = "_failed_rules"
+FAILED = rules.FAILED
 
 
 def cast_to(type_name: str) -> Reading:
@@ -33,7 +34,7 @@ def as_is(c: Column) -> Column:
 class Cleaning:
     keys: list[str]
     readings: dict[str, Reading]
-    rules: dict[str, str]
+    rules: rules.Rules
     calendar: Callable[[], dict[str, Column]] = dict
 
     def project(self, df: DataFrame, carry: list[str] | None = None, lenient_int: bool = False) -> DataFrame:
@@ -45,13 +46,9 @@ class Cleaning:
             readings.update({n: text.lenient_int for n, r in readings.items() if r is INT})
         return df.select(*[read(F.col(name)).alias(name) for name, read in readings.items()], *carry)
 
-    def _holds(self, condition: str) -> Column:
-        return F.coalesce(F.expr(condition), F.lit(False))
-
     def judged(self, typed: DataFrame) -> DataFrame:
         """All rows, with the names of the rules each one breaks."""
-        broken = [F.when(~self._holds(sql), F.lit(name)) for name, sql in self.rules.items()]
-        return typed.withColumn(FAILED, F.array_compact(F.array(*broken)))
+        return rules.judged(typed, self.rules)
 
     def accepted(self, typed: DataFrame) -> DataFrame:
         for sql in self.rules.values():
@@ -59,22 +56,21 @@ class Cleaning:
         return typed
 
     def rejects(self, typed: DataFrame) -> DataFrame:
-        return self.judged(typed).filter(F.size(FAILED) > 0)
+        return rules.rejects(typed, self.rules)
 
     def rule_hits(self, typed: DataFrame) -> DataFrame:
         """One row per rule: how many rows pass and fail it, all from one pass."""
-        counted = typed.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(self._holds(sql)).alias(f"r{i}") for i, sql in enumerate(self.rules.values())],
-        )
-        pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate(self.rules))
-        return counted.select("n", F.expr(f"stack({len(self.rules)}, {pairs}) as (quality_rule, passed)")).select(
-            "quality_rule", "passed", (F.col("n") - F.col("passed")).alias("failed")
-        )
-
-    def clean(self, df: DataFrame, lenient_int: bool = False) -> DataFrame:
-        """Project, drop rule breakers, keep the latest row per key, add calendar columns."""
-        kept = self.accepted(self.project(df, lenient_int=lenient_int))
+        return rules.hits(typed, self.rules)
+
+    def clean(self, df: DataFrame, lenient_int: bool = False, seen: Observation | None = None) -> DataFrame:
+        """Project, drop rule breakers, keep the latest row per key, add calendar columns.
+
+        ``seen`` counts the rows that meet each rule when the result is computed.
+        """
+        typed = self.project(df, lenient_int=lenient_int)
+        if seen is not None:
+            typed = typed.observe(seen, *[c.alias(n) for n, c in rules.counters(self.rules).items()])
+        kept = self.accepted(typed)
         newest = ["_ingestion_timestamp"] if "_ingestion_timestamp" in kept.columns else []
         return latest(kept, self.keys, newest).withColumns(self.calendar())
 

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratalake.functions.calendar import event_calendar
 from stratalake.functions.numbers import IN_RANGE, WIDE, ExactSum, ratio, round_half_up
+from stratalake.operators import rules
 
 # Zones with their base position and base risk.
 # zone: (base_lat, base_lon, riesgo_base)
@@ -109,13 +110,21 @@ EVENT_RULES = {
 
 def rejects(gps: DataFrame) -> DataFrame:
     """Events that ``prepare`` leaves out, with the names of the rules that each one breaks."""
-    broken = [F.when(~F.coalesce(F.expr(sql), F.lit(False)), F.lit(name)) for name, sql in EVENT_RULES.items()]
-    return gps.withColumn("_failed_rules", F.array_compact(F.array(*broken))).filter(F.size("_failed_rules") > 0)
+    return rules.rejects(gps, EVENT_RULES)
 
 
-def prepare(gps: DataFrame) -> DataFrame:
-    """Usable events with calendar columns, risk level and alert flag; works on streams as well."""
+def rule_hits(gps: DataFrame) -> DataFrame:
+    return rules.hits(gps, EVENT_RULES)
+
+
+def prepare(gps: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Usable events with calendar columns, risk level and alert flag; works on streams as well.
+
+    ``seen`` counts the events that meet each rule when the result is computed.
+    """
     usable = gps
+    if seen is not None:
+        usable = gps.observe(seen, *[c.alias(n) for n, c in rules.counters(EVENT_RULES).items()])
     for sql in EVENT_RULES.values():
         usable = usable.filter(sql)
     return usable.withColumns(

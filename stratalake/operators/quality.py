@@ -34,6 +34,14 @@ def quality_report(tables: dict[str, DataFrame], layer: str = "silver") -> DataF
     return reduce(DataFrame.unionByName, rows)
 
 
+REPORT_SCHEMA = "layer string, table_name string, record_count bigint, quality_rule string"
+
+
+def counted_report(spark: SparkSession, counts: dict[str, int], layer: str = "silver") -> DataFrame:
+    """``quality_report`` from row counts that the writes of the tables took."""
+    return spark.createDataFrame([(layer, name, n, QUALITY_RULES[name]) for name, n in counts.items()], REPORT_SCHEMA)
+
+
 def audit(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """(batch_id, layer, dataset, source_format, target_path, record_count) per ingested data set."""
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.config import FLEET_CATALOG, GOLD_CATALOG, MAY_BE_EMPTY, STREAM_TABLE, LakeConfig
-from stratalake.operators import fleet, pareto, quality, sales
+from stratalake.operators import fleet, pareto, quality, rules, sales
 from stratalake.operators.lineage import clocked
-from stratalake.sinks.tables import side_by_side, store, write_dataset_extract
+from stratalake.sinks.tables import side_by_side, store, write_dataset_extract, write_table
 from stratalake.sources.files import read_table
 from stratalake.streaming.runs import fleet_tables
 
@@ -67,10 +68,20 @@ def run_gold(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
 
 
 def run_fleet(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
-    """All fleet KPI tables from the stream table: one pass for the rollup, one for the alerts."""
+    """All fleet KPI tables from the stream table: one pass for the rollup, one for the alerts, one for the rejects.
+
+    Events that break a rule, unreadable messages among them, are kept in a table with the rules' names; the pass for the
+    rollup counts the hits of each rule, or they are counted again where that does not add up (see ``run_silver``).
+    """
     rows = read_table(spark, cfg.bronze(STREAM_TABLE), f"bronze_{STREAM_TABLE}", cfg.fmt)
-    prepared = fleet.prepare(rows)
-    rollup = store(fleet.fleet_rollup(prepared), cfg.path("rollup", "gps"), "fleet_rollup")
+    prepared, seen = fleet.prepare(rows), Observation()
+    rollup = store(fleet.fleet_rollup(fleet.prepare(rows, seen)), cfg.path("rollup", "gps"), "fleet_rollup")
+    write_table(fleet.rejects(rows), cfg.silver("gps_rechazos"), cfg.fmt)
+    if seen.get.get("n") == rows.count():
+        hits = rules.counted_hits(spark, {"gps": (fleet.EVENT_RULES, seen.get)})
+    else:
+        hits = fleet.rule_hits(rows).select(F.lit("gps").alias("table_name"), "*")
+    write_table(clocked(hits).coalesce(1), cfg.silver("gps_data_quality_rules"), cfg.fmt)
     outputs = {
         **fleet_tables(rollup),
         "rt_alertas_operativas": fleet.sorted_alerts(prepared),

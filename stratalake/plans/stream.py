@@ -79,6 +79,15 @@ def start_live_alerts(
     )
 
 
+def start_live_rejects(
+    spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
+) -> StreamingQuery:
+    """Append events that break a rule, unreadable messages among them, with the rules' names and the raw text."""
+    rows, every = followed(spark, cfg, envelope, every)
+    rejects = fleet.rejects(gps.parse(rows))
+    return start_append(rejects, cfg.live("rt_rechazos"), cfg.checkpoint("live_rejects/gps_camiones"), cfg.fmt, every)
+
+
 def start_hourly(
     spark: SparkSession, cfg: LakeConfig, envelope: DataFrame | None = None, every: str | None = None
 ) -> StreamingQuery:
@@ -89,7 +98,7 @@ def start_hourly(
 
 
 def run_live(spark: SparkSession, cfg: LakeConfig) -> None:
-    """Live KPIs, alerts and closed hours side by side for ``cfg.runtime_seconds``."""
-    queries = [start(spark, cfg) for start in (start_live_fleet, start_live_alerts, start_hourly)]
+    """Live KPIs, alerts, rejects and closed hours side by side for ``cfg.runtime_seconds``."""
+    queries = [start(spark, cfg) for start in (start_live_fleet, start_live_alerts, start_live_rejects, start_hourly)]
     for query in queries:
         run_for(query, cfg.runtime_seconds if query is queries[0] else 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratalake.config import EXTRACT_ORDER, FOLDER_EXTRACTS
@@ -86,6 +86,13 @@ def store(df: DataFrame, path: str, name: str, fmt: str = "parquet", **options)
     return read_table(df.sparkSession, path, name, fmt)
 
 
+def store_counted(df: DataFrame, path: str, name: str, fmt: str = "parquet", **options) -> tuple[DataFrame, int]:
+    """``store``, and the number of rows that were written, counted by the write itself."""
+    seen = Observation()
+    written = store(df.observe(seen, F.count(F.lit(1)).alias("n")), path, name, fmt, **options)
+    return written, seen.get.get("n", 0)
+
+
 def side_by_side(writes: Iterable[Callable[[], object]], at_once: int = 4) -> list:
     """Run independent writes a few at a time, so that small jobs do not leave the cluster idle."""
     with ThreadPoolExecutor(at_once) as pool:

@@ -12,7 +12,9 @@ from stratalake.plans.gold import run_fleet, run_gold
 from stratalake.plans.publish import run_publish
 from stratalake.plans.silver import run_silver
 from stratalake.plans.stream import start_stream_bronze
-from stratalake.sources.files import read_csv, read_table
+from stratalake.operators.variant import field, line_schema, unknown_fields
+from stratalake.sinks.tables import store_counted
+from stratalake.sources.files import read_csv, read_json, read_table
 from stratalake.sources.messages import envelope_files_stream
 from stratalake.sources.schemas import ENVELOPE
 
@@ -89,6 +91,34 @@ def test_silver(spark, lake):
     ]
 
 
+def test_rule_hits_are_counted_by_the_writes(spark, lake):
+    cfg, bronze, _, _ = lake
+    hits = {(r.table_name, r.quality_rule): (r.passed, r.failed) for r in read_table(spark, cfg.silver("data_quality_rules"), "q").collect()}
+    assert hits["ventas", "id_venta presente"] == (6, 1) and hits["ventas", "cantidad positiva"] == (6, 1)
+    assert hits["productos", "precio_base positivo"] == (2, 1)
+    assert all(sum(v) == bronze[name].count() for (name, _), v in hits.items())
+
+
+def test_unknown_fields_are_reported(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"event_id": 1, "x": 1, "y": {"z": 2}}\n{"event_id": 2, "x": "a"}\nbroken\n[1]\n{"x": 5}\n')
+    landed = read_json(spark, str(tmp_path), "web", ["event_id"])
+    rows = {tuple(r) for r in unknown_fields(landed, ["event_id"]).collect()}
+    assert rows == {("x", "BIGINT", 2), ("x", "STRING", 1), ("y", "OBJECT<z: BIGINT>", 1)}
+    values = [r[0] for r in landed.select(field("$.y.z", "int")).collect()]
+    assert sorted(v for v in values if v is not None) == [2]
+    assert "x" in line_schema(landed.where("event_id is not null")).first().esquema
+
+
+def test_one_job_counts_and_writes(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    try:
+        _, n = store_counted(spark.range(1000, numPartitions=3), str(tmp_path / "t"), "t")
+        assert n == 1000 and len(tracker.getJobIdsForGroup("counted")) == 1
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_gold(lake):
     _, _, _, gold = lake
     assert tuple(gold["kpis_generales"].first())[:-1] == (3, 3, 3, 150.0, 50.0, 100.0, 20.0, 4, 7.25)

@@ -8,7 +8,7 @@ import pytest
 from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.plans.gold import run_fleet
-from stratalake.plans.stream import start_hourly, start_live_alerts, start_live_fleet, start_stream_bronze
+from stratalake.plans.stream import start_hourly, start_live_alerts, start_live_fleet, start_live_rejects, start_stream_bronze
 from stratalake.sources.files import read_table
 from stratalake.sources.messages import envelope_files_stream
 from stratalake.sinks.versions import read_current
@@ -158,6 +158,25 @@ def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path, approximate
     assert used()[days[0]] == before[days[0]]
 
 
+def test_rejected_messages_are_kept_and_counted(spark, topic, tmp_path):
+    """Unreadable messages and measures out of range stand in tables of the batch job and of the stream, with reasons."""
+    cfg = LakeConfig(root=str(tmp_path / "lake"))
+    folder = topic(message(1), "garbage", message(3, velocidad=1e30), message(4, camion=None))
+    start_stream_bronze(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
+    run_fleet(spark, cfg)
+    start_live_rejects(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
+    for path in (cfg.silver("gps_rechazos"), cfg.live("rt_rechazos")):
+        rows = {r._offset: r for r in read_table(spark, path, "r").collect()}
+        assert {k: r._failed_rules for k, r in rows.items()} == {
+            1: ["event_id presente", "camion presente", "timestamp_evento presente"],
+            2: ["velocidad en rango"],
+            3: ["camion presente"],
+        }
+        assert rows[1]._raw_message == "garbage"
+    hits = {r.quality_rule: (r.passed, r.failed) for r in read_table(spark, cfg.silver("gps_data_quality_rules"), "q").collect()}
+    assert hits["camion presente"] == (2, 2) and hits["velocidad en rango"] == (3, 1) and hits["event_id presente"] == (3, 1)
+
+
 def test_the_last_hour_comes_when_the_feed_is_closed(spark, topic, tmp_path):
     folder, cfg = topic(message(1), message(2, minute=70)), LakeConfig(root=str(tmp_path / "lake"))
     start_hourly(spark, cfg, envelope_files_stream(spark, folder)).awaitTermination()
