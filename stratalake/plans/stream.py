@@ -9,6 +9,7 @@ from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.sources.messages import topic_stream
 from stratalake.streaming import gps
+from stratalake.streaming.late import LateRows
 from stratalake.streaming.runs import LiveQueries, run_for, start_append, start_fleet_refresh
 
 
@@ -98,7 +99,8 @@ def start_hourly(
 
 
 def run_live(spark: SparkSession, cfg: LakeConfig) -> None:
-    """Live KPIs, alerts, rejects and closed hours side by side for ``cfg.runtime_seconds``."""
-    queries = [start(spark, cfg) for start in (start_live_fleet, start_live_alerts, start_live_rejects, start_hourly)]
-    for query in queries:
-        run_for(query, cfg.runtime_seconds if query is queries[0] else 1)
+    """Live KPIs, alerts, rejects and closed hours side by side for ``cfg.runtime_seconds``, and an account of late rows."""
+    with LateRows(spark, cfg.live("rt_filas_tardias"), cfg.fmt):
+        queries = [start(spark, cfg) for start in (start_live_fleet, start_live_alerts, start_live_rejects, start_hourly)]
+        for query in queries:
+            run_for(query, cfg.runtime_seconds if query is queries[0] else 1)

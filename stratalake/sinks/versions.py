@@ -73,12 +73,18 @@ def read_version(spark: SparkSession, path: str, current: dict) -> DataFrame:
 
 
 def publish(
-    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), only_touched: bool = False, grace: float = GRACE_SECONDS
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    only_touched: bool = False,
+    options: dict[str, str] | None = None,
+    grace: float = GRACE_SECONDS,
 ) -> None:
     """Write a new version and make it the current one; with ``only_touched`` replace only the partitions in ``df``."""
     spark, version = df.sparkSession, f"{VERSION}={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     before = read_current(spark, path) or {"folders": [], "retired": []}
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer = df.write.options(**(options or {}))
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer.parquet(f"{path}/{DATA}/{version}")
     new, kept = [version], []
     if only_touched and partition_by:

@@ -1,7 +1,9 @@
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stratalake.operators import sales
+from stratalake.sinks import tables as sinks
 
 SALES = (
     "id_venta bigint, id_cliente bigint, id_producto bigint, cantidad int, monto double, margen_estimado double, "
@@ -126,3 +128,38 @@ def test_web_activity_by_bitmaps(spark):
     events = spark.createDataFrame(data, "event_id int, id_cliente bigint, session_id string, anio_mes string, device string")
     events = events.selectExpr("*", "'login' as event_type")
     assert sales.web_activity_by_bitmaps(events).collect() == sales.web_activity(events).collect()
+
+
+def scanned_rows(df):
+    """Rows that the scans of a query gave out, after row groups and pages were skipped, by the columns they read."""
+    df.collect()
+    out, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        plan = left.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            left.append(plan.executedPlan())
+        elif name.startswith("Scan parquet"):
+            out.append((plan.output().length(), plan.metrics().apply("numOutputRows").value()))
+        elif "QueryStage" in name:
+            left.append(plan.plan())
+        left += [plan.children().apply(i) for i in range(plan.children().length())]
+    return out
+
+
+def test_sorted_files_let_the_top_sales_skip_row_groups(spark, tmp_path):
+    rows = spark.range(200_000, numPartitions=2).selectExpr(
+        "id as id_venta", "id % 997 as id_cliente", "id % 31 as id_producto", "sha2(cast(id as string), 256) as nombre_producto",
+        "'c' as categoria_final", "'POS' as canal", "'G' as pais", "'2026-01-05' as fecha_venta", "1 as cantidad",
+        "1D as precio_unitario", "cast(pmod(hash(id), 1000000) as double) as monto",
+    )
+    read = {}
+    for name, layout in {"as it comes": rows, "sorted": sinks.sorted_inside(rows, "monto")}.items():
+        table = sinks.store(layout, str(tmp_path / name), "t", row_group_bytes=256 << 10)
+        groups = [pq.ParquetFile(p).metadata.num_row_groups for p in (tmp_path / name).rglob("*.parquet")]
+        assert min(groups) > 4
+        top = sales.top_sales_of_table(table)
+        wide = [n for columns, n in scanned_rows(top) if columns > 1]
+        read[name] = sum(wide)
+        assert [r.id_venta for r in top.collect()] == [r.id_venta for r in sales.top_sales(rows).collect()]
+    assert 3 * read["sorted"] < read["as it comes"], read

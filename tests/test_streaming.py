@@ -9,11 +9,12 @@ from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.plans.gold import run_fleet
 from stratalake.plans.stream import start_hourly, start_live_alerts, start_live_fleet, start_live_rejects, start_stream_bronze
-from stratalake.sources.files import read_table
+from stratalake.sources.files import MissingDataset, read_table
 from stratalake.sources.messages import envelope_files_stream
 from stratalake.sinks.versions import read_current
 from stratalake.sources.schemas import ENVELOPE
 from stratalake.streaming import gps, runs
+from stratalake.streaming.late import LateRows
 
 START = datetime(2026, 1, 5, 10, 0, 0)
 
@@ -254,3 +255,23 @@ def test_a_bounded_run_stops(spark, topic, tmp_path):
     query = runs.start_append(rows, str(tmp_path / "t"), str(tmp_path / "c"), every="1 second")
     assert runs.run_for(query, 3) is False
     assert not query.isActive
+
+
+def test_late_rows_are_accounted_for(spark, topic, tmp_path):
+    """Two trucks' events of a closed hour come after the watermark has passed it."""
+    account = str(tmp_path / "late")
+
+    def run():
+        stream = fleet.prepare(gps.parse(envelope_files_stream(spark, str(tmp_path / "topic"))))
+        with LateRows(spark, account):
+            runs.start_append(gps.hourly(stream), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+
+    topic(message(1), message(2, minute=200))
+    run()
+    with pytest.raises(MissingDataset):
+        read_table(spark, account, "late")
+    topic(message(3, minute=5), message(4, minute=6, camion="CAM-002"), message(5, minute=201))
+    run()
+    rows = read_table(spark, account, "late").collect()
+    assert sum(r.filas_descartadas for r in rows) == 2
+    assert all(r.lote >= 1 and r.marca_de_agua and r.operador for r in rows)
