@@ -380,6 +380,8 @@ select 'meses por cliente' as rollup, count(distinct (anio_mes, id_cliente)) as
 union all select 'meses con mapas', count(distinct (anio_mes, {ID_GROUP})) from enriched
 union all select 'canales por cliente', count(distinct (categoria_final, canal, id_cliente)) from enriched
 union all select 'canales con mapas', count(distinct (categoria_final, canal, {ID_GROUP})) from enriched""")
+SILVER = with_ctes({**raw_sales(), "silver": SILVER_SALES}, f"select {SALE_TEXT}, {SALE_CALENDAR} from silver")
+ENRICHED = on_sales("select * replace (cast(fecha_venta as varchar) as fecha_venta) from enriched")
 FLEET_HOUR = on_fleet(f"{HOURLY} group by 1, 2 order by 1, 2")
 FLEET_STATUS = on_fleet(f"""
 select estado_entrega, count(*) as total_eventos, count(distinct camion) as camiones,
@@ -434,12 +436,12 @@ ORACLE: dict[str, str] = {
     "clean_sales_rejects": with_ctes(
         raw_sales(), f"select {SALE_TEXT}, {FAILED_RULES} as failed_rules from typed where ({SALES_OK}) is not true"
     ),
-    "silver_sales": with_ctes(
-        {**raw_sales(), "silver": SILVER_SALES}, f"select {SALE_TEXT}, {SALE_CALENDAR} from silver"
-    ),
+    "silver_sales": SILVER,
+    "silver_sales_in_buckets": SILVER,
     "clean_web": with_ctes(RAW_WEB, f"select {WEB_SILVER_COLUMNS} from typed where {WEB_OK}"),
     "clean_products": with_ctes(RAW_PRODUCTS, f"select * from typed where {PRODUCTS_OK}"),
-    "enrich_sales": on_sales("select * replace (cast(fecha_venta as varchar) as fecha_venta) from enriched"),
+    "enrich_sales": ENRICHED,
+    "enrich_sales_in_buckets": ENRICHED,
     "kpi_overall": OVERALL,
     "kpi_monthly": MONTHLY,
     "kpi_monthly_bitmap": MONTHLY,

@@ -12,11 +12,13 @@ from stratalake.config import DEFAULT_TOPIC, GOLD_CATALOG, GOLD_TABLES, LakeConf
 from stratalake.functions.numbers import round_half_up
 from stratalake.functions.once import once
 from stratalake.operators import clean, fleet, pareto, quality, rules, sales, variant
+from stratalake.operators.enrich import enrich
 from stratalake.operators.lineage import stamp
 from stratalake.plans.bronze import run_bronze
 from stratalake.plans.gold import run_gold
 from stratalake.plans.publish import MANIFEST, run_publish
 from stratalake.session import run_dir
+from stratalake.sinks import buckets
 from stratalake.sinks import tables as sinks
 from stratalake.sinks.messages import as_messages
 from stratalake.sources import files, messages, schemas, star
@@ -69,6 +71,23 @@ def silver_sales(spark, folder):
     return clean.SALES.clean(star.raw_sales(spark, folder)).drop("_ingestion_timestamp")
 
 
+def silver_sales_in_buckets(spark, folder):
+    """Three batches, one after another, merged into a table in buckets of the sale's id."""
+    raw, place = star.raw_sales(spark, folder), run_dir(spark, "buckets")
+    typed = clean.SALES.accepted(clean.SALES.project(raw, carry=["_ingestion_timestamp"]))
+    for part in range(3):
+        batch = typed.where(F.pmod(F.xxhash64("monto"), F.lit(3)) == part)
+        table = buckets.add_batch(batch, place, clean.SALES.keys, ["_ingestion_timestamp"], 16)
+    return table.withColumns(clean.SALES.calendar()).drop("_ingestion_timestamp")
+
+
+def enrich_sales_in_buckets(spark, folder):
+    """The catalogue in buckets of its id: joined as it lies, whatever its size."""
+    place = run_dir(spark, "catalogue")
+    products = buckets.add_batch(star.productos(spark, folder), place, ["id_producto"], [], 16)
+    return enrich(star.ventas(spark, folder), products).select(star.ventas_enriquecidas(spark, folder).columns)
+
+
 def clean_web(spark, folder):
     return clean.WEB_EVENTS.clean(star.raw_web(spark, folder))
 
@@ -550,7 +569,7 @@ def publish_gold(spark, folder):
 
 
 REGISTERED: list[Query] = [
-    dedup_sales, clean_sales, clean_sales_lenient, clean_sales_rejects, silver_sales, clean_web, clean_products,
+    dedup_sales, clean_sales, clean_sales_lenient, clean_sales_rejects, silver_sales, silver_sales_in_buckets, enrich_sales_in_buckets, clean_web, clean_products,
     enrich_sales, kpi_overall, kpi_monthly, kpi_customer, kpi_category_channel, kpi_web, kpi_monthly_bitmap, kpi_category_channel_bitmap, kpi_overall_bitmap, kpi_web_bitmap, rollup_rows, top_customer, top10_sales,
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
     fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,

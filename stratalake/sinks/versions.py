@@ -95,7 +95,22 @@ def publish(
         replaced = {_partition(f) for f in new}
         kept = [f for f in old if _partition(f) not in replaced]
         before["folders"] = old
-    now = time.time()
+    put_version(df, path, new, kept, grace, before, partition_by)
+
+
+def put_version(
+    df: DataFrame,
+    path: str,
+    new: list[str],
+    kept: list[str],
+    grace: float,
+    before: dict | None = None,
+    partition_by: tuple[str, ...] = (),
+    **more: object,
+) -> None:
+    """Make the ``new`` and the ``kept`` folders the table, and delete what has been out of use long enough."""
+    spark, now = df.sparkSession, time.time()
+    before = before or read_current(spark, path) or {"folders": [], "retired": []}
     retired = [*before["retired"], *([f, now] for f in before["folders"] if f not in kept)]
     gone = [f for f, since in retired if now - since > grace]
     inner = [f for f in df.schema.fields if f.name not in partition_by]
@@ -105,6 +120,7 @@ def publish(
         "columns": df.columns,
         "folders": sorted([*kept, *new]),
         "retired": [r for r in retired if r[0] not in gone],
+        **more,
     }
     _put_current(spark, path, content, grace)
     for folder in gone:
