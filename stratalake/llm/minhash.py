@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import order_id, pieces, written
@@ -45,17 +45,19 @@ def _sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray
     return values, np.searchsorted(doc, np.arange(t.count + 1))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, any other columns) with id and (h, g), a 128-bit hash of the text.
-
-    Rows with the same three are copies of each other.
-    """
+def _key() -> list[Column]:
+    """id and (h, g), a 128-bit hash of the text. Rows with the same three are copies of each other."""
     text = F.col("text").cast("binary")
-    return docs.withColumns({"id": order_id(), "h": F.xxhash64(text), "g": F.xxhash64(F.lit(29), text)})
+    return [order_id().alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(29), text).alias("g")]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, id, h, g) of ``docs`` (doc_id, text, any other columns)."""
+    return docs.select("doc_id", "text", *_key())
 
 
 def sketch(docs: DataFrame, width: int = 3, permutations: int = 70, rows: int = 5) -> DataFrame:
-    """(id, h, g, n, a, b, bands) of every row of ``docs`` (doc_id, text); id, h and g as in ``keyed``.
+    """(id, h, g, n, a, b, bands) of every row of ``docs`` (doc_id, text); id, h and g as in ``_key``.
 
     n is the size of the shingle set, (a, b) a 128-bit hash of it, bands one hash for each band; the last three
     are null for a text without words. A text of fewer than ``width`` words is one shingle.
@@ -97,7 +99,7 @@ def sketch(docs: DataFrame, width: int = 3, permutations: int = 70, rows: int =
 
     if permutations % rows:
         raise ValueError("permutations is a multiple of rows")
-    narrow = keyed(docs.select("doc_id", "text")).select("id", "h", "g", F.col("text").cast("binary"))
+    narrow = keyed(docs).select("id", "h", "g", F.col("text").cast("binary"))
     return narrow.mapInArrow(run, "id bigint, h bigint, g bigint, n bigint, a bigint, b bigint, bands array<bigint>")
 
 
@@ -121,7 +123,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` (x, y) whose sets are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2):
             left, right = ([np.frombuffer(v, np.uint64) for v in batch.column(k).to_pylist()] for k in (2, 3))
             common = np.array([len(np.intersect1d(s, t, True)) for s, t in zip(left, right, strict=True)], np.int64)
             size = [np.array([len(s) for s in side], np.int64) for side in (left, right)]
@@ -208,15 +210,18 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, **settings: int) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns, whatever their names."""
     found = verdicts(docs, **settings).groupBy("id", "h", "g").agg(F.max("kept").alias("some"), F.min("kept").alias("all"))
-    cut = written(found.where("not all"), "gone")
-    key = ["id", "h", "g"]
-    out = keyed(docs).join(cut, key, "left_anti").select(docs.columns)
+    key = "__key"
+    while key in docs.columns:
+        key += "_"
+    cut = written(found.where("not all").select(F.struct("id", "h", "g").alias(key), "some"), "gone")
+    rows = docs.withColumn(key, F.struct(*_key()))
+    out = rows.join(cut, key, "left_anti").select(docs.columns)
     single = cut.where("some")
     if single.limit(1).count():  # copies without id, one of which stays
-        copies = keyed(docs).join(single, key, "left_semi")
-        least = copies.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+        copies = rows.join(single, key, "left_semi")
+        least = copies.groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row"))
         out = out.union(least.select("row.*"))
     return out
 
@@ -238,7 +243,7 @@ def verdicts(
     members = written(banded.join(shared.select("k", "band"), ["k", "band"]), "members")
     candidates = members.groupBy("x").agg(F.count("*").alias("bands"))
     owners = classes.join(candidates, "x").select("x", "owner.id", "owner.h", "owner.g")
-    texts = keyed(docs.select("doc_id", "text")).join(owners, ["id", "h", "g"])
+    texts = keyed(docs).join(owners, ["id", "h", "g"])
     sets = written(shingle_sets(texts.select("x", F.col("text").cast("binary")), width), "sets")
     if docs_repeat(sets):
         sets = written(_one_set(sets), "sets")

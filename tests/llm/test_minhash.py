@@ -114,3 +114,14 @@ def test_null_and_repeated_ids_keep_their_own_texts(spark, texts_of):
     assert len(of_c) == 1
     kept = [(1, a), (2, b), (3, near(d)), (7, lone[0] + " more of it"), (7, e)]
     assert left == sorted([*kept, (0, ""), (0, lone[1]), (0, lone[2]), (0, of_c[0])])
+
+
+def test_columns_of_any_name_keep_their_values(spark, texts_of):
+    rng = random.Random(12)
+    text = texts_of(rng, 50)
+    rows = [(1, text, 111, "h1", "g1", 1, "k1"), (2, text, 222, "h2", "g2", 2, "k2"), (None, texts_of(rng, 50), 333, "h3", "g3", 3, "k3")]
+    rows += [(None, rows[2][1], 444, "h4", "g4", 4, "k4")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, id int, h string, g string, n int, __key string")
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
