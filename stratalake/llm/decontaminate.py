@@ -4,20 +4,25 @@ The automaton holds the normalised word sequences of the benchmark items. A docu
 through it; after each word it knows the longest stretch that ends there and occurs in an item. Where that
 stretch reaches ``window`` words, or ends with a whole shorter item, its last words are hit.
 
-Items are packed into automata of at most ``max_words`` words, which bounds what is broadcast; more items make
-more passes over the documents, one after another inside the same tasks, without a shuffle.
+An automaton takes about 650 bytes a word, so items are dealt out to shards of about ``max_words`` words. Only the
+items of one shard at a time are sent to the tasks, which build its automaton themselves and keep it for the next
+task. One shard, the usual case, is one pass without a shuffle. With more of them every shard is a pass that
+leaves only the documents it hits, by key, and the passes are merged per document by an aggregation.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import pieces
+from stratalake.llm.common import order_id, pieces, written
 
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -147,84 +152,116 @@ def stream(tables: dict, text: list[bytes]) -> tuple[list[tuple[int, int]], set[
     return spans, items
 
 
-def automata(benchmark: DataFrame, window: int, max_words: int, unnamed: bool = False) -> Iterator[Automaton]:
-    """Automata over the items of ``benchmark`` (item_id, text), each of at most ``max_words`` words or one item."""
-    held: list[tuple[int, list[bytes]]] = []
-    size = 0
-    rows = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("binary"))
-    rows = rows if unnamed else rows.where("item_id is not null")
-    for item, text in rows.toLocalIterator():
-        found = words(bytes(text) if text is not None else None)
-        if held and size + len(found) > max_words:
-            yield Automaton(held, window)
-            held, size = [], 0
-        held.append((item, found))
-        size += len(found)
-    if held:
-        yield Automaton(held, window)
+_BUILT: dict[str, dict] = {}
+
+
+def built(name: str, items: Broadcast, window: int) -> dict:
+    """Tables of the automaton of broadcast items, made once in a Python worker, which holds one automaton at a time."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Automaton([(i, words(t)) for i, t in items.value], window).tables()
+    return _BUILT[name]
+
+
+def shards(benchmark: DataFrame, max_words: int, unnamed: bool) -> list[DataFrame]:
+    """The items (item_id, text) with a word, dealt out by a hash to shards of about ``max_words`` words."""
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("binary").alias("text"))
+    rows = rows.where("text is not null" if unnamed else "text is not null and item_id is not null")
+    total = rows.select(F.coalesce(F.sum(word_count(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    count = max(1, -(-total // max_words))
+    shard = F.pmod(F.xxhash64("text", F.lit(41)), F.lit(count))
+    return [rows.where(shard == k) if count > 1 else rows for k in range(count)]
+
+
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("bigint")
+
+
+SPANS = "array<struct<start:bigint,end:bigint,first:bigint,last:bigint>>"
+SPAN_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "end", "first", "last")]))
+
+
+def judged(
+    batches: Iterator[pa.RecordBatch], place: int, only_hits: bool, name: str, items: Broadcast, window: int
+) -> Iterator[pa.RecordBatch]:
+    """The batches with the number of words, the hits and the items of the text in column ``place``."""
+    tables = built(name, items, window)
+    for batch in pieces(batches, place):
+        counts, hits, found = [], [], []
+        for text in batch.column(place).cast(pa.large_binary()).to_pylist():
+            tokens = words(text)
+            spans, own = stream(tables, tokens)
+            counts.append(len(tokens))
+            hits.append(_placed(text, spans) if spans else [])
+            found.append(sorted(own, key=lambda i: (i is None, i or 0)))
+        more = [pa.array(counts, pa.int64()), pa.array(hits, SPAN_TYPE), pa.array(found, pa.list_(pa.int64()))]
+        out = pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "__n_words", "__hits", "__items"])
+        yield out.filter(pa.array([bool(h) for h in hits])) if only_hits else out
+
+
+def _placed(text: bytes, spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    """Stretches of words with their first and last byte."""
+    at = [m.span() for m in _WORDS.finditer(text.lower())]
+    return [{"start": s, "end": e, "first": at[s][0], "last": at[e - 1][1]} for s, e in spans]
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 2_000_000, unnamed: bool = False
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 200_000, unnamed: bool = False
 ) -> DataFrame:
-    """``docs`` (text and any other columns) with __n_words, __hits (stretches of hit words) and __items.
+    """``docs`` (doc_id, text and any other columns) with __n_words, __hits and __items.
 
-    A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window.
-    A document word inside any occurrence of a window is hit. Null texts have no words. Items without words
-    never hit. Those without id hit only if ``unnamed``; all of them are then one null, the last in __items. Without items nothing is hit. Repeated rows are judged alike.
+    __hits are stretches of hit words, [start, end), with the bytes [first, last) that they take. A window is ``window``
+    consecutive words of an item; an item of fewer words, but not none, is one window. A document word inside any
+    occurrence of a window is hit. Null texts have no words. Items without words never hit. Those without id hit only
+    if ``unnamed``; all of them are then one null, the last in __items. Without items nothing is hit. Repeated rows are
+    judged alike. Automata hold about ``max_words`` words, or one longer item.
     """
-    kinds = "__n_words bigint, __hits array<struct<start:bigint,end:bigint>>, __items array<bigint>"
-    out = docs.withColumns(
-        {
-            "__n_words": F.lit(None).cast("bigint"),
-            "__hits": F.array().cast("array<struct<start:bigint,end:bigint>>"),
-            "__items": F.array().cast("array<bigint>"),
-        }
+    parts = shards(benchmark, max_words, unnamed)
+    if len(parts) == 1:
+        kinds = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes), f"__n_words bigint, __hits {SPANS}, __items array<bigint>"])
+        return docs.mapInArrow(_judge(parts[0], window, docs.columns.index("text"), False)[0], kinds)
+    text = F.col("text").cast("binary")
+    key = F.struct(order_id().alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(29), text).alias("g"))
+    narrow = docs.select(key.alias("key"), text.alias("text"))
+    kinds = f"key struct<id:bigint,h:bigint,g:bigint>, text binary, __n_words bigint, __hits {SPANS}, __items array<bigint>"
+    passes = []
+    for part in parts:
+        run, items = _judge(part, window, 1, True)
+        passes.append(written(narrow.mapInArrow(run, kinds).drop("text", "__n_words"), "hits"))
+        items.destroy()
+    found = reduce(DataFrame.union, passes).groupBy(F.col("key").alias("__key"))
+    found = found.agg(F.flatten(F.collect_set("__hits")).alias("__hits"), F.flatten(F.collect_set("__items")).alias("__items"))
+    found = found.withColumns({"__hits": merged("__hits"), "__items": F.array_sort(F.array_distinct("__items"))})
+    name = "__key"
+    while name in docs.columns:
+        name += "_"
+    both = docs.withColumn(name, key).join(found.withColumnRenamed("__key", name), name, "left")
+    return both.select(
+        *docs.columns,
+        F.coalesce(word_count(F.col("text").cast("string")), F.lit(0)).alias("__n_words"),
+        *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("__hits", SPANS), ("__items", "array<bigint>"))],
     )
-    blocks = list(automata(benchmark, window, max_words, unnamed)) or [Automaton([], window)]
-    fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    place = docs.columns.index("text")
-    for block in blocks:
-        shared = docs.sparkSession.sparkContext.broadcast(block.tables())
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            hits_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            for batch in pieces(batches, place):
-                counts, hits, found = [], [], []
-                old = zip(
-                    batch.column(place).cast(pa.large_binary()).to_pylist(),
-                    batch.column(batch.num_columns - 2).to_pylist(),
-                    batch.column(batch.num_columns - 1).to_pylist(),
-                    strict=True,
-                )
-                for text, spans, items in old:
-                    tokens = words(text)
-                    new, own = stream(shared.value, tokens)
-                    counts.append(len(tokens))
-                    hits.append(merged([(s["start"], s["end"]) for s in spans] + new))
-                    found.append(sorted({*items, *own}, key=lambda i: (i is None, i or 0)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.columns[:-3],
-                        pa.array(counts, pa.int64()),
-                        pa.array([[{"start": s, "end": e} for s, e in h] for h in hits], hits_type),
-                        pa.array(found, pa.list_(pa.int64())),
-                    ],
-                    names=batch.schema.names,
-                )
-
-        out = out.mapInArrow(run, f"{fields}, {kinds}")
-    return out
-
-
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((start, end))
-    return out
+
+
+def _judge(part: DataFrame, window: int, place: int, only_hits: bool):
+    held = [(item, bytes(text)) for item, text in part.toLocalIterator()]  # about max_words words
+    items = part.sparkSession.sparkContext.broadcast(held)
+    return partial(judged, place=place, only_hits=only_hits, name=uuid.uuid4().hex, items=items, window=window), items
+
+
+def merged(spans: str) -> Column:
+    """Overlapping and touching stretches as one, in order."""
+
+    def put(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        both = F.struct(
+            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
+            last["first"].alias("first"), F.greatest(last["last"], s["last"]).alias("last"),
+        )
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))
+        return F.when((F.size(done) > 0) & (s["start"] <= last["end"]), joined).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), put)
 
 
 def remove_leaks(found: DataFrame, max_coverage: float = 0.5) -> DataFrame:
@@ -232,28 +269,14 @@ def remove_leaks(found: DataFrame, max_coverage: float = 0.5) -> DataFrame:
 
     Takes what ``find_leaks`` gives and returns the columns it was given. Documents without a hit are untouched.
     """
-    names = found.columns
-    kept = found.where(
-        F.aggregate("__hits", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
-        <= F.coalesce("__n_words", F.lit(0)) * max_coverage
+    hit = F.aggregate("__hits", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    kept = found.where(hit <= F.coalesce("__n_words", F.lit(0)) * max_coverage)
+    # cuts are at the borders of words, never inside a character
+    raw, zero = F.col("text").cast("binary"), F.lit(0).cast("bigint")
+    starts = F.concat(F.array(zero), F.transform("__hits", lambda s: s["last"]))
+    ends = F.concat(F.transform("__hits", lambda s: s["first"]), F.array(F.octet_length("text").cast("bigint")))
+    left = F.zip_with(
+        starts, ends, lambda s, e: F.substring(raw, (s + 1).cast("int"), (e - s).cast("int")).cast("string")
     )
-    place, types = names.index("text"), ", ".join(f"`{n}` {t}" for n, t in found.dtypes[:-3])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(place).to_pylist()
-            spans = batch.column(batch.num_columns - 2).to_pylist()
-            for i, hits in enumerate(spans):
-                if hits:
-                    raw = texts[i].encode()
-                    at = [m.span() for m in _WORDS.finditer(raw.lower())]
-                    left, done = [], 0
-                    for s in hits:
-                        left.append(raw[done : at[s["start"]][0]])
-                        done = at[s["end"] - 1][1]
-                    texts[i] = b"".join([*left, raw[done:]]).decode()
-            columns = list(batch.columns[:-3])
-            columns[place] = pa.array(texts, batch.column(place).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-3])
-
-    return kept.mapInArrow(cut, types)
+    text = F.when(F.size("__hits") > 0, F.array_join(left, "")).otherwise(F.col("text"))
+    return kept.withColumn("text", text).drop("__n_words", "__hits", "__items")

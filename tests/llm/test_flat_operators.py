@@ -156,7 +156,7 @@ def hits(text, items, window):
 ITEMS = "item_id bigint, text string, words string"
 
 
-@pytest.mark.parametrize("max_words", [10, 10**6])
+@pytest.mark.parametrize("max_words", [10, 40, 10**6])
 def test_leaks_against_brute_force(spark, max_words):
     rng = random.Random(max_words)
     word = lambda: rng.choice("a b c d e f É9".split())
@@ -189,6 +189,21 @@ def test_leaks_are_cut_and_leaked_documents_go(spark, odd_docs, no_docs):
     assert decontaminate.find_leaks(odd_docs, none).where("size(__items) > 0").count() == 0
 
 
+@pytest.mark.parametrize("max_words", [4, 10**6])
+def test_cuts_are_the_same_with_any_number_of_automata(spark, max_words):
+    items = [(1, "uno dos tres cuatro", "x"), (2, "tres cuatro cinco", "x"), (3, "ñandú été", "x"), (None, "zwei drei", "x")]
+    docs = [
+        (1, "a b c d e f UNO, dos tres cuatro cinco! g h i j", "k"), (1, "é ñandú été — ok and more of it", "k"), (2, None, "k"),
+        (None, "eins zwei drei vier fuenf sechs", "k"), (None, "eins zwei drei vier fuenf sechs", "k"), (3, "uno dos tres cuatro x", "k"),
+    ]
+    rows = spark.createDataFrame(docs, "doc_id bigint, text string, __key string")
+    found = decontaminate.find_leaks(rows, spark.createDataFrame(items, ITEMS), 10, max_words, unnamed=True)
+    out = decontaminate.remove_leaks(found)
+    assert out.columns == rows.columns
+    left = [(1, "a b c d e f ! g h i j"), (1, "é  — ok and more of it"), (2, None), *[(None, "eins  vier fuenf sechs")] * 2]
+    assert sorted(((r[0], r[1]) for r in out.collect()), key=str) == sorted(left, key=str)
+
+
 # --- mixing ---------------------------------------------------------------------------------------
 
 
