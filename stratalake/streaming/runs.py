@@ -116,41 +116,43 @@ def totals_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parq
     return refresh
 
 
-def hours_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parquet", approximate: bool = False) -> Refresh:
+def hours_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parquet") -> Refresh:
     """What to do with the prepared events of a micro-batch to bring the hourly table up to date.
 
     The batch aggregates its own events and merges them into the rollup of the days that it touches, which is partitioned
     by day and batch: nothing else is listed, read or written. A batch that is repeated after a failure starts from the
     same state, because each day keeps the version before its last one.
     """
-    keys = (DAY, HOUR) if approximate else HOUR_KEYS
 
     def refresh(events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
-        if batch_id == 0:
-            _forget(spark, path)
-        fresh = store(fleet.fleet_rollup(events, keys), f"{path}_fresh", "fleet_hours")
-        days = [str(row[0]) for row in fresh.select(DAY).distinct().collect()]
-        if not days and batch_id > 0:
-            return
-        rows, older = fresh, _versions(spark, path, days, batch_id)
-        if older:
-            folders = [f"{path}/{DAY}={day}/{BATCH}={max(known)}" for day, known in older.items()]
-            before = spark.read.schema(fresh.schema).option("basePath", path).parquet(*folders).drop(BATCH)
-            rows = fleet.merge_rollups(before.unionByName(fresh), keys)
-        rows = clustered_for(rows, DAY).withColumn(BATCH, F.lit(batch_id))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH)
-        writer.parquet(path)
-        _forget(spark, *[f"{path}/{DAY}={day}/{BATCH}={n}" for day, known in older.items() for n in sorted(known)[:-1]])
-        folders = [f"{path}/{DAY}={day}/{BATCH}={batch_id}" for day in days]
-        now = spark.read.schema(fresh.schema).option("basePath", path).parquet(*folders).drop(BATCH) if days else fresh
-        write_table(
-            clocked(fleet.by_hour(now)), table_path(HOURLY_TABLE), fmt, (DAY,), only_touched_partitions=batch_id > 0
-        )
+        fresh = store(fleet.fleet_rollup(events, HOUR_KEYS), f"{path}_fresh", "fleet_hours")
+        _merge_hours(fresh, HOUR_KEYS, path, table_path(HOURLY_TABLE), fmt, batch_id)
 
     return refresh
 
 
+def _merge_hours(fresh: DataFrame, keys: tuple[str, ...], path: str, table: str, fmt: str, batch_id: int) -> None:
+    """Merge the written rollup of a batch, by ``keys``, into the days that it touches, and replace those of the table."""
+    spark = fresh.sparkSession
+    if batch_id == 0:
+        _forget(spark, path)
+    days = [str(row[0]) for row in fresh.select(DAY).distinct().collect()]
+    if not days and batch_id > 0:
+        return
+    rows, older = fresh, _versions(spark, path, days, batch_id)
+    if older:
+        folders = [f"{path}/{DAY}={day}/{BATCH}={max(known)}" for day, known in older.items()]
+        before = spark.read.schema(fresh.schema).option("basePath", path).parquet(*folders).drop(BATCH)
+        rows = fleet.merge_rollups(before.unionByName(fresh), keys)
+    rows = clustered_for(rows, DAY).withColumn(BATCH, F.lit(batch_id))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH)
+    writer.parquet(path)
+    _forget(spark, *[f"{path}/{DAY}={day}/{BATCH}={n}" for day, known in older.items() for n in sorted(known)[:-1]])
+    folders = [f"{path}/{DAY}={day}/{BATCH}={batch_id}" for day in days]
+    now = spark.read.schema(fresh.schema).option("basePath", path).parquet(*folders).drop(BATCH) if days else fresh
+    write_table(clocked(fleet.by_hour(now)), table, fmt, (DAY,), only_touched_partitions=batch_id > 0)
+
+
 def _versions(spark: SparkSession, path: str, days: list[str], batch_id: int) -> dict[str, list[int]]:
     """Batches before this one that wrote the days."""
     out: dict[str, list[int]] = {}
@@ -168,18 +170,21 @@ def sketch_refresh(path: str, table_path: Callable[[str], str], fmt: str = "parq
     A rollup row is a zone and state, or an hour, however many trucks there are, so the totals are rewritten whole:
     two folders take turns, a batch reads the one its predecessor wrote.
     """
-    hours = hours_refresh(f"{path}/hours", table_path, fmt, approximate=True)
 
-    def refresh(events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
-        totals = fleet.fleet_rollup(events, STATE_KEYS[:2])
+    def totals(fresh: DataFrame, batch_id: int) -> None:
+        rows = fleet.merge_rollups(fresh, STATE_KEYS[:2])
         if batch_id > 0:
-            before = read_table(spark, f"{path}/totals/{(batch_id - 1) % 2}", "fleet_totals")
-            totals = fleet.merge_rollups(before.unionByName(totals), STATE_KEYS[:2])
-        totals = store(totals, f"{path}/totals/{batch_id % 2}", "fleet_totals")
-        tables = fleet_tables(totals)
-        side_by_side(partial(write_table, clocked(table), table_path(name), fmt) for name, table in tables.items())
-        hours(events, batch_id)
+            before = read_table(fresh.sparkSession, f"{path}/totals/{(batch_id - 1) % 2}", "fleet_totals")
+            rows = fleet.merge_rollups(before.unionByName(rows), STATE_KEYS[:2])
+        rows = store(rows, f"{path}/totals/{batch_id % 2}", "fleet_totals")
+        for name, table in fleet_tables(rows).items():
+            write_table(clocked(table), table_path(name), fmt)
+
+    def refresh(events: DataFrame, batch_id: int) -> None:
+        fresh = store(fleet.fleet_rollup(events, fleet.SKETCH_KEYS), f"{path}/fresh", "fleet_rollup")
+        keys = HOUR_KEYS[:2]
+        hours = partial(_merge_hours, fleet.merge_rollups(fresh, keys), keys, f"{path}/hours", table_path(HOURLY_TABLE), fmt)
+        side_by_side([partial(totals, fresh, batch_id), partial(hours, batch_id)])
 
     return refresh
 

@@ -131,12 +131,12 @@ def test_live_tables_equal_the_batch_tables_after_every_run(spark, topic, tmp_pa
         assert live == {name: table(spark, cfg.gold(name)) for name in names}
 
 
-@pytest.mark.parametrize("approximate", [False, True])
-def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path, approximate):
+@pytest.mark.parametrize("kind", [runs.sketch_refresh, runs.hours_refresh])
+def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path, kind):
     """Files of a day change only with a batch that has events of that day."""
     first = fleet.prepare(gps.parse(spark.read.parquet(topic(message(1), message(2, minute=60 * 24)))))
     later = first.where("event_id = 2")
-    refresh = runs.hours_refresh(str(tmp_path / "rollup"), lambda name: str(tmp_path / name), "parquet", approximate)
+    refresh = kind(str(tmp_path / "rollup"), lambda name: str(tmp_path / name))
 
     def used():
         current = read_current(spark, str(tmp_path / runs.HOURLY_TABLE))
@@ -153,8 +153,8 @@ def test_a_batch_leaves_untouched_days_alone(spark, topic, tmp_path, approximate
     assert used()[days[0]] == before[days[0]] and used()[days[1]] != before[days[1]]
     got = read_table(spark, str(tmp_path / runs.HOURLY_TABLE), "t").orderBy("fecha_evento").collect()
     assert [r.total_eventos for r in got] == [1, 3] and [r.camiones_activos for r in got] == [1, 1]
-    assert len(list((tmp_path / "rollup").glob(f"fecha_evento={days[0]}/_batch=*"))) == 1
-    assert len(list((tmp_path / "rollup").glob(f"fecha_evento={days[1]}/_batch=*"))) == 2
+    assert len(list((tmp_path / "rollup").rglob(f"fecha_evento={days[0]}/_batch=*"))) == 1
+    assert len(list((tmp_path / "rollup").rglob(f"fecha_evento={days[1]}/_batch=*"))) == 2
     refresh(first.limit(0), 3)
     assert used()[days[0]] == before[days[0]]
 
@@ -231,7 +231,7 @@ def test_estimated_trucks_are_near_and_take_no_row_each(spark, tmp_path):
     refresh(fleet.prepare(events.where("event_id >= 12000")), 1)
     row = read_table(spark, str(tmp_path / "rt_kpis_generales"), "t").first()
     assert row.total_eventos_gps == 20_000 and abs(row.camiones_activos - 5000) < 250
-    for kept in ("totals/1", "hours_fresh"):
+    for kept in ("totals/1", "fresh"):
         rollup = read_table(spark, str(tmp_path / "rollup" / kept), "t")
         assert "camion" not in rollup.columns and rollup.count() == 1
 
