@@ -297,14 +297,22 @@ def stream_dedup(spark, folder):
     return rows.select(*gps.MESSAGE_ID, "event_id", "camion", "timestamp_evento")
 
 
-def _live_fleet(spark, folder, name: str, batches: int = 4, **options) -> DataFrame:
-    """KPI table after a stream has been followed to its end in so many micro-batches."""
-    stream = messages.envelope_files_stream(spark, _landed_envelope(spark, folder, files=batches), maxFilesPerTrigger=1)
-    place = run_dir(spark, "live_fleet")
-    runs.start_fleet_refresh(
-        gps.parse(stream), f"{place}/rollup", lambda table: f"{place}/{table}", f"{place}/checkpoint", **options
-    ).awaitTermination()
-    return files.read_table(spark, f"{place}/{name}", name).drop("generated_at")
+def _live_fleet(spark, folder, name: str, approximate: bool = False, batches: int = 4) -> DataFrame:
+    """Live table after a stream has been followed to its end in so many micro-batches, with merges of the changed totals on
+    the way; one run for a session, folder and kind serves all that ask."""
+    key = spark.sparkContext.applicationId, folder, approximate
+    if key not in _LIVE:
+        stream = messages.envelope_files_stream(spark, _landed_envelope(spark, folder, files=batches), maxFilesPerTrigger=1)
+        place = run_dir(spark, "live_fleet")
+        runs.start_fleet_refresh(
+            gps.parse(stream), f"{place}/rollup", lambda table: f"{place}/{table}", f"{place}/checkpoint",
+            approximate=approximate, merge_every=2,
+        ).awaitTermination()
+        _LIVE[key] = place
+    return files.read_table(spark, f"{_LIVE[key]}/{name}", name).drop("generated_at")
+
+
+_LIVE: dict[tuple[str, str, bool], str] = {}
 
 
 def stream_fleet_overall(spark, folder):
@@ -312,8 +320,7 @@ def stream_fleet_overall(spark, folder):
 
 
 def stream_fleet_zone(spark, folder):
-    """With a merge of the changed totals on the way."""
-    return _live_fleet(spark, folder, "rt_kpis_por_zona", merge_every=2)
+    return _live_fleet(spark, folder, "rt_kpis_por_zona")
 
 
 def stream_fleet_hour(spark, folder):
