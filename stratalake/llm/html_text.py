@@ -17,6 +17,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,20 +29,23 @@ from stratalake.llm.common import pieces
 CELLS = 1 << 15
 
 #: Elements of HTML. Inline ones do not end a block; the text of hidden ones is never shown; void ones
-#: have no end tag.
+#: have no end tag; an open paragraph ends where one of ``ENDS_P`` starts.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder svg g "
+    "tspan object noscript".split()
 )
-HIDDEN = frozenset("head iframe math noembed noframes noscript object script style svg template title".split())
+HIDDEN = frozenset("head iframe noembed noframes script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ENDS_P = frozenset(
+    "address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
+    "hgroup hr main menu nav ol p pre section table ul".split()
+)
 RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
-)
 _NAME = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 
 #: Words in tag, class and id names that mark a part as no main text, for labels of the sample.
 OTHER = frozenset(
@@ -49,110 +53,216 @@ OTHER = frozenset(
     "subscribe cookie consent notice alert popup modal comment comments reply replies related share social breadcrumb "
     "pagination widget toolbar dialog copyright".split()
 )
+MAIN = frozenset({"article", "main"})
+
+
+class Node:
+    """An open element. ``fresh`` are its tag and names that none of its ancestors has, of those that count with it: inside
+    an outermost ``article`` or ``main`` the names above that are kept apart."""
+
+    __slots__ = ("parent", "tag", "names", "fresh", "inner", "main", "other", "number")
+
+    def __init__(self, parent: Node | None, tag: str, names: list[str], fresh: list[str], number: int):
+        self.parent, self.tag, self.names, self.fresh, self.number = parent, tag, names, fresh, number
+        self.inner = tag if tag not in INLINE else parent.inner if parent else ""
+        #: The outermost article or main element, and whether a part in it, or any part outside of one, is marked as other.
+        self.main: Node | None = parent.main if parent and parent.main else self if tag in MAIN else None
+        above = parent.other if parent and self.main is not self else False
+        own = () if tag in ("html", "body") or (tag == "main" and self.main is self) else {tag, *names}
+        self.other: bool = above or not OTHER.isdisjoint(own)
 
 
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # tags and name parts of the ancestors, outermost first
-    inner: str  # innermost tag
+    node: Node | None  # innermost open element
     linked: int  # characters inside links
 
-
-def blocks(page: str) -> list[Block]:
+    def features(self) -> set[str]:
+        """Tags and names of the ancestors; those above an outermost article or main are other ones."""
+        out, node, kind = set(), self.node, "in"
+        while node is not None:
+            out |= {f"{kind} {p}" for p in (node.tag, *node.names)}
+            if node.tag in MAIN and node.main is node:
+                kind = "above"
+            node = node.parent
+        return out
+
+    @property
+    def inner(self) -> str:
+        return self.node.inner if self.node else ""
+
+
+#: Elements in which an open paragraph outside is not ended by a new one.
+SCOPE = ("table", "td", "th", "caption", "button", "object", "marquee", "applet")
+
+
+class _Page:
+    """Reads a page once from left to right; each step takes as long as what it consumes."""
+
+    def __init__(self, page: str, plain: bool = False):
+        self.page, self.plain = page, plain
+        self.blocks: list[Block] = []
+        self.open: list[Node] = []
+        self.depths: dict[str, list[int]] = {}  # of the open elements, by tag
+        self.nodes: list[Node] = []
+        self.counts: list[dict[str, int]] = [{}]  # names outside, and inside an outermost article or main
+        self.hidden = self.links = self.linked = 0
+        self.held: list[str] = []
+        self.quotes = True
+
+    def flush(self) -> None:
+        if self.held:
+            text = " ".join(html.unescape("".join(self.held)).split())
+            if text:
+                self.blocks.append(Block(text, self.open[-1] if self.open else None, min(self.linked, len(text))))
+            self.held.clear()
+        self.linked = 0
+
+    def text(self, piece: str) -> None:
+        if piece and not self.hidden:
+            self.held.append(piece)
+            self.linked += len(piece) if self.links else 0
+
+    def enter(self, tag: str, names: list[str]) -> None:
+        if self.plain and tag in MAIN:
+            tag = "div"
+        parent = self.open[-1] if self.open else None
+        if tag in MAIN and not (parent and parent.main):
+            self.counts.append({})
+        counts, fresh = self.counts[-1], []
+        for name in {tag: None, **dict.fromkeys(names)}:
+            counts[name] = counts.get(name, 0) + 1
+            if counts[name] == 1:
+                fresh.append(name)
+        node = Node(parent, tag, names, fresh, len(self.nodes))
+        self.nodes.append(node)
+        self.depths.setdefault(tag, []).append(len(self.open))
+        self.open.append(node)
+        self.hidden += tag in HIDDEN
+        self.links += tag == "a"
+
+    def close(self, depth: int) -> None:
+        while len(self.open) > depth:
+            node = self.open.pop()
+            self.depths[node.tag].pop()
+            counts = self.counts[-1]
+            for name in {node.tag, *node.names}:
+                counts[name] -= 1
+            if node.main is node:
+                self.counts.pop()
+            self.hidden -= node.tag in HIDDEN
+            self.links -= node.tag == "a"
+
+    def last(self, *tags: str) -> int:
+        """Depth of the innermost open element of these tags; -1 if there is none."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=-1)
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag at ``at``, outside quoted values; -1 if there is none. Where a quoted value
+        never ends, quotes are ordinary characters from there on."""
+        first = end = self.page.find(">", at)
+        while self.quotes and end >= 0:
+            marks = [p for p in (self.page.find('"', at, end), self.page.find("'", at, end)) if p >= 0]
+            if not marks:
+                return end
+            mark = min(marks)
+            at = self.page.find(self.page[mark], mark + 1) + 1
+            end = self.page.find(">", at) if at else -1
+        if end < 0 <= first:
+            self.quotes = False
+        return first if end < 0 else end
+
+    def read(self) -> _Page:
+        page, at, end = self.page, 0, len(self.page)
+        while at < end:
+            begin = page.find("<", at)
+            self.text(page[at : begin if begin >= 0 else end])
+            if begin < 0:
+                break
+            if page.startswith("<!--", begin):
+                stop = page.find("-->", begin + 4)
+                at = stop + 3 if stop >= 0 else end
+                continue
+            found = _TAG.match(page, begin, begin + 200)
+            stop = self.tag_end(begin) if found else page.find(">", begin) if page[begin + 1 : begin + 2] in ("!", "?") else -2
+            if stop == -1 and found:  # no tag can end any more
+                self.text(page[begin:])
+                break
+            if stop < 0:
+                self.text("<")
+                at = begin + 1
+                continue
+            at = stop + 1
+            if found:
+                at = self.element(found[1] == "/", page[begin + 1 + len(found[1]) : stop], at)
+        self.flush()
+        return self
+
+    def element(self, closing: bool, inside: str, at: int) -> int:
+        """A tag, and where to read on."""
+        parts = re.split(r"[\s/]", inside, maxsplit=1)
+        tag = parts[0].lower()
+        if tag == "br" and not self.hidden:
+            self.held.append(" ")
+        if tag not in INLINE and tag != "br":
+            self.flush()
+        if closing:
+            depth = self.last("div" if self.plain and tag in MAIN else tag)
+            if depth >= 0:
+                self.close(depth)
+            return at
+        if tag in VOID:
+            return at
+        if tag in ENDS_P and self.last("p") > self.last(*SCOPE):
+            self.close(self.last("p"))
+        if tag in ("li", "dt", "dd", "option"):
+            # a new item ends an open one of the same list
+            depth = self.last("dt", "dd", "dl") if tag in ("dt", "dd") else self.last(tag, "ul", "ol", "select")
+            if depth > self.last(*SCOPE) and self.open[depth].tag in ("li", "dt", "dd", "option"):
+                self.close(depth)
+        names = [w.lower() for n in _NAME.findall(" " + parts[1]) for w in _PART.findall(" ".join(n))] if len(parts) > 1 else []
+        self.enter(tag, names)
+        if tag in RAW:
+            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(self.page, at)
+            self.text(self.page[at : stop.start() if stop else len(self.page)])
+            at = stop.start() if stop else len(self.page)
+        return at
+
+
+def blocks(page: str, plain: bool = False) -> list[Block]:
     """Leaf blocks of a page, in order, with decoded and collapsed text; blank ones are left out.
 
-    Broken pages are read on: an end tag closes the innermost open element of its name and all inside it, or
-    is passed over; a ``<`` that starts no tag is text.
+    Broken pages are read on: an end tag closes the innermost open element of its name and all inside it, or is passed
+    over; a ``<`` that starts no tag is text. Time and memory grow with the length of the page, whatever is in it.
+    ``plain`` reads ``article`` and ``main`` as any other part.
     """
-    out: list[Block] = []
-    open_: list[tuple[str, tuple[str, ...]]] = []
-    hidden = links = 0
-    held: list[str] = []
-    linked = 0
-
-    def flush() -> None:
-        nonlocal linked
-        if held:
-            text = " ".join(html.unescape("".join(held)).split())
-            if text:
-                path = tuple(p for tag, parts in open_ for p in (tag, *parts))
-                inner = next((tag for tag, _ in reversed(open_) if tag not in INLINE), "")
-                out.append(Block(text, path, inner, min(linked, len(text))))
-            held.clear()
-        linked = 0
-
-    def close(depth: int) -> None:
-        nonlocal hidden, links
-        for tag, _ in open_[depth:]:
-            hidden -= tag in HIDDEN
-            links -= tag == "a"
-        del open_[depth:]
-
-    def text(piece: str) -> None:
-        nonlocal linked
-        if piece and not hidden:
-            held.append(piece)
-            linked += len(piece) if links else 0
-
-    at, end = 0, len(page)
-    while at < end:
-        m = _MARKUP.search(page, at)
-        if m is None:
-            text(page[at:])
-            break
-        text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if tag == "br" and not hidden:
-            held.append(" ")
-        if tag not in INLINE and tag != "br":
-            flush()
-        if m[1]:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
-            if depth is not None:
-                close(depth)
-        elif tag not in VOID:
-            if tag in ("p", "li", "dt", "dd", "option") and any(t == "p" for t, _ in open_[-8:]) or tag == "li":
-                # a new paragraph or item ends an open one of the same kind
-                inner = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] in (tag, "ul", "ol", "p")), None)
-                if inner is not None and open_[inner][0] in (tag, "p"):
-                    close(inner)
-            names = [w.lower() for n in _NAME.findall(m[3]) for w in _PART.findall(" ".join(n))][:24] if m[3] else []
-            open_.append((tag, tuple(names)))
-            hidden += tag in HIDDEN
-            links += tag == "a"
-            if tag in RAW:
-                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
-                text(page[at : stop.start() if stop else end])
-                at = stop.start() if stop else end
-    flush()
-    return out
+    return _Page(page, plain).read().blocks
 
 
-def features(found: list[Block], known: dict[str, int] | None = None) -> list[np.ndarray]:
-    """Feature cells of each block; ``known`` keeps the cells of names between calls."""
-    known = {} if known is None or len(known) > 1 << 16 else known
-    out = []
-    last = len(found) - 1
+def own_features(found: list[Block]) -> list[set[str]]:
+    """Features of each block but those of its ancestors."""
+    out, last = [], len(found) - 1
     for i, b in enumerate(found):
         size = len(b.text)
         words = b.text.count(" ") + 1
-        names = {f"in {p}" for p in b.path}
-        names |= {
+        out.append({
             f"tag {b.inner}", f"length {min(8, size.bit_length())}", f"words {min(7, words.bit_length())}",
             f"links {4 * b.linked // max(size, 1)}", f"stop {b.text[-1] in '.!?…。'}", f"first {i == 0}", f"last {i == last}",
-            f"start {b.text[0] in '©→»•|'}", f"bar {'|' in b.text or '©' in b.text}", f"other {bool(OTHER & set(b.path))}",
+            f"start {b.text[0] in '©→»•|'}", f"bar {'|' in b.text or '©' in b.text}", f"other {bool(b.node and b.node.other)}",
             "bias",
-        }
-        for n in names - known.keys():
-            known[n] = _cell(n)
-        out.append(np.fromiter((known[n] for n in sorted(names)), np.int64, len(names)))
+        })
     return out
 
 
+def features(found: list[Block], bare: bool = False) -> list[np.ndarray]:
+    """Feature cells of each block, for training; ``bare`` leaves the ancestors out."""
+    if bare:
+        found = [replace(b, node=None) for b in found]
+    return [np.sort([_cell(n) for n in own | b.features()]) for own, b in zip(own_features(found), found, strict=True)]
+
+
+@lru_cache(1 << 16)
 def _cell(name: str) -> int:
     value = 14695981039346656037
     for b in name.encode():
@@ -170,19 +280,42 @@ class Crf:
     def emissions(self, cells: list[np.ndarray]) -> np.ndarray:
         return np.array([self.weights[c].sum(axis=0) for c in cells]).reshape(len(cells), 2)
 
-    def decode(self, cells: list[np.ndarray]) -> np.ndarray:
-        """Best labelling; where two are equally good, 0 comes first."""
-        if not cells:
+    def page_emissions(self, page: _Page, known: dict[tuple, np.ndarray] | None = None) -> np.ndarray:
+        """As ``emissions`` of the blocks' features, but an element's part is added up once, for all blocks in it; ``known``
+        keeps what the same names add between calls."""
+        known = {} if known is None else known
+        if len(known) > 1 << 16:
+            known.clear()
+
+        def part(kind: str, names: list[str]) -> np.ndarray:
+            key = kind, *names
+            if key not in known:
+                known[key] = self.weights[[_cell(f"{kind} {n}") for n in names]].sum(axis=0)
+            return known[key]
+
+        scores, above = np.zeros((len(page.nodes) + 1, 2)), np.zeros((len(page.nodes) + 1, 2))
+        for k, node in enumerate(page.nodes):
+            up = node.parent.number if node.parent else -1
+            start = above[up] if node.main is node else scores[up]
+            scores[k] = start + part("in", node.fresh)
+            if node.main is None:
+                above[k] = above[up] + part("above", node.fresh)
+        own = [self.weights[[_cell(n) for n in names]].sum(axis=0) for names in own_features(page.blocks)]
+        at = [b.node.number if b.node else -1 for b in page.blocks]
+        return np.array(own).reshape(len(at), 2) + scores[at]
+
+    def decode(self, scores: np.ndarray) -> np.ndarray:
+        """Best labelling for the emissions; where two are equally good, 0 comes first."""
+        if not len(scores):
             return np.zeros(0, np.int64)
-        scores = self.emissions(cells)
-        best, back = scores[0], np.zeros((len(cells), 2), np.int64)
-        for i in range(1, len(cells)):
+        best, back = scores[0], np.zeros((len(scores), 2), np.int64)
+        for i in range(1, len(scores)):
             through = best[:, None] + self.transition
             back[i] = through.argmax(axis=0)
             best = through.max(axis=0) + scores[i]
-        labels = np.zeros(len(cells), np.int64)
+        labels = np.zeros(len(scores), np.int64)
         labels[-1] = best.argmax()
-        for i in range(len(cells) - 1, 0, -1):
+        for i in range(len(scores) - 1, 0, -1):
             labels[i - 1] = back[i, labels[i]]
         return labels
 
@@ -265,21 +398,21 @@ def seed_pages(texts: list[str]) -> list[tuple[list[np.ndarray], np.ndarray]]:
                 parts[i] = html.escape(text if wanted[-1] or at % 3 == 0 else " ".join(text.split()[: 1 + at % 6]))
                 at += 1
         found = blocks("<body>" + "".join(f"{p}" for p in parts) + "</body>")
-        if number % 3 == 1:
-            found = [replace(b, path=(), inner="") for b in found]
         if len(found) == len(wanted):  # a text with nothing to show is no block
-            out.append((features(found), np.array(wanted)))
+            out.append((features(found, bare=number % 3 == 1), np.array(wanted)))
     return out
 
 
 def marked_labels(found: list[Block]) -> np.ndarray | None:
-    """Labels where the mark-up tells them; None for a page that has no part marked as main text."""
-    main = [("article" in b.path or "main" in b.path) and not OTHER & set(b.path) for b in found]
+    """Labels where the mark-up tells them; None for a page that has no part marked as main text. Only names between an
+    article or main element and the block, an article's own among them, mark a part of it as other."""
+    main = [b.node is not None and b.node.main is not None and not b.node.other for b in found]
     return np.array(main, np.int64) if any(main) else None
 
 
-def train(pages: DataFrame, sample_pages: int = 300) -> Crf:
-    """Model from the seed layouts and about ``sample_pages`` pages, chosen by a hash of their html.
+def train(pages: DataFrame, sample_pages: int = 300, most_names: int = 200_000) -> Crf:
+    """Model from the seed layouts and about ``sample_pages`` pages, chosen by a hash of their html. Pages with more than
+    ``most_names`` names over all their blocks, which is beyond any sound page, are no examples.
 
     Every second sampled page has its ``article`` and ``main`` elements renamed, so that the other evidence learns, too.
     """
@@ -289,13 +422,11 @@ def train(pages: DataFrame, sample_pages: int = 300) -> Crf:
     labelled: list[tuple[list[np.ndarray], np.ndarray]] = []
     texts: list[str] = []
     for i, row in enumerate(chosen.select("html").distinct().orderBy(F.xxhash64("html"), "html").collect()):
-        found = blocks(row["html"])
-        labels = marked_labels(found)
-        if labels is not None:
+        page = _Page(row["html"]).read()
+        found, labels = page.blocks, marked_labels(page.blocks)
+        if labels is not None and len(found) * sum(1 + len(n.names) for n in page.nodes) <= most_names * 50:
             texts += [b.text for b in found]
-            if i % 2:
-                found = [replace(b, path=tuple("div" if p in ("article", "main") else p for p in b.path)) for b in found]
-            labelled.append((features(found), labels))
+            labelled.append((features(blocks(row["html"], plain=True) if i % 2 else found), labels))
     filler = ["A sentence of some length that ends with a stop, and another one.", "Two words"]
     return fit(seed_pages(texts or filler) + labelled)
 
@@ -310,13 +441,13 @@ def extract(pages: DataFrame, model: Crf) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = Crf(*shared.value)
-        known: dict[str, int] = {}
+        known: dict[tuple, np.ndarray] = {}
         for batch in pieces(batches, place):
             texts = []
             for raw in batch.column(place).cast(pa.large_binary()).to_pylist():
-                found = blocks(raw.decode("utf-8", "replace")) if raw else []
-                labels = crf.decode(features(found, known))
-                texts.append(" ".join(b.text for b, main in zip(found, labels, strict=True) if main))
+                page = _Page(raw.decode("utf-8", "replace") if raw else "").read()
+                labels = crf.decode(crf.page_emissions(page, known))
+                texts.append(" ".join(b.text for b, main in zip(page.blocks, labels, strict=True) if main))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "__text"]
             )

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from pathlib import Path
 
 import numpy as np
@@ -87,7 +88,7 @@ def test_gradient_finds_the_likeliest_labels():
         pages.append(([np.array([10 + (y if rng.random() < 0.8 else 1 - y)]) for y in labels], labels))
     model = html_text.fit(pages[:60])
     assert model.transition[0, 0] > model.transition[0, 1] and model.transition[1, 1] > model.transition[1, 0]
-    right = np.concatenate([model.decode(c) == y for c, y in pages[60:]]).mean()
+    right = np.concatenate([model.decode(model.emissions(c)) == y for c, y in pages[60:]]).mean()
     alone = np.concatenate([model.emissions(c).argmax(axis=1) == y for c, y in pages[60:]]).mean()
     assert right > alone
 
@@ -103,7 +104,56 @@ def test_viterbi_is_the_best_of_all_labellings():
             return sum(scores[i, y] for i, y in enumerate(ys)) + sum(model.transition[a, b] for a, b in zip(ys, ys[1:], strict=False))
 
         best = max((tuple((k >> i) & 1 for i in range(n)) for k in range(2**n)), key=value)
-        assert math.isclose(value(tuple(model.decode(cells))), value(best))
+        assert math.isclose(value(tuple(model.decode(scores))), value(best))
+
+
+LONG = {
+    "open tags": "<a " * 100_000,
+    "open tags with a late end": "<a " * 100_000 + ">x",
+    "unclosed parts": "<div>" * 60_000 + "deep" + "<p>x" * 2000,
+    "unclosed parts with names": "".join(f'<div class="c{i}">t{i}' for i in range(20_000)),
+    "ends of nothing": "<div>" * 30_000 + "</b>" * 75_000 + "x",
+    "open quotes": '<a href="x>' * 30_000,
+    "ends in quotes": '<a x=">" ' * 30_000,
+    "open comments": "<!-- " * 60_000,
+    "stray marks": "<" * 300_000,
+    "one name": "<" + "a" * 300_000 + ">x",
+    "items": "<ul><li>" * 20_000 + "x",
+    "cells": "<table><tr><td><p>" * 15_000 + "x",
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_broken_pages_take_seconds(kind):
+    model = html_text.fit(html_text.seed_pages(["A sentence of some length that ends with a stop.", "Two words"]), rounds=2)
+    began = time.perf_counter()
+    page = html_text._Page(LONG[kind]).read()
+    labels = model.decode(model.page_emissions(page))
+    assert time.perf_counter() - began < 20 and len(labels) == len(page.blocks)
+
+
+def test_an_element_adds_the_same_to_all_blocks_in_it():
+    rng = np.random.default_rng(1)
+    model = html_text.Crf(rng.normal(size=(html_text.CELLS, 2)).astype(np.float32), np.zeros((2, 2)))
+    page = (
+        '<html class="a"><body class="no-sidebar a"><div class="a b"><p>one<nav class="b"><a>two</a></nav><article id="a post">three'
+        '<section class="post c"><p>four<article class="comment"><p>five</article></section>six</article>seven<main><div>eight</div></main></div>nine'
+    )
+    read = html_text._Page(page).read()
+    assert len(read.blocks) == 9
+    assert np.allclose(model.page_emissions(read), model.emissions(html_text.features(read.blocks)), atol=1e-4)
+    assert list(html_text.marked_labels(read.blocks)) == [0, 0, 1, 1, 0, 1, 0, 1, 0]
+
+
+def test_content_of_every_kind_is_kept():
+    assert blocks("<p>E <math><mi>a</mi><mo>=</mo><mn>2</mn></math> so") == ["E a=2 so"]
+    assert blocks("<object data=x>no film</object><svg><text>drawn</text></svg><noscript>plain</noscript>") == ["no film", "drawn", "plain"]
+    assert blocks("<p>a<table><tr><td><p>b</table>c<p>d") == ["a", "b", "c", "d"]
+    assert blocks('<p title="a>b">x</p><p title="a>b>y') == ["x", "b>y"]
+    deep = html_text.blocks("<p>" + "<b>" * 12 + "x<p>y")
+    assert [b.node.tag for b in deep] == ["b", "p"] and deep[1].node.parent is None
+    many = html_text.blocks(f'<div class="{" ".join("n" + chr(97 + i % 26) * 3 for i in range(40))} footer">x')
+    assert many[0].node.other
 
 
 @needs_tables
