@@ -565,6 +565,13 @@ from ventas group by anio_mes"""),
         "select event_id, cast(1 as bigint) as campo_nuevo, page from web "
         "where event_id % 17 = 0 and event_id % 11 <> 0 and event_id % 13 <> 0",
     ),
+    "post_write_check": on_sales(
+        f"select dataset as table_name, record_count > 0 as has_rows from ({PUBLISHED}) "
+        "union all select 'rt_alertas_operativas', false",
+        **PARETO,
+        web=WEB,
+    ),
+    "stream_bounded_run": on_fleet(f"select {MESSAGE_ID}, event_id, camion, timestamp_evento, true as ended from gps"),
     "publish_gold": on_sales(PUBLISHED, **PARETO, web=WEB),
     "publish_manifest": on_sales(
         f"""

@@ -259,6 +259,16 @@ def stream_bronze(spark, folder):
     return rows.drop("_raw_message", "_ingestion_timestamp")
 
 
+def stream_bounded_run(spark, folder):
+    """A run that is bounded in time, long enough here to come to the end of the feed."""
+    place, cfg = run_dir(spark, "bounded"), LakeConfig(root=run_dir(spark, "bounded"), runtime_seconds=600)
+    envelope = star.as_envelope(star.gps_of(star.events_stream(spark, folder)))
+    query = runs.start_append(gps.parse(envelope), f"{place}/table", f"{place}/checkpoint")
+    ended = runs.run_for(query, cfg.runtime_seconds)
+    table = files.read_table(spark, f"{place}/table", "bounded")
+    return table.select(*gps.MESSAGE_ID, "event_id", "camion", "timestamp_evento").withColumn("ended", F.lit(ended and not query.isActive))
+
+
 def stream_alerts(spark, folder):
     prepared = fleet.prepare(star.gps_of(star.events_stream(spark, folder)))
     return _drained(spark, fleet.alerts(prepared), "stream_alerts")
@@ -565,6 +575,15 @@ def publish_pareto(spark, folder):
     )
 
 
+def post_write_check(spark, folder):
+    """Which of the written Gold tables have rows; the live alerts of a feed without any have none."""
+    cfg = _published(spark, folder)
+    tables = {name: files.read_table(spark, cfg.gold(name), name) for name in GOLD_TABLES}
+    calm = fleet.prepare(star.gps(spark, folder)).where("false")
+    tables["rt_alertas_operativas"] = sinks.store(fleet.alerts(calm), run_dir(spark, "alerts"), "rt_alertas_operativas")
+    return quality.row_check(tables)
+
+
 def publish_gold(spark, folder):
     """Rows of each published extract."""
     cfg = _published(spark, folder)
@@ -579,9 +598,9 @@ REGISTERED: list[Query] = [
     dedup_sales, clean_sales, clean_sales_lenient, clean_sales_rejects, silver_sales, silver_sales_in_buckets, enrich_sales_in_buckets, clean_web, clean_products,
     enrich_sales, kpi_overall, kpi_monthly, kpi_customer, kpi_category_channel, kpi_web, kpi_monthly_bitmap, kpi_category_channel_bitmap, kpi_overall_bitmap, kpi_web_bitmap, rollup_rows, top_customer, top10_sales,
     pareto_customers, pareto_summary, gps_scored, gps_prepared, fleet_overall, fleet_zone, fleet_hour, fleet_status,
-    fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_alerts, stream_hourly,
+    fleet_alerts, fleet_overall_extremes, fleet_rejects, bronze_json_untidy, gps_messages, gps_parse_json, gps_unreadable, stream_bronze, stream_bounded_run, stream_alerts, stream_hourly,
     stream_dedup, stream_fleet_overall, stream_fleet_zone, stream_fleet_hour, stream_fleet_status_sketch, fleet_hour_sketch, fleet_zone_sketch, bronze_stamp, layer_roundtrip_csv, layer_roundtrip_json,
-    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, layer_roundtrip_xml_split, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, silver_rule_hits, fleet_rule_hits, json_unknown_fields, json_unknown_values, publish_gold,
+    bronze_audit, publish_manifest, publish_catalog, publish_pareto, layer_roundtrip_xml, layer_roundtrip_xml_split, month_partitions, kpi_overall_of_table, top10_sales_of_table, quality_report, quality_rule_hits, silver_rule_hits, fleet_rule_hits, json_unknown_fields, json_unknown_values, post_write_check, publish_gold,
 ]
 
 

@@ -60,6 +60,15 @@ def fleet_catalog(spark: SparkSession) -> DataFrame:
     return catalog(spark, FLEET_TABLES, "gold_realtime")
 
 
+def row_check(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, has_rows) for written tables; one row of each is looked for."""
+    checks = [
+        df.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_rows")).select(F.lit(name).alias("table_name"), "has_rows")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
 def require_rows(tables: dict[str, DataFrame], may_be_empty: frozenset[str] = frozenset()) -> None:
     """Raise if a written table has no rows; looks for one row instead of counting."""
     for name, df in tables.items():
