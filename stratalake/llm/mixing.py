@@ -9,14 +9,15 @@ until its target is met. A source also has a schedule, a piecewise linear rate o
 integral of the rate, scaled to the target, is the source's demand; the time at which the demand reaches
 a document's first taken word is the document's training position. Documents are range-sorted by it.
 
-Running word counts are taken per (source, prefix of the hash): prefixes split every source, a hot one, too,
-into groups of about ``group_rows`` documents, and the groups' sums are added up first.
+Running word counts are taken per group of at most ``group_rows`` documents that follow one another in that order, and the
+groups' sums are added up first. Groups are cut from a range partitioning in which rows are told apart down to their
+number, so neither a hot source nor ids that are null or repeated come together in one task.
+
+The table with one row a source is small: sources number in the thousands, not the millions of hosts.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,24 +115,25 @@ def mix(
     if not set(weights) <= set(schedules):
         raise ValueError("every weight needs a schedule")
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    order = ["key", "digest", "size", "row"]
     rows = written(
         docs.select(
             F.col("doc_id"), F.col("source"), sorted_key(F.col("source")).alias("key"), words().alias("size"),
-            digest.alias("digest"),
+            digest.alias("digest"), F.monotonically_increasing_id().alias("row"),
         ),
         "mix-sizes",
     )
-    depth = max(1, math.ceil(math.log(max(rows.count(), 1) / group_rows + 1, 16)))
-    rows = rows.withColumn("part", F.substring("digest", 1, depth))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("digest", "row")
+    rows = written(rows.withColumn("at", F.monotonically_increasing_id()), "mix-order")
+    # "at" is the number of the partition, then that of the row in it; a group is named by its first row
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.withColumn("part", F.col("at") - F.pmod(inside, F.lit(group_rows)))
     sums = rows.groupBy("key", "part").agg(F.sum("size").alias("sum"))
     ahead = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = sums.select("key", "part", F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("ahead"))
-    goals = targets(sums.groupBy("key").agg(F.sum("sum").alias("source_size")), share, most, weights)
-    placed = parts.join(F.broadcast(goals) if goals_small(goals) else goals, "key")
-    within = (
-        Window.partitionBy("key", "part").orderBy("digest", "size", F.col("doc_id").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    goals = written(targets(sums.groupBy("key").agg(F.sum("sum").alias("source_size")), share, most, weights), "mix-goals")
+    placed = parts.join(goals, "key")
+    within = Window.partitionBy("key", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     begin = F.col("ahead") + F.coalesce(F.sum("size").over(within), F.lit(0))
     goal = F.floor("target").cast("bigint")
     whole = F.col("whole")
@@ -154,8 +156,3 @@ def mix(
         *[position(k).alias(n) for k, n in enumerate(names)],
     )
     return written(out, "mix").orderBy(F.col(names[0]).asc_nulls_last(), F.col("doc_id").asc_nulls_last())
-
-
-def goals_small(goals: DataFrame, rows: int = 10_000) -> bool:
-    """Whether the per-source table is small enough to be broadcast."""
-    return goals.limit(rows + 1).count() <= rows
