@@ -201,7 +201,11 @@ f as (
     | case when 2 * n_letters < word_chars then 256 else 0 end)::bigint as failed
   from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed, (failed & 3) <> 0 as base_failed,
-  (failed & 511) = 0 as kept
+  (failed & 511) = 0 as kept,
+  case failed & 511 when 1 then 'few_words' when 2 then 'repeated_words' when 4 then 'many_symbols' when 8 then 'some_symbols'
+    when 16 then 'repeated_lines' when 32 then 'long_words' when 64 then 'short_words' when 128 then 'upper_case'
+    when 256 then 'few_letters' end as only_rule,
+  case when only_rule is null then 0 else count(*) over (partition by failed & 511) end as n_only_rule
 from f
 """
 

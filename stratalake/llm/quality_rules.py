@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import pieces
+from stratalake.llm.common import pieces, written
 from stratalake.llm.words import Texts, mix
 
 MEASURES = [
@@ -131,3 +131,20 @@ def ablations(entries: DataFrame) -> DataFrame:
         for i, (v, bit) in enumerate(pairs)
     ]
     return entries.agg(*sums).select(F.inline(F.array(*[f"x{i}" for i in range(len(pairs))])))
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """The ledger of ``docs``, written once; policies and ablations read it, never the texts again."""
+    return written(ledger(docs), "ledger")
+
+
+def sole_rule(entries: DataFrame, version: str) -> DataFrame:
+    """Add only_rule, the rule without which the policy would keep the document (null if there is none or it is kept
+    anyway), and n_only_rule, the documents that the policy drops for that rule alone (0 without one)."""
+    mask = F.lit(POLICIES[version] | BASE).cast("bigint")
+    names = F.create_map(*[F.lit(x) for bit, (name, _) in RULES.items() for x in (1 << bit, name)])
+    known = entries.withColumn("only_rule", names[F.col("failed").bitwiseAND(mask).cast("int")])
+    alone = ablations(entries).where(F.col("policy") == version).select(F.col("rule").alias("only_rule"), "fails_alone")
+    # a row a rule
+    both = known.join(F.broadcast(alone), "only_rule", "left")
+    return both.withColumn("n_only_rule", F.coalesce("fails_alone", F.lit(0)).cast("bigint")).drop("fails_alone")

@@ -94,10 +94,12 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    entries = quality_rules.ledger(table(spark, folder, "documents"))
+    """The second policy over the stored ledger, with the rule that alone drops a document and how many it drops."""
+    entries = quality_rules.sole_rule(quality_rules.stored(table(spark, folder, "documents")), "v2")
     return quality_rules.apply_policy(entries, "v2").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", "base_failed", "kept"
-    )
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", "base_failed", "kept",
+        "only_rule", "n_only_rule",
+    )
 
 
 def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:

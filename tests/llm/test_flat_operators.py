@@ -97,7 +97,12 @@ def test_policies_and_ablations_come_from_the_bits(spark, no_docs):
     table = {(r.policy, r.rule): (r.fails, r.fails_alone) for r in quality_rules.ablations(entries).collect()}
     assert table["v2", "some_symbols"] == (3, 2)
     assert table["v2", "many_symbols"] == (1, 0) and table["v1", "many_symbols"] == (1, 1)
-    empty = quality_rules.ledger(no_docs)
+    sole = quality_rules.sole_rule(entries, "v2").collect()
+    assert sorted((r.failed, r.only_rule or "", r.n_only_rule) for r in sole) == sorted(
+        [(0, "", 0)] * 5 + [(8, "some_symbols", 2)] * 2 + [(1, "few_words", 1), (12, "", 0), (256, "few_letters", 1)]
+    )
+    empty = quality_rules.stored(no_docs)
+    assert quality_rules.sole_rule(empty, "v1").count() == 0
     assert empty.count() == 0
     assert {(r.fails, r.fails_alone) for r in quality_rules.ablations(empty).collect()} == {(0, 0)}
 
@@ -223,6 +228,20 @@ def test_mix_takes_the_targets(odd_docs, odd_rows, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_rows_without_id_do_not_come_together(spark):
+    """A third of all rows have no id and one text, another third one id; groups stay small and the sums right."""
+    rows = [(None, "hot text here", "s")] * 400 + [(7, f"w {i}", "s") for i in range(400)] + [(i, "a b c d", f"s{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    got = mixing.mix(docs, group_rows=16).collect()
+    size, taken, target = {}, {}, {}
+    for r in got:
+        size[r.source], taken[r.source] = size.get(r.source, 0) + r.size, taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 2 * r.size and r.source_size > 0
+    assert len(got) == 1200 and size == {"s": 2000, **{f"s{k}": 320 for k in range(5)}}
+    assert taken == {s: int(t) for s, t in target.items()}
+
+
 def test_targets_fill_up_to_the_caps(spark):
     sizes = spark.createDataFrame([("0a", 100), ("0b", 10), ("0c", 1000), ("1", 10)], "key string, source_size bigint")
     got = {r.key: (r.weight, r.target) for r in mixing.targets(sizes).collect()}
