@@ -274,19 +274,24 @@ def stream_alerts(spark, folder):
     return _drained(spark, fleet.alerts(prepared), "stream_alerts")
 
 
-def _landed_envelope(spark, folder, redelivered: bool = False, files: int = 4) -> str:
-    """Messages written as so many files, some of them twice if asked for."""
+#: A task reads a file of landed messages whole, so files are of so many messages and a micro-batch takes several of them.
+MESSAGES_A_FILE = 100_000
+
+
+def _landed_envelope(spark, folder, redelivered: bool = False, batches: int = 4, most: int = MESSAGES_A_FILE) -> tuple[str, int]:
+    """Messages written as files for so many micro-batches, some of them twice if asked for; the folder, and the files a batch."""
     place = run_dir(spark, "envelope")
     rows = star.envelope(spark, folder)
+    files = -(-star.table(spark, folder, "events").count() // (batches * most)) or 1
     if redelivered:
         rows = rows.unionByName(rows.filter(F.col("offset") % 7 == 0))
-    rows.repartition(files, "offset").write.parquet(place)
-    return place
+    rows.repartition(batches * files, "offset").write.parquet(place)
+    return place, files
 
 
 def stream_hourly(spark, folder):
     """All hours: the feed is followed to its end, then closed, and followed on from the same checkpoint."""
-    feed, place = _landed_envelope(spark, folder), run_dir(spark, "stream_hourly")
+    (feed, _), place = _landed_envelope(spark, folder), run_dir(spark, "stream_hourly")
 
     def follow():
         stream = messages.envelope_files_stream(spark, feed)
@@ -301,7 +306,7 @@ def stream_hourly(spark, folder):
 
 
 def stream_dedup(spark, folder):
-    place = _landed_envelope(spark, folder, redelivered=True)
+    place, _ = _landed_envelope(spark, folder, redelivered=True)
     stream = messages.envelope_files_stream(spark, place)
     rows = _drained(spark, gps.once_each(gps.parse(stream)), "stream_dedup")
     return rows.select(*gps.MESSAGE_ID, "event_id", "camion", "timestamp_evento")
@@ -312,7 +317,8 @@ def _live_fleet(spark, folder, name: str, approximate: bool = False, batches: in
     the way; one run for a session, folder and kind serves all that ask."""
     key = spark.sparkContext.applicationId, folder, approximate
     if key not in _LIVE:
-        stream = messages.envelope_files_stream(spark, _landed_envelope(spark, folder, files=batches), maxFilesPerTrigger=1)
+        feed, files_a_batch = _landed_envelope(spark, folder, batches=batches)
+        stream = messages.envelope_files_stream(spark, feed, maxFilesPerTrigger=files_a_batch)
         place = run_dir(spark, "live_fleet")
         runs.start_fleet_refresh(
             gps.parse(stream), f"{place}/rollup", lambda table: f"{place}/{table}", f"{place}/checkpoint",

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from contract import queries
 from stratalake.config import STREAM_TABLE, LakeConfig
 from stratalake.operators import fleet
 from stratalake.plans.gold import run_fleet
@@ -275,3 +276,13 @@ def test_late_rows_are_accounted_for(spark, topic, tmp_path):
     rows = read_table(spark, account, "late").collect()
     assert sum(r.filas_descartadas for r in rows) == 2
     assert all(r.lote >= 1 and r.marca_de_agua and r.operador for r in rows)
+
+
+def test_files_of_a_micro_batch_grow_in_number_not_in_size(spark, tmp_path):
+    events = spark.range(400).selectExpr(
+        "id as event_id", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) as ts", "id % 9 as user_id"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    place, files_a_batch = queries._landed_envelope(spark, str(tmp_path), batches=2, most=50)
+    landed = spark.read.parquet(place)
+    assert files_a_batch == 4 and len(landed.inputFiles()) == 8 and landed.count() == 400
