@@ -425,7 +425,7 @@ def layer_roundtrip_xml(spark, folder):
 def layer_roundtrip_xml_split(spark, folder):
     """One file, read by several tasks."""
     place = run_dir(spark, "xml")
-    sinks.write_xml(star.raw_products(spark, folder).coalesce(1), place, "productos", schemas.PRODUCT_ROW_TAG)
+    sinks.write_xml(star.raw_products(spark, folder).coalesce(1), place, "productos", schemas.PRODUCT_ROW_TAG, rows_a_file=0)
     landed = files.read_xml(spark, place, schemas.PRODUCT_ROW_TAG, schemas.PRODUCT_RAW, split=True)
     return clean.PRODUCTS.accepted(clean.PRODUCTS.project(landed))
 

@@ -70,8 +70,14 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str) -> None:
-    df.write.mode("overwrite").option("rootTag", root_tag).option("rowTag", row_tag).xml(path)
+#: Rows of an XML file at most: the built-in reader reads a file in one task.
+XML_ROWS_A_FILE = 200_000
+
+
+def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, rows_a_file: int = XML_ROWS_A_FILE) -> None:
+    """XML files of ``rows_a_file`` rows at most each; 0 for one file a task, whatever its size."""
+    writer = df.write.mode("overwrite").option("rootTag", root_tag).option("rowTag", row_tag)
+    writer.option("maxRecordsPerFile", rows_a_file).xml(path)
 
 
 def write_extract(df: DataFrame, path: str, order: Sequence[str] = (), one_file: bool = True) -> None:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from stratalake.sinks import tables as sinks
 from stratalake.sources import files, xml_split
 
 COLUMNS = ["id", "name", "note"]
@@ -114,3 +115,12 @@ def test_odd_files(spark, tmp_path):
     assert read(spark, tmp_path / "latin.xml", split=True).count() == 1
     with pytest.raises(files.MissingDataset):
         read(spark, tmp_path / "nowhere.xml", split=True)
+
+
+def test_xml_is_written_in_files_of_bounded_rows(spark, tmp_path):
+    rows = spark.range(25).selectExpr("cast(id as string) id", "'n' name").coalesce(1)
+    sinks.write_xml(rows, str(tmp_path / "x"), "items", "item", rows_a_file=10)
+    assert len(list((tmp_path / "x").glob("part-*"))) == 3
+    assert files.read_xml(spark, str(tmp_path / "x"), "item", ["id", "name"]).count() == 25
+    sinks.write_xml(rows, str(tmp_path / "one"), "items", "item", rows_a_file=0)
+    assert len(list((tmp_path / "one").glob("part-*"))) == 1
