@@ -6,7 +6,8 @@ start in, the state it ends in. These small maps are composed in the order of th
 true start, and a second pass cuts the records out. A record that goes over a border comes in parts, which are
 put together by the range in which it begins.
 
-A task holds one range as text; the driver holds one map entry a range.
+A task holds one stretch of its range as text (``STRETCH_BYTES``), for which all this goes as for a range of its own; the driver
+holds one map entry a stretch.
 """
 
 from __future__ import annotations
@@ -187,31 +188,39 @@ def _text(pieces: list[bytes]) -> str:
     return b">".join([*pieces, b""]).decode("utf-8", "replace")
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str]]:
-    """(path, start, text) of each byte range, from its pieces in order."""
-    key, pieces = None, []
+#: A task takes its byte range in stretches of about so many bytes, one after another, and holds one of them as text.
+STRETCH_BYTES = 8 << 20
+
+
+def _ranges(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, int, str]]:
+    """(path, start, text) of the stretches of each byte range, from its pieces in order. Later
+    stretches of a range are named one byte short of the bytes before them: their first piece may begin where the range ends,
+    and the next range is named by that."""
+    key, pieces, start, held, done = None, [], 0, 0, 0
     for batch in batches:
-        for path, start, value in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
-            if key != (path, start):
+        for path, block, value in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+            if key != (path, block) or held >= most:
                 if key:
-                    yield *key, _text(pieces)
-                key, pieces = (path, start), []
+                    yield key[0], start, _text(pieces)
+                done = done + held if key == (path, block) else 0
+                key, pieces, start, held = (path, block), [], block + max(done - 1, 0), 0
             pieces.append(value)
+            held += len(value) + 1
     if key:
-        yield *key, _text(pieces)
+        yield key[0], start, _text(pieces)
 
 
-def records(spark: SparkSession, path: str, row_tag: str) -> DataFrame | None:
+def records(spark: SparkSession, path: str, row_tag: str, most: int = STRETCH_BYTES) -> DataFrame | None:
     """(record) of every ``row_tag`` element of UTF-8 files as its text; None if a file declares another encoding."""
     parts = spark.read.option("lineSep", ">").text(path)
     parts = parts.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary"))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, start, text in _ranges(batches):
+        for name, start, text in _ranges(batches, most):
             ends, said = transitions(text, row_tag)
             declared = _ENCODING.search(text[:300]) if start == 0 else None
             yield pa.RecordBatch.from_pylist(
-                [{"path": name, "start": start, "ends": ends, "said": said, "encoding": declared[1] if declared else None}]
+                [{"path": name, "start": start, "ends": ends, "said": said, "encoding": declared[1] if declared else None}], MAP
             )
 
     kinds = "path string, start bigint, ends array<bigint>, said array<bigint>, encoding string"
@@ -225,7 +234,7 @@ def records(spark: SparkSession, path: str, row_tag: str) -> DataFrame | None:
     shared = spark.sparkContext.broadcast(starts)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, start, text in _ranges(batches):
+        for name, start, text in _ranges(batches, most):
             state, owner = shared.value[name][start]
             rows = [{"path": name, "owner": o, "start": start, "text": t} for o, t in cut(text, state, owner, start, row_tag)]
             for k in range(0, len(rows), 5000):
@@ -239,3 +248,6 @@ def records(spark: SparkSession, path: str, row_tag: str) -> DataFrame | None:
 
 
 CUT = pa.schema([("path", pa.string()), ("owner", pa.int64()), ("start", pa.int64()), ("text", pa.string())])
+MAP = pa.schema(
+    [("path", pa.string()), ("start", pa.int64()), ("ends", pa.list_(pa.int64())), ("said", pa.list_(pa.int64())), ("encoding", pa.string())]
+)

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from stratalake.sinks import tables as sinks
@@ -117,6 +118,25 @@ def test_odd_files(spark, tmp_path):
         read(spark, tmp_path / "nowhere.xml", split=True)
 
 
+def test_task_holds_a_stretch_of_its_range(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(TRICKY)
+    (tmp_path / "b.xml").write_text(TRICKY.replace("<id>", "<id>1"))
+    whole = rows_of(xml_split.records(spark, str(tmp_path), "item"))
+    assert len(whole) == 12
+    for most in (2, 30, 100):
+        assert rows_of(xml_split.records(spark, str(tmp_path), "item", most)) == whole
+
+
+def test_stretches_are_bounded_and_named_apart():
+    pieces = [b"x" * 9] * 50
+    batch = pa.RecordBatch.from_pydict({"path": ["f"] * 100, "start": [0] * 50 + [500] * 50, "value": pieces * 2})
+    found = list(xml_split._ranges(iter([batch]), 40))
+    assert max(len(text) for _, _, text in found) == 40
+    assert "".join(text for _, _, text in found) == ("x" * 9 + ">") * 100
+    starts = [start for _, start, _ in found]
+    assert starts == sorted(set(starts)) and {0, 500} <= set(starts)
+
+
 def test_xml_is_written_in_files_of_bounded_rows(spark, tmp_path):
     rows = spark.range(25).selectExpr("cast(id as string) id", "'n' name").coalesce(1)
     sinks.write_xml(rows, str(tmp_path / "x"), "items", "item", rows_a_file=10)
