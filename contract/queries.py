@@ -71,20 +71,28 @@ def silver_sales(spark, folder):
     return clean.SALES.clean(star.raw_sales(spark, folder)).drop("_ingestion_timestamp")
 
 
+#: A task holds a bucket of the sales, so there are as many buckets as sales ask for, and 16 at least.
+SALES_A_BUCKET = 500_000
+
+
+def _buckets(spark, folder, most: int = SALES_A_BUCKET) -> int:
+    return max(16, -(-star.table(spark, folder, "lineitem").count() // most))
+
+
 def silver_sales_in_buckets(spark, folder):
     """Three batches, one after another, merged into a table in buckets of the sale's id."""
-    raw, place = star.raw_sales(spark, folder), run_dir(spark, "buckets")
+    raw, place, n = star.raw_sales(spark, folder), run_dir(spark, "buckets"), _buckets(spark, folder)
     typed = clean.SALES.accepted(clean.SALES.project(raw, carry=["_ingestion_timestamp"]))
     for part in range(3):
         batch = typed.where(F.pmod(F.xxhash64("monto"), F.lit(3)) == part)
-        table = buckets.add_batch(batch, place, clean.SALES.keys, ["_ingestion_timestamp"], 16)
+        table = buckets.add_batch(batch, place, clean.SALES.keys, ["_ingestion_timestamp"], n)
     return table.withColumns(clean.SALES.calendar()).drop("_ingestion_timestamp")
 
 
 def enrich_sales_in_buckets(spark, folder):
     """The catalogue in buckets of its id: joined as it lies, whatever its size."""
     place = run_dir(spark, "catalogue")
-    products = buckets.add_batch(star.productos(spark, folder), place, ["id_producto"], [], 16)
+    products = buckets.add_batch(star.productos(spark, folder), place, ["id_producto"], [], _buckets(spark, folder))
     return enrich(star.ventas(spark, folder), products).select(star.ventas_enriquecidas(spark, folder).columns)
 
 

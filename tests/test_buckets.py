@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from contract import queries
 from stratalake.operators.dedup import latest
 from stratalake.operators.enrich import enrich
 from stratalake.sinks import buckets
@@ -79,3 +80,9 @@ def test_the_catalogue_is_joined_as_it_lies(spark, tmp_path, plan_of, no_broadca
     plan = plan_of(joined)
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
     assert joined.where("margen_estimado is null").count() == sum(i % 70 >= 50 for i in range(100))
+
+
+def test_buckets_grow_in_number_with_the_sales(spark, tmp_path):
+    spark.range(100).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert queries._buckets(spark, str(tmp_path)) == 16
+    assert queries._buckets(spark, str(tmp_path), most=3) == 34
