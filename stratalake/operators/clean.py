@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import text
 from stratalake.functions.calendar import event_calendar, sale_calendar
 from stratalake.functions.numbers import IN_RANGE
+from stratalake.functions.once import once
 from stratalake.operators import rules
 from stratalake.operators.dedup import latest
 
@@ -70,6 +71,9 @@ class Cleaning:
         typed = self.project(df, lenient_int=lenient_int)
         if seen is not None:
             typed = typed.observe(seen, *[c.alias(n) for n, c in rules.counters(self.rules).items()])
+        else:
+            # As the observation does, this keeps the rules above the readings: pushed down, each reads its cell anew.
+            typed = once(typed, [], {name: F.col(name) for name in typed.columns})
         kept = self.accepted(typed)
         newest = ["_ingestion_timestamp"] if "_ingestion_timestamp" in kept.columns else []
         return latest(kept, self.keys, newest).withColumns(self.calendar())

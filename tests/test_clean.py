@@ -121,3 +121,11 @@ def test_web_events(spark):
 
 def test_empty_input(spark):
     assert clean.SALES.clean(sales(spark, {}).limit(0)).count() == 0
+
+
+def test_rules_do_not_read_the_cells_again(spark):
+    """Pushed below the readings, each rule of the amount would parse its text anew."""
+    plan = clean.SALES.clean(sales(spark, {}))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("cast" in line for line in filters)
+    assert plan.count("try_cast(monto") == 1

@@ -1,11 +1,12 @@
 """Plans of the registered reports: no join that a report does not use."""
 
 import re
+import threading
 from pathlib import Path
 
 import pytest
 
-from contract.queries import QUERIES
+from contract.queries import QUERIES, sinks
 from stratalake.operators import fleet
 from stratalake.sources import star
 from stratalake.streaming import gps
@@ -57,3 +58,15 @@ def test_sketched_rollups_have_no_truck_among_their_keys(spark, plan_of):
     rollup = fleet.fleet_rollup(fleet.prepare(star.gps(spark, FOLDER)), fleet.SKETCH_KEYS)
     assert "camion" not in rollup.columns and fleet.SKETCH in rollup.columns
     assert re.search(r"keys=\[fecha_evento[^]]*estado_entrega#\d+\]", plan_of(rollup))
+
+
+def test_the_tables_of_the_quality_report_are_written_side_by_side(spark, monkeypatch):
+    all_begun = threading.Barrier(4)
+
+    def write(df, path, name):
+        all_begun.wait(60)
+        return df, len(name)
+
+    monkeypatch.setattr(sinks, "store_counted", write)
+    rows = QUERIES["quality_report"](spark, FOLDER).collect()
+    assert [(r.table_name, r.record_count) for r in rows] == [(n, len(n)) for n in ("ventas", "web_events", "productos", "ventas_enriquecidas")]
