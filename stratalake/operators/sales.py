@@ -93,29 +93,19 @@ def _sum(column: str, name: str) -> Column:
 
 
 def overall(sales: DataFrame) -> DataFrame:
-    """One row for the whole table: partial results by product and customer, and their distinct values.
+    """One row for the whole table, from partial results by customer; the products are counted beside them.
 
-    Rows are reduced by (product, customer) first, so that the two exact distinct counts copy no sale.
+    A row for each (product, customer) would answer both distinct counts, but there are nearly as many pairs as sales, and a
+    task that reduces them holds the sums of them all.
     """
-    rollup = sales_rollup(sales, ("id_producto", "id_cliente"), margin=True)
-    return rollup.agg(
-        F.coalesce(F.sum("ventas"), F.lit(0)).cast("bigint").alias("total_ventas"),
-        _customers(rollup),
-        F.count_distinct("id_producto").alias("productos_vendidos"),
-        round_half_up(AMOUNT.total(), 2).alias("ingreso_total"),
-        round_half_up(AMOUNT.mean(), 2).alias("ticket_promedio"),
-        round_half_up(F.max("monto_max"), 2).alias("venta_maxima"),
-        round_half_up(F.min("monto_min"), 2).alias("venta_minima"),
-        _sum("unidades", "unidades_vendidas"),
-        round_half_up(MARGIN.mean(), 2).alias("margen_promedio_estimado"),
-    )
+    return overall_of_table(sales_rollup(sales, CUSTOMER_KEYS, margin=True), sales)
 
 
 def overall_of_table(rollup: DataFrame, sales: DataFrame) -> DataFrame:
-    """The same row when the rollup exists and ``sales`` is a written table.
+    """The same row from a rollup that exists and its ``sales``.
 
-    Only the product ids are read from the table: a column of its own for the one distinct count the
-    rollup can not answer, instead of three copies of every row.
+    Only the product ids are read from the sales, a column of its own in a written table, for the one distinct count the
+    rollup can not answer, instead of three copies of every row. Shuffles that rollup and sales share are made once.
     """
     if MEMBERS in rollup.columns:
         products, rollup = distinct_ids(sales, "id_producto").scalar(), merge_bitmaps(rollup)

@@ -1,3 +1,5 @@
+import re
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +165,9 @@ def test_sorted_files_let_the_top_sales_skip_row_groups(spark, tmp_path):
         read[name] = sum(wide)
         assert [r.id_venta for r in top.collect()] == [r.id_venta for r in sales.top_sales(rows).collect()]
     assert 3 * read["sorted"] < read["as it comes"], read
+
+
+def test_overall_keeps_no_sums_for_pairs_of_product_and_customer(df, plan_of):
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan_of(sales.overall(df)))
+    assert any("id_cliente" in k for k in keys)
+    assert not any("id_cliente" in k and "id_producto" in k for k in keys)
