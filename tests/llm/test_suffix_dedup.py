@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from stratalake.llm import suffix_dedup
 from stratalake.llm.run_length_index import NONE, RunLengthIndex
 from stratalake.llm.suffix_dedup import remove_repeats
 
@@ -59,6 +61,56 @@ def test_result_does_not_depend_on_blocks(odd_docs):
     assert one.agg(*digest).first() == many.agg(*digest).first()
 
 
+def test_pieces_grow_as_the_input():
+    # every block writes to every shard, and there are as many shards as blocks
+    for total in (1 << 30, 10 << 30, 100 << 30, 1 << 40):
+        assert suffix_dedup._blocks(total, 2 << 20) ** 2 < 300 * (total / (2 << 20))
+    assert suffix_dedup._blocks(100 << 20, 2 << 20) == 50
+    assert suffix_dedup._blocks(0, 2 << 20) == 1
+
+
+def test_larger_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    pool = ["".join(rng.choice("abcd ") for _ in range(80)) for _ in range(4)]
+    rows = [(i, "".join(rng.choice(pool)[rng.randrange(20) :] + str(i % 7) for _ in range(3))) for i in range(80)]
+    monkeypatch.setattr(suffix_dedup, "BLOCKS", 4)
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string"), block_bytes=300) == brute(rows, 50)
+
+
+def test_indexes_of_a_passage_in_many_texts_are_small(monkeypatch):
+    rng = random.Random(8)
+    passage = bytes(rng.randrange(97, 123) for _ in range(120))
+    rows = [(i, bytes(rng.randrange(256) for _ in range(60)) + passage + rng.randbytes(60)) for i in range(300)]
+    ids, texts = zip(*rows, strict=True)
+
+    def spans(i, texts):
+        # shared strings follow one another, so there is one span
+        if i == 0:
+            return []
+        held = {t[p : p + 50] for t in texts[:i] for p in range(len(t) - 49)}
+        hits = [p for p in range(len(texts[i]) - 49) if texts[i][p : p + 50] in held]
+        return [(hits[0], hits[-1] + 50)]
+
+    block = pa.table({"block": [0] * len(ids), "id": ids, "text": pa.array(texts, pa.binary())})
+    sizes = []
+
+    class Index(RunLengthIndex):
+        def __init__(self, strings, owners, depth):
+            sizes.append(sum(map(len, strings)))
+            super().__init__(strings, owners, depth)
+
+    monkeypatch.setattr(suffix_dedup, "RunLengthIndex", Index)
+    monkeypatch.setattr(suffix_dedup, "INDEXED", 1000, raising=False)
+    monkeypatch.setattr(suffix_dedup, "MOST", 1000, raising=False)
+    repeated = suffix_dedup._repeated(suffix_dedup._anchors_of(50, 1)(block))
+    marks = suffix_dedup._marks_of(50)(suffix_dedup._stretches_of(50, 1, 1)(block, repeated))
+    assert len(sizes) > 1 and max(sizes) < 2500
+    cut = suffix_dedup._cut(block, marks).to_pylist()
+    # bytes beside the passage may be those of a smaller document, too
+    assert [r["spans"] for r in cut] == [[{"start": b, "end": e} for b, e in spans(i, texts)] for i in ids]
+    assert cut[0]["kept"] == texts[0] and all(len(r["kept"]) <= 120 for r in cut[1:])
+
+
 def test_index_against_brute_force():
     rng = random.Random(3)
     for _ in range(60):
