@@ -3,15 +3,18 @@
 Every ``length``-byte string of a text is kept under an anchor, the smallest hash of the 24-byte strings inside it.
 Equal strings have equal anchors, so repeats are found within an anchor, wherever the documents are:
 
-1. Documents are dealt out to blocks of a few megabytes. A block lists the anchors of its texts once each, five bytes
-   for each, dealt out to buckets of anchors, and gets back a bit for each: whether several documents have it.
-2. For those a block cuts out the stretch of text around each occurrence that holds the strings under the anchor,
+1. Documents are dealt out to blocks of a few megabytes. A block cuts its texts into passages of about 450 bytes, at
+   anchors, and lists a 128-bit hash of each. A passage that a smaller document has, too, is repeated from end to end and
+   takes no further part: that document has all its strings.
+2. Of the rest a block lists the anchors once each, five bytes for each, dealt out to buckets of anchors, and gets back
+   a bit for each: whether several documents have it.
+3. For those a block cuts out the stretch of text around each occurrence that holds the strings under the anchor,
    about 65 bytes, and lists equal stretches once. Stretches are dealt out by anchor to shards, compressed.
-3. A stretch that a smaller document has, too, is repeated from end to end. What remains, the first holder of each
+4. A stretch that a smaller document has, too, is repeated from end to end. What remains, the first holder of each
    distinct stretch, may share strings with other stretches of the anchor: a shard takes the parts whose strings are
    in several of them, builds run-length indexes over the distinct parts and streams them through these. Matching
    statistics of ``length`` or more tell the smallest document that holds the string.
-4. Marked stretches go back to the blocks, which merge and cut them.
+5. Marked stretches go back to the blocks, which merge and cut them.
 
 Nothing is compared with everything: the text around repeated anchors is all that a shard sees. Blocks grow with the
 square root of the input, since each writes to each bucket and shard (or are one long document), and an anchor's rows
@@ -20,10 +23,12 @@ in its shard are at most one for each block and distinct stretch.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +37,8 @@ from stratalake.llm.run_length_index import RunLengthIndex
 from stratalake.llm.words import mix
 
 ANCHOR = 24
+#: Runs of strings with one anchor in a passage, on average.
+PASSAGE = 32
 #: Anchors that a bucket looks at together, while there are no more buckets than blocks.
 BUCKET = 1 << 18
 #: A run of strings with the same anchor is cut into parts of so many strings.
@@ -100,12 +107,101 @@ def _keys(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return (((a >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)) << np.uint64(40) | a & np.uint64((1 << 40) - 1)
 
 
-def _anchors_of(length: int, buckets: int):
+def _passages(buffer: bytes, runs: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First run of each passage, and its 128-bit hash as two numbers. Passages are runs that follow one another up to
+    an anchor that the hash tells, so texts that share more than a few passages have the same ones."""
+    start, count, anchor = runs
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] != start[:-1] + count[:-1]
+    new[1:] |= (mix(anchor[1:]) % np.uint64(PASSAGE) == 0) & (anchor[1:] != anchor[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start))[: len(first)] - 1
+    spans = zip(start[first].tolist(), (start[last] + count[last] + length - 1).tolist(), strict=True)
+    digests = b"".join([hashlib.blake2b(buffer[b:e], digest_size=16).digest() for b, e in spans])
+    return first, np.frombuffer(digests, "<u8").reshape(-1, 2)
+
+
+def _distinct_passages(digests: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages in order of their hash, where the distinct ones begin in that order, and the bucket of these."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    high, low = digests[order].T
+    first = _heads(high)
+    if len(first):
+        first = np.flatnonzero(np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])))
+    return order, first, ((high[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _passages_of(length: int, buckets: int):
     def run(frame: pa.Table) -> pa.Table:
+        """(bucket, block, digests, docs): the block's passages, each once, and the smallest document of each."""
+        ids, texts, ends = _rows(frame)
+        buffer = b"".join([*texts, bytes(ANCHOR)])
+        runs = _runs(buffer, ends, length)
+        run_of, digests = _passages(buffer, runs, length)
+        order, first, bucket = _distinct_passages(digests, buckets)
+        doc = ids[np.searchsorted(ends, runs[0][run_of], side="right")][order]
+        doc = np.minimum.reduceat(doc, first) if len(first) else doc
+        digests = digests[order][first]
+        cut = np.append(_heads(bucket), len(bucket))
+        pairs = list(zip(cut.tolist(), cut[1:].tolist(), strict=False))
+        block = frame.column("block")[0].as_py()
+        return pa.table(
+            {"bucket": pa.array(bucket[cut[:-1]]), "block": pa.array(np.full(len(pairs), block)),
+             "digests": pa.array([digests[s:e].tobytes() for s, e in pairs], pa.binary()),
+             "docs": pa.array([_packed_numbers(doc[s:e]) for s, e in pairs], pa.binary())}
+        )
+
+    return run
+
+
+def _known_passages(frame: pa.Table) -> pa.Table:
+    """(block, bucket, bits): which of the block's passages in the bucket a smaller document of another block has."""
+    digests = [np.frombuffer(d, "<u8").reshape(-1, 2) for d in frame.column("digests").to_pylist()]
+    cut = np.concatenate(([0], np.cumsum([len(d) for d in digests]))).tolist()
+    doc = np.concatenate([_unpacked_numbers(d, 1)[0] for d in frame.column("docs").to_pylist()])
+    order, first, _ = _distinct_passages(np.concatenate(digests), 1)
+    number = np.diff(np.append(first, len(doc)))
+    known = np.zeros(len(doc), bool)
+    known[order] = doc[order] > np.repeat(np.minimum.reduceat(doc[order], first), number)
+    bits = [np.packbits(known[s:e]).tobytes() for s, e in zip(cut, cut[1:], strict=False)]
+    return pa.table(
+        {"block": frame.column("block"), "bucket": frame.column("bucket"), "bits": pa.array(bits, pa.binary())}
+    )
+
+
+def _repeats(
+    buffer: bytes, ids: np.ndarray, ends: np.ndarray, runs: tuple[np.ndarray, ...], known: pa.Table, length: int,
+    buckets: int,
+) -> np.ndarray:
+    """Which runs stand in a passage that a smaller document has, too."""
+    run_of, digests = _passages(buffer, runs, length)
+    order, first, bucket = _distinct_passages(digests, buckets)
+    number = np.diff(np.append(first, len(order)))
+    elsewhere = np.zeros(len(first), bool)
+    begin, stop = (np.searchsorted(bucket, known.column("bucket").to_numpy(), side=side) for side in ("left", "right"))
+    for b, e, bits in zip(begin.tolist(), stop.tolist(), known.column("bits").to_pylist(), strict=True):
+        elsewhere[b:e] = np.unpackbits(np.frombuffer(bits, np.uint8), count=e - b)
+    doc = ids[np.searchsorted(ends, runs[0][run_of], side="right")][order]
+    later = np.repeat(elsewhere, number)
+    if len(first):
+        later |= doc > np.repeat(np.minimum.reduceat(doc, first), number)
+    out = np.zeros(len(order), bool)
+    out[order] = later
+    return np.repeat(out, np.diff(np.append(run_of, len(runs[0]))))
+
+
+def _anchors_of(length: int, buckets: int, passage_buckets: int):
+    def run(frame: pa.Table, known: pa.Table) -> pa.Table:
         """(bucket, block, keys): the block's anchors, each once, five bytes each, and a bit for each that tells
-        whether several documents of the block have it."""
+        whether several documents of the block have it. Runs in passages that a smaller document has are left out; which
+        these are is a row of its own, with a bucket below 0."""
+        if not frame.num_rows:
+            return pa.table([[]] * 4, pa.schema([(n, pa.int64()) for n in ("bucket", "block", "size")] + [("keys", pa.binary())]))
         ids, texts, ends = _rows(frame)
-        start, _, anchor = _runs(b"".join([*texts, bytes(ANCHOR)]), ends, length)
+        buffer = b"".join([*texts, bytes(ANCHOR)])
+        runs = _runs(buffer, ends, length)
+        repeats = _repeats(buffer, ids, ends, runs, known, length, passage_buckets)
+        start, _, anchor = (c[~repeats] for c in runs)
         key, doc = _keys(anchor, buckets), ids[np.searchsorted(ends, start, side="right")]
         order = np.argsort(key)
         key, doc = key[order], doc[order]
@@ -117,16 +213,20 @@ def _anchors_of(length: int, buckets: int):
         block = frame.column("block")[0].as_py()
         five = np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, :5]
         parts = [five[s:e].tobytes() + np.packbits(several[s:e]).tobytes() for s, e in zip(cut, cut[1:], strict=False)]
+        parts.append(_packed(np.packbits(repeats).tobytes()))
         return pa.table(
-            {"bucket": pa.array(bucket[cut[:-1]]), "block": pa.array(np.full(len(parts), block)),
-             "size": pa.array(np.diff(cut)), "keys": pa.array(parts, pa.binary())}
+            {"bucket": pa.array(np.append(bucket[cut[:-1]], -1 - block)), "block": pa.array(np.full(len(parts), block)),
+             "size": pa.array(np.append(np.diff(cut), 0)), "keys": pa.array(parts, pa.binary())}
         )
 
     return run
 
 
 def _repeated(frame: pa.Table) -> pa.Table:
-    """(block, bucket, bits): which of the block's anchors in the bucket several documents have, here or elsewhere."""
+    """(block, bucket, bits): which of the block's anchors in the bucket several documents have, here or elsewhere.
+    What a block says of its passages goes back to it."""
+    if frame.column("bucket")[0].as_py() < 0:
+        return frame.select(["block", "bucket", "keys"]).rename_columns(["block", "bucket", "bits"])
     sizes = frame.column("size").to_numpy()
     keys, several = [], []
     for n, raw in zip(sizes.tolist(), frame.column("keys").to_pylist(), strict=True):
@@ -182,12 +282,25 @@ def _steps(values: np.ndarray) -> np.ndarray:
 def _stretches_of(length: int, buckets: int, shards: int):
     def run(texts: pa.Table, repeated: pa.Table) -> pa.Table:
         """(shard, block, numbers, stretches): the distinct stretches of a block under repeated anchors, packed.
-        numbers are which stretch, place and document of each occurrence, and anchor and size of each stretch."""
+        numbers are which stretch, place and document of each occurrence, and anchor and size of each stretch.
+        Marks of the passages that a smaller document has are a row of their own, with a shard below 0."""
         names, shard_list, numbers, joined = ("shard", "block", "numbers", "stretches"), [], [], []
         if texts.num_rows and repeated.num_rows:
             ids, held, ends = _rows(texts)
             buffer = b"".join([*held, bytes(ANCHOR)])
-            start, count, anchor = _runs(buffer, ends, length)
+            runs = _runs(buffer, ends, length)
+            number = texts.column("block")[0].as_py()
+            own = repeated.filter(pc.less(repeated.column("bucket"), 0)).column("bits")[0].as_py()
+            repeated = repeated.filter(pc.greater_equal(repeated.column("bucket"), 0))
+            repeats = np.unpackbits(np.frombuffer(_unpacked(own), np.uint8), count=len(runs[0])).astype(bool)
+            if repeats.any():
+                begin, stop = runs[0][repeats], (runs[0] + runs[1])[repeats]
+                new = np.append(True, begin[1:] != stop[:-1])
+                last = np.append(np.flatnonzero(new)[1:], len(stop)) - 1
+                numbers.append(_packed_numbers(_steps(begin[new]), stop[last] - begin[new] + length - 1))
+                joined.append(b"")
+                shard_list.append(-1 - number)
+            start, count, anchor = (c[~repeats] for c in runs)
             key = _keys(anchor, buckets)
             order = np.argsort(key)
             key = key[order]
@@ -218,7 +331,7 @@ def _stretches_of(length: int, buckets: int, shards: int):
                     )
                 )
                 joined.append(_packed(b"".join(found)))
-            shard_list = shard[cut[:-1]]
+            shard_list += shard[cut[:-1]].tolist()
         block = np.full(len(numbers), texts.column("block")[0].as_py() if texts.num_rows else 0)
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
         columns = (shard_list, block, numbers, joined)
@@ -311,6 +424,8 @@ def _earlier(texts: list[bytes], anchor: np.ndarray, holder: np.ndarray, length:
 def _marks_of(length: int):
     def run(frame: pa.Table) -> pa.Table:
         """(block, marks): the marked stretches of each block that has any, begin and size."""
+        if frame.column("shard")[0].as_py() < 0:
+            return frame.select(["block", "numbers"]).rename_columns(["block", "marks"])
         texts: dict[bytes, int] = {}
         which, anchors, occurs, docs, starts, blocks = ([] for _ in range(6))
         columns = (frame.column(c).to_pylist() for c in ("block", "numbers", "stretches"))
@@ -414,8 +529,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, block_bytes: int = 2 << 20
     dealt = narrow.select(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(blocks)).alias("block"), "id", "text")
     by_block = dealt.groupBy("block")
     buckets = min(blocks, max(1, math.ceil(total / 14 / BUCKET)))  # about one anchor in 14 bytes
-    anchors = by_block.applyInArrow(
-        _anchors_of(length, buckets), "bucket bigint, block bigint, size bigint, keys binary"
+    groups = math.ceil(blocks / 16)  # a passage is about 450 bytes and needs about 20
+    passages = by_block.applyInArrow(
+        _passages_of(length, groups), "bucket bigint, block bigint, digests binary, docs binary"
+    )
+    known = passages.groupBy("bucket").applyInArrow(_known_passages, "block bigint, bucket bigint, bits binary")
+    anchors = by_block.cogroup(known.groupBy("block")).applyInArrow(
+        _anchors_of(length, buckets, groups), "bucket bigint, block bigint, size bigint, keys binary"
     )
     repeated = anchors.groupBy("bucket").applyInArrow(_repeated, "block bigint, bucket bigint, bits binary")
     stretches = by_block.cogroup(repeated.groupBy("block")).applyInArrow(

@@ -102,8 +102,11 @@ def test_indexes_of_a_passage_in_many_texts_are_small(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "RunLengthIndex", Index)
     monkeypatch.setattr(suffix_dedup, "INDEXED", 1000, raising=False)
     monkeypatch.setattr(suffix_dedup, "MOST", 1000, raising=False)
-    repeated = suffix_dedup._repeated(suffix_dedup._anchors_of(50, 1)(block))
-    marks = suffix_dedup._marks_of(50)(suffix_dedup._stretches_of(50, 1, 1)(block, repeated))
+    known = suffix_dedup._known_passages(suffix_dedup._passages_of(50, 1)(block))
+    anchors = suffix_dedup._anchors_of(50, 1, 1)(block, known)
+    repeated = [suffix_dedup._repeated(anchors.slice(i, 1)) for i in range(anchors.num_rows)]
+    stretches = suffix_dedup._stretches_of(50, 1, 1)(block, pa.concat_tables(repeated))
+    marks = pa.concat_tables([suffix_dedup._marks_of(50)(stretches.slice(i, 1)) for i in range(stretches.num_rows)])
     assert len(sizes) > 1 and max(sizes) < 2500
     cut = suffix_dedup._cut(block, marks).to_pylist()
     # bytes beside the passage may be those of a smaller document, too
@@ -111,6 +114,38 @@ def test_indexes_of_a_passage_in_many_texts_are_small(monkeypatch):
     assert cut[0]["kept"] == texts[0] and all(len(r["kept"]) <= 120 for r in cut[1:])
 
 
+def test_copies_of_a_text_are_told_by_their_passages():
+    rng = random.Random(4)
+    text = bytes(rng.randrange(97, 123) for _ in range(5000))
+    rows = [(7, text), (3, text), (3, text), (9, b"x" * 40 + text[:4000]), (None, text), (None, text)]
+    ids, texts = [2**63 - 1 if i is None else i for i, _ in rows], [t for _, t in rows]
+    block = pa.table({"block": [0] * len(ids), "id": ids, "text": pa.array(texts, pa.binary())})
+    known = suffix_dedup._known_passages(suffix_dedup._passages_of(50, 1)(block))
+    anchors = suffix_dedup._anchors_of(50, 1, 1)(block, known)
+    repeated = pa.concat_tables([suffix_dedup._repeated(anchors.slice(i, 1)) for i in range(anchors.num_rows)])
+    stretches = suffix_dedup._stretches_of(50, 1, 1)(block, repeated)
+    # the passages that hold no edge of the shorter copy go by their hash, also in the block itself
+    assert sum(len(r["stretches"]) for r in stretches.to_pylist()) < 2 * len(text)
+    marks = pa.concat_tables([suffix_dedup._marks_of(50)(stretches.slice(i, 1)) for i in range(stretches.num_rows)])
+    kept = [(r["id"], r["kept"]) for r in suffix_dedup._cut(block, marks).to_pylist()]
+    assert kept == [(3, text), (3, text), (7, b""), (9, b"x" * 40), (2**63 - 1, b""), (2**63 - 1, b"")]
+
+
+def test_texts_of_many_passages(spark):
+    rng = random.Random(6)
+    pool = ["".join(rng.choice("abcdefgh ") for _ in range(2500)) for _ in range(5)]
+    rows = []
+    for i in range(40):
+        t = rng.choice(pool)
+        b = rng.randrange(1000)
+        t = t[b:] + rng.choice(pool)[: rng.randrange(1500)] if i % 3 else t
+        cut = rng.randrange(len(t))
+        rows.append((rng.choice([i, 5, None]), t if i % 4 else t[:cut] + "#" + t[cut:]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for size in (4000, 1 << 20):
+        assert found(docs, block_bytes=size) == brute(rows, 50)
+
+
 def test_index_against_brute_force():
     rng = random.Random(3)
     for _ in range(60):
